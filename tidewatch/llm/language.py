@@ -21,7 +21,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 class CompressionModel:
     """Compressors are made where they are used, since they don't travel between processes."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 6, again: int = 19, close: float = 0.02, piece: int = 2048):
+    def __init__(self, dictionaries: dict[str, bytes], level: int = 6, again: int = 12, close: float = 0.03, piece: int = 2048):
         self.dictionaries, self.level, self.again, self.close, self.piece = dict(sorted(dictionaries.items())), level, again, close, piece
         self._ready: dict[int, list] = {}
 
