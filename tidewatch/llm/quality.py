@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, hash_order, stored
+from .common import bounded_sample, fold, stored
 from .fitting import linear, logistic, sigmoid
 
 _SYMBOLS = "!#$%&*|<>{}[]=@^~_\\"
@@ -143,7 +143,7 @@ def score_quality(
 ) -> DataFrame:
     """One row per document: id, score (probability of quality 1), text_score, metadata_score, keep (score >= threshold).
 
-    Learns from at most `examples` labelled documents of each class and `pool` unlabelled ones, all first in hash order;
+    Learns from at most `examples` labelled documents of each class and a pool of `pool` documents, all first in hash order;
     the fold crc32(id) mod 5 = 0 of the labelled ones calibrates and combines the views. Null texts count as empty, null
     languages and sources as values of their own. Without labels of both classes every score is the share of quality 1
     (1 without any label) and nothing is learned. Repeated rows are scored each time; an empty table gives no rows.
@@ -153,8 +153,8 @@ def score_quality(
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     picked = bounded_sample(known, "y", "id", examples, "quality")
-    others = d.select("id").where("id is not null").withColumn("h", hash_order("id", "quality-pool")).orderBy("h").limit(pool + 2 * examples)
-    others = others.join(F.broadcast(picked.select("id")), "id", "left_anti").orderBy("h").limit(pool).select("id", F.lit(None).cast("int").alias("y"))
+    free = d.select("id", F.lit("pool").alias("of")).where("id is not null")
+    others = bounded_sample(free, "of", "id", pool, "quality-pool").join(F.broadcast(picked.select("id")), "id", "left_anti").select("id", F.lit(None).cast("int").alias("y"))
     chosen = picked.select("id", "y").unionByName(others).dropDuplicates(["id"])
     rows = _views(d.join(F.broadcast(chosen.select("id")), "id")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
     rows = sorted(stored(rows, "quality-sample").withColumn("f", fold("id", 5)).collect(), key=lambda r: r["id"])
