@@ -9,7 +9,6 @@ scored without its own vote.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -68,30 +67,40 @@ class BlockMaxIndex:
             np.maximum.at(self.most[t], ids // block, self.weight[at : at + len(x)])
             at += len(x)
 
+    def _add(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, into: np.ndarray) -> None:
+        """Adds the dot products of the rows in `blocks`, from the postings of the terms there only."""
+        lo, hi = self.start[np.ix_(terms, blocks)].ravel(), self.start[np.ix_(terms, blocks + 1)].ravel()
+        size = hi - lo
+        if size.any():
+            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            into += np.bincount(self.row[at], self.weight[at] * np.repeat(np.repeat(weights, len(blocks)), size), minlength=len(into))
+
     def nearest(self, query: dict[int, float], k: int, leave: int = -1) -> list[tuple[float, int]]:
-        """The k rows of greatest positive dot product, of equal ones the first; row `leave` is passed over."""
-        if not query:
+        """The k rows of greatest positive dot product, of equal ones the first; row `leave` is passed over.
+
+        The blocks of greatest bound give a k-th best; of the others only those whose bound reaches it are read.
+        """
+        if not query or not self.size:
             return []
-        t, q = np.array(list(query)), np.array(list(query.values()))
+        t, q = np.fromiter(query, dtype=np.int64), np.fromiter(query.values(), dtype=float)
         bounds = q @ self.most[t]
-        best: list[tuple[float, int]] = []  # a heap of (similarity, -row)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[0][0] - 1e-12:
-                break
-            got = np.zeros(self.block)
-            for term, w in query.items():
-                lo, hi = self.start[term, b], self.start[term, b + 1]
-                if hi > lo:
-                    got[self.row[lo:hi] - b * self.block] += w * self.weight[lo:hi]
-            for i in np.flatnonzero(got):
-                row = int(b * self.block + i)
-                if row != leave:
-                    item = (round(float(got[i]), 12), -row)
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
-        return [(s, -r) for s, r in sorted(best, reverse=True)]
+        order = np.argsort(-bounds, kind="stable")
+        dots = np.zeros(self.size)
+        first = order[: 1 + -(-k // self.block) * 2]
+        self._add(t, q, first, dots)
+        if leave >= 0:
+            dots[leave] = 0.0
+        least = np.partition(dots, -k)[-k] if self.size >= k else 0.0
+        rest = order[len(first) :]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= least - 1e-9)]
+        if len(rest):
+            self._add(t, q, rest, dots)
+            if leave >= 0:
+                dots[leave] = 0.0
+        dots = np.round(dots, 12)
+        best = np.flatnonzero(dots >= max(np.partition(dots, -k)[-k] if self.size >= k else 0.0, 1e-12))
+        best = best[np.argsort(-dots[best], kind="stable")][:k]
+        return [(float(dots[i]), int(i)) for i in best]
 
 
 def _scaled(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
@@ -125,8 +134,9 @@ class ToxicityModel:
         return (float(np.interp(self.vote(near), *self.knots)) if near else self.silent), near
 
 
-def _chosen(sample: DataFrame, most: int, least_g: float) -> list[str]:
-    """Terms by the log-likelihood ratio of their presence against the label, at least `least_g`."""
+def _chosen(sample: DataFrame, most: int, least_g: float, least_lift: float) -> list[str]:
+    """Terms of toxic examples by the log-likelihood ratio of their presence against the label, at least `least_g`; their
+    share of toxic examples must be `least_lift` times that of others, which leaves out terms of topics and languages."""
 
     def of(batches):
         for b in batches:
@@ -146,7 +156,8 @@ def _chosen(sample: DataFrame, most: int, least_g: float) -> list[str]:
         return cell(seen, p * of_class) + cell(F.lit(of_class) - seen, (1 - p) * of_class)
 
     g = df.where(F.col("a") + F.col("b") >= 4).withColumn("g", 2 * (part(F.col("a"), n1) + part(F.col("b"), n0)))
-    return [r["term"] for r in g.where(F.col("g") >= least_g).orderBy(F.desc("g"), "term").limit(most).collect()]
+    g = g.where((F.col("g") >= least_g) & (F.col("a") * n0 >= F.col("b") * least_lift * n1))
+    return [r["term"] for r in g.orderBy(F.desc("g"), "term").limit(most).collect()]
 
 
 def _vectors(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
@@ -173,6 +184,7 @@ def score_toxicity(
     most_terms: int = 1024,
     k: int = 15,
     least_g: float = 28.0,
+    least_lift: float = 4.0,
 ) -> DataFrame:
     """One row per document: id, held_out, score, predicted, evidence (neighbours' id, similarity, label).
 
@@ -190,12 +202,14 @@ def score_toxicity(
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     picked = bounded_sample(known, "y", "id", examples, "toxicity")
     sample = stored(d.join(F.broadcast(picked), "id").groupBy("id").agg(F.first("y").alias("y"), F.min("text").alias("text")), "toxicity-sample")
-    vocabulary = {t: i for i, t in enumerate(_chosen(sample, most_terms, least_g))}
+    vocabulary = {t: i for i, t in enumerate(_chosen(sample, most_terms, least_g, least_lift))}
     vectors = stored(_vectors(d, vocabulary), "toxicity-vectors")
     df = dict(vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect())
     n = vectors.count()
     idf = np.array([np.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
-    rows = sorted(vectors.join(F.broadcast(sample.select("id", "y")), "id").dropDuplicates(["id"]).collect(), key=lambda r: r["id"])
+    rows = vectors.join(F.broadcast(sample.select("id", "y")), "id").dropDuplicates(["id"]).collect()
+    # examples alike lie side by side, so that blocks have few terms and low bounds
+    rows.sort(key=lambda r: (max(r["terms"], key=lambda t: (idf[t], t), default=-1), r["y"], r["id"]))
     got = Counter(r["y"] for r in rows)
     weight = tuple(counts.get(c, 0) / max(1, got[c]) for c in (0, 1))
     vecs = [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows]
