@@ -66,6 +66,7 @@ def bands_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.bands_v2(alerts(spark, sf_dir), scored(spark, sf_dir).select("alert_id", "model_score"))
 
 
+@_once("bands-v2")
 def bands_v2_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.capacity_caps(bands.p1_overrides(bands_v2(spark, sf_dir)))
 
@@ -78,6 +79,7 @@ def case_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 MAX_COMPONENT = 40
 
 
+@_once("case-chunks")
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.case_chunks(case_frame(spark, sf_dir), max_component=MAX_COMPONENT)
 
@@ -86,6 +88,7 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.network_clusters(case_frame(spark, sf_dir), MAX_COMPONENT)
 
 
+@_once("case-mapping")
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.alert_case_mapping(case_frame(spark, sf_dir), chunks(spark, sf_dir), clusters(spark, sf_dir))
 
@@ -118,6 +121,7 @@ def rankings(spark: SparkSession, sf_dir: str, score: str = "model_score") -> Da
     return models.evaluate_rankings(scored(spark, sf_dir).withColumn("model_score", F.col(score)))
 
 
+@_once("comparison")
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.compare_models(rankings(spark, sf_dir, "feature_rule_priority_score"), rankings(spark, sf_dir))
 
@@ -134,6 +138,7 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.contributions(alert_features(spark, sf_dir), WEIGHTS)
 
 
+@_once("reason-codes")
 def reason_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.alert_reason_codes(contributions(spark, sf_dir), explain.dictionary(spark, ENTRIES), bands_v2_final(spark, sf_dir), mapping(spark, sf_dir))
 
@@ -142,10 +147,12 @@ def stress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.stress_summary(tx(spark, sf_dir), hits(spark, sf_dir), alerts(spark, sf_dir), banded(spark, sf_dir))
 
 
+@_once("graph-ablation")
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.graph_ablation(extended(spark, sf_dir))
 
 
+@_once("traffic-lights")
 def lights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.traffic_lights(
         bands.band_summary_v2(bands_v2_final(spark, sf_dir)), stress(spark, sf_dir), comparison(spark, sf_dir), ablation(spark, sf_dir),

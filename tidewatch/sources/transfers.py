@@ -53,7 +53,7 @@ def standardize(raw: DataFrame, ordinal: str | None = None) -> DataFrame:
         text["payment_currency"].alias("payment_currency"), text["receiving_currency"].alias("receiving_currency"), text["payment_format"].alias("payment_format"),
         pair.alias("currency_pair"),
         F.when(text["from_bank"].eqNullSafe(text["to_bank"]), 0).otherwise(1).alias("cross_bank_flag"),
-        amount.alias("amount"), F.log1p(F.greatest(amount, F.lit(0.0))).alias("log_amount"),
+        amount.alias("amount"), F.log1p(F.when(amount < 0, 0.0).otherwise(amount)).alias("log_amount"),
         F.expr("try_cast(trim(is_laundering) as int)").alias("is_laundering"),
     )
     return out.select(STANDARD_COLUMNS)
@@ -123,7 +123,7 @@ def from_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("amount_paid"), F.col("value").alias("amount_received"), pay.alias("payment_currency"), get.alias("receiving_currency"),
         F.col("event_type").alias("payment_format"), F.concat(pay, F.lit(" -> "), get).alias("currency_pair"),
         F.when(F.col("user_id") % 7 != F.col("k") % 7, 1).otherwise(0).alias("cross_bank_flag"),
-        F.col("value").alias("amount"), F.log1p(F.greatest(F.col("value"), F.lit(0.0))).alias("log_amount"), F.when(label, 1).otherwise(0).alias("is_laundering"),
+        F.col("value").alias("amount"), F.log1p(F.when(F.col("value") < 0, 0.0).otherwise(F.col("value"))).alias("log_amount"), F.when(label, 1).otherwise(0).alias("is_laundering"),
     )
     return out.select(STANDARD_COLUMNS)
 
