@@ -113,7 +113,7 @@ def co_train(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, weight: np.ndarra
         for v in (0, 1):
             p = sigmoid(views[v].logit(pools[v])) if len(pools[v]) else np.zeros(0)
             for label, order in ((1, np.argsort(-p, kind="stable")), (0, np.argsort(p, kind="stable"))):
-                fresh = [i for i in order if i not in given[1 - v]][: int(share * len(p) * (p >= 0.5).mean() if label else share * len(p) * (p < 0.5).mean())]
+                fresh = [i for i in order if i not in given[1 - v]][: int(share * ((p >= 0.5) == bool(label)).sum())]
                 for i in fresh:
                     if (p[i] if label else 1 - p[i]) >= sure:
                         given[1 - v][i] = float(label)
