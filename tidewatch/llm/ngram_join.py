@@ -6,24 +6,29 @@ texts that share such a shingle are brought together. In a group the sets lie in
 overlap so far, shared by all sets below a node, and leaves a subtree when the lengths that remain can't make up for
 what is missing. Links found are joined into components.
 
-Nothing is paired within a group just because it is alike: sets already linked to the same component are not compared,
-equal texts are one set throughout, and large groups are cut into chunks that have their first members in common; only
-pairs that no chunk has seen and that lie in different components afterwards are compared one by one.
+Texts are grouped by how many prefix shingles they share with the first text that has the shingle, which a similar pair
+of like size must; a group is joined by its trie at once. Nothing is paired within a group just because it is alike:
+sets already linked to the same component are not compared, equal texts are one set throughout, and groups too large for
+one task are cut into chunks that have some members in common. Pairs that no chunk has seen are told by the
+first shingle they share; where that leaves enough to share they are compared one by one, so that no link is lost.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import FixedFilter, stored
 from .wordhash import shingles, slices, words
 
-CELLS = 1 << 20
-_CHUNK = 1 << 14
+#: Cells of the table of counts, and of one of its parts as tasks hand it on.
+CELLS, _PART = 1 << 24, 1 << 18
 
 
 def least_overlap(n: int, m: int, percent: int) -> int:
@@ -36,60 +41,80 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _cell(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(44)).astype(np.int64)
+    return (h >> np.uint64(40)).astype(np.int32)
 
 
 def _signature(s: np.ndarray) -> bytes:
-    import hashlib
-
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+class _Cells:
+    """Counts by cell, which stop at 255 within a task."""
+
+    def __init__(self) -> None:
+        self.counts, self.held, self.size = np.zeros(CELLS, dtype=np.uint8), [], 0
+
+    def add(self, cells: np.ndarray) -> None:
+        self.held.append(cells)
+        self.size += len(cells)
+        if self.size > 1 << 21:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.held:
+            at, n = np.unique(np.concatenate(self.held), return_counts=True)
+            self.counts[at] = np.minimum(self.counts[at] + n, 255)
+            self.held, self.size = [], 0
+
+    def parts(self) -> list[tuple[int, bytes]]:
+        self.settle()
+        z = zstandard.ZstdCompressor(level=1)
+        cut = [self.counts[i : i + _PART] for i in range(0, CELLS, _PART)]
+        return [(i, z.compress(x.tobytes())) for i, x in enumerate(cut) if x.any()]
+
+
 def _read(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (id, n, signature) of all texts, and rows (chunk, counts) of each task's counts by cell."""
+    """Rows (id, n, signature) of all texts, and rows (part, cells) of each task's counts."""
 
     def of(batches):
-        cells = np.zeros(CELLS, dtype=np.uint32)
+        cells = _Cells()
         seen: set[bytes] = set()
         for b in batches:
             for lo, hi, data, offsets in slices(b.column(1)):
                 h, _, _, first = words(data, offsets)
                 sets = list(shingles(h, first, k))
                 signs = [_signature(s) for s in sets]
-                fresh = []
                 for s, g in zip(sets, signs, strict=True):
                     if g not in seen:
-                        fresh.append(s)
+                        cells.add(_cell(s))
                         if len(seen) < 1 << 18:
                             seen.add(g)
-                if fresh:
-                    cells += np.bincount(_cell(np.concatenate(fresh)), minlength=CELLS).astype(np.uint32)
-                none = pa.nulls(hi - lo, pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(signs, pa.binary()), none, pa.nulls(hi - lo, pa.binary())], names=names)
-        some = [i for i in range(CELLS // _CHUNK) if cells[i * _CHUNK : (i + 1) * _CHUNK].any()]
-        if some:
-            none = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()), pa.array([cells[i * _CHUNK : (i + 1) * _CHUNK].tobytes() for i in some], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(signs, pa.binary()), pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.binary())], names=names)
+        for i, x in cells.parts():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([i], pa.int32()), pa.array([x], pa.binary())], names=names)
 
-    names = ["id", "n", "sign", "chunk", "cells"]
-    return docs.mapInArrow(of, "id long, n long, sign binary, chunk int, cells binary")
+    names = ["id", "n", "sign", "part", "cells"]
+    return docs.mapInArrow(of, "id long, n long, sign binary, part int, cells binary")
 
 
 def _counts(read: DataFrame) -> np.ndarray:
-    """The count of each cell over all texts; its size does not depend on the data."""
+    """The logarithm of each cell's count over all texts, in 256 steps; its size does not depend on the data."""
 
     def add(p: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(_CHUNK, dtype=np.int64)
-        for x in p["cells"]:
-            total += np.frombuffer(x, dtype=np.uint32)
-        return pd.DataFrame({"chunk": p["chunk"].iloc[:1], "cells": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
-
-    # summed in two steps, so that no task gets all tasks' counts of a chunk
-    part = read.where("chunk is not null").select("chunk", "cells", F.pmod(F.xxhash64("cells"), F.lit(16)).alias("part"))
-    part = part.groupBy("chunk", "part").applyInPandas(lambda p: add(p), "chunk int, cells binary")
-    out = np.zeros(CELLS, dtype=np.uint32)
-    for r in part.groupBy("chunk").applyInPandas(add, "chunk int, cells binary").collect():
-        out[r["chunk"] * _CHUNK : (r["chunk"] + 1) * _CHUNK] = np.frombuffer(r["cells"], dtype=np.uint32)
+        total = np.zeros(_PART, dtype=np.uint32)
+        for raw, x in zip(p["raw"], p["cells"], strict=True):
+            x = zstandard.ZstdDecompressor().decompress(x)
+            total += np.frombuffer(x, dtype=np.uint32 if raw else np.uint8)
+        return pd.DataFrame({"part": p["part"].iloc[:1], "raw": [True], "cells": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
+
+    # summed in two steps, so that no task gets all tasks' counts of a part
+    schema = "part int, raw boolean, cells binary"
+    some = read.where("part is not null").select("part", F.lit(False).alias("raw"), "cells", F.pmod(F.xxhash64("cells"), F.lit(8)).alias("step"))
+    some = some.groupBy("part", "step").applyInPandas(lambda p: add(p[["part", "raw", "cells"]]), schema)
+    out = np.zeros(CELLS, dtype=np.uint8)
+    for r in some.groupBy("part").applyInPandas(add, schema).collect():
+        total = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["cells"]), dtype=np.uint32)
+        out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.log1p(total) * 11.4
     return out
 
 
@@ -99,7 +124,7 @@ def _ordered(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, id, n) of the prefixes; a task leaves out texts whose set it has seen, since equal sets are one class."""
+    """(token, id, n, pos) of the prefixes, pos counted from 0 in the global order; a task leaves out texts whose set it has seen, since equal sets are one class."""
     held = docs.sparkSession.sparkContext.broadcast(counts)
 
     def of(batches):
@@ -108,7 +133,7 @@ def _postings(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Data
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, _, data, offsets in slices(b.column(1)):
                 h, _, _, first = words(data, offsets)
-                tokens, who, sizes = [], [], []
+                tokens, who, sizes, places = [], [], [], []
                 for i, s in enumerate(shingles(h, first, k)):
                     g = _signature(s)
                     if len(s) and g not in seen:
@@ -117,10 +142,11 @@ def _postings(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Data
                         tokens.append(_ordered(s, held.value)[: prefix_length(len(s), percent)])
                         who.append(np.full(len(tokens[-1]), ids[lo + i], dtype=np.int64))
                         sizes.append(np.full(len(tokens[-1]), len(s), dtype=np.int32))
+                        places.append(np.arange(len(tokens[-1]), dtype=np.int32))
                 if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(who)), pa.array(np.concatenate(sizes))], names=["token", "id", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (who, sizes, places))], names=["token", "id", "n", "pos"])
 
-    return docs.mapInArrow(of, "token long, id long, n int")
+    return docs.mapInArrow(of, "token long, id long, n int, pos int")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -129,7 +155,7 @@ def _shared(postings: DataFrame) -> DataFrame:
     def of(batches):
         rest = None
         for b in batches:
-            p = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])
+            p = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
             p = p if rest is None else np.vstack([rest, p])
             if not len(p):
                 continue
@@ -149,10 +175,25 @@ def _shared(postings: DataFrame) -> DataFrame:
             at = np.flatnonzero(new)
             size = np.diff(np.append(at, len(p)))
             many = np.repeat(size > 1, size)
-            head = np.repeat(p[at, 1], size)
-            yield pa.RecordBatch.from_arrays([pa.array(p[many, 0]), pa.array(p[many, 1]), pa.array(p[many, 2].astype(np.int32)), pa.array(head[many])], names=["token", "id", "n", "center"])
+            head = np.repeat(at, size)[many]
+            yield pa.RecordBatch.from_arrays([pa.array(p[many, 0]), pa.array(p[many, 1]), pa.array(p[many, 2].astype(np.int32)), pa.array(p[many, 3].astype(np.int32)), pa.array(p[head, 1]), pa.array(p[head, 2].astype(np.int32))], names=["token", "id", "n", "pos", "center", "center_n"])
 
-    return postings.repartition("token").sortWithinPartitions("token", "id").mapInArrow(of, "token long, id long, n int, center long")
+    return postings.repartition("token").sortWithinPartitions("token", "id").mapInArrow(of, "token long, id long, n int, pos int, center long, center_n int")
+
+
+def _need(n: Column, m: Column, percent: int) -> Column:
+    """`least_overlap` of columns."""
+    return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+
+
+def _likely(n: Column, m: Column, shared: Column, percent: int) -> Column:
+    """Whether sets of n and m that share so many prefix tokens may be similar.
+
+    One prefix ends first in the global order: all tokens shared up to there are counted, and what is left of its set is
+    all that can still be shared.
+    """
+    left = lambda x: F.ceil(F.lit(percent) * x / F.lit(100)) - 1
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (shared + F.greatest(left(n), left(m)) >= _need(n, m, percent))
 
 
 def _sets(docs: DataFrame, k: int, counts: np.ndarray, wanted: DataFrame) -> DataFrame:
@@ -169,8 +210,7 @@ def _sets(docs: DataFrame, k: int, counts: np.ndarray, wanted: DataFrame) -> Dat
                 sets = [_ordered(s, held.value) for s in shingles(h, first, k)]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "tokens"])
 
-    out = docs.select("id", "text", *FixedFilter.spots("id")).mapInArrow(of, "id long, n int, tokens binary")
-    return out.join(wanted, "id")
+    return docs.select("id", "text", *FixedFilter.spots("id")).mapInArrow(of, "id long, n int, tokens binary")
 
 
 class Forest:
@@ -273,7 +313,6 @@ def components(edges: DataFrame) -> DataFrame:
     rounds grows with the logarithm of a component's size. Neighbours are never collected.
     """
     e = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")), "links-least")
@@ -283,31 +322,29 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, F.col("u") == F.col("w"))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
         e = stored(small, "links")
-        now = tuple(e.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("xxhash64(u, v) % 1000003"))).first())
-        if now == before or not now[0]:
+        # done when all are stars around their smallest nodes: no node is both a leaf and a centre, or a leaf of two
+        leaves = e.groupBy(F.col("u").alias("leaf")).agg(F.count(F.lit(1)).alias("k"))
+        if leaves.where("k > 1").isEmpty() and e.join(leaves, F.col("v") == F.col("leaf"), "left_semi").isEmpty():
             break
-        before = now
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _grouped(shared: DataFrame, sets: DataFrame, chunk: int, pivots: int = 32) -> DataFrame:
-    """(id, label, chunk, pivot, chunks): texts by the smallest id they share a token with, followed for three steps, and
-    large groups cut into chunks. Whether groups are complete only decides how much is left for the last step."""
-    label = stored(shared.groupBy("id").agg(F.min("center").alias("label")), "ngram-labels")
-    for _ in range(2):
-        up = label.select(F.col("id").alias("i"), F.col("label").alias("l"))
-        label = stored(label.join(up, F.col("label") == F.col("i"), "left").select("id", F.coalesce("l", "label").alias("label")), "ngram-labels")
-    own = label.join(sets.select("id", "n").groupBy("id").agg(F.sum("n").alias("n")), "id")
-    sizes = own.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+def _grouped(shared: DataFrame, percent: int, chunk: int, pivots: int = 32) -> DataFrame:
+    """(id, label, chunk, pivot, chunks, members): groups of texts that are likely to be similar to a token's first text,
+    joined through all of them; large groups are cut into chunks. What is left out is for `_cross_pairs` to find."""
+    near = shared.where("id <> center").groupBy("id", "center", "n", "center_n").agg(F.count(F.lit(1)).alias("c"))
+    label = components(near.where(_likely(F.col("n"), F.col("center_n"), F.col("c"), percent)).select(F.col("id").alias("u"), F.col("center").alias("v")))
+    label = stored(label.select(F.col("node").alias("id"), F.col("component").alias("label")).join(shared.groupBy("id").agg(F.max("n").alias("n")), "id"), "ngram-labels")
+    sizes = label.groupBy(F.col("label").alias("l")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.ceil(F.col("members") / chunk), F.ceil(F.col("tokens") / (chunk * 1000))).cast("int")
-    sizes = stored(sizes.select(F.col("label").alias("l"), chunks.alias("chunks"), "members"), "ngram-groups")
-    placed = label.join(sizes, F.col("label") == F.col("l")).select(
+    sizes = stored(sizes.select("l", "members", chunks.alias("chunks")), "ngram-groups")
+    several = F.col("chunks") > 1
+    return stored(label.join(sizes, F.col("label") == F.col("l")).select(
         "id", "label", "chunks", "members",
         F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"),
-        ((F.col("chunks") > 1) & ((F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("members") / pivots)) == 0) | (F.col("id") == F.col("label")))).alias("pivot"),
-    )
-    return stored(placed, "ngram-placed")
+        (several & ((F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("members") / pivots)) == 0) | (F.col("id") == F.col("label")))).alias("pivot"),
+    ), "ngram-placed")
 
 
 def _group_links(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
@@ -325,18 +362,42 @@ def _group_links(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     return sets.select("id", "tokens").join(rows, "id").groupBy("label", "chunk").applyInPandas(join, "u long, v long")
 
 
-def _pair_links(shared: DataFrame, sets: DataFrame, placed: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Links between texts that share a token, lie in different components so far and have not met in a chunk."""
-    t = shared.select("token", "id", "n").join(placed.select("id", "label", "chunk", "pivot"), "id").join(found, F.col("id") == F.col("node"), "left")
-    t = t.select("token", "id", "n", "label", "chunk", "pivot", F.coalesce("component", "id").alias("c"))
-    t = stored(t, "ngram-candidates")
-    mixed = t.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("chunk").alias("k0"), F.max("chunk").alias("k1"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mixed = mixed.where("c0 <> c1 and (l0 <> l1 or k0 <> k1)").select("token")
+def _pairs(t: DataFrame, side: str, apart: Column, percent: int) -> DataFrame:
+    """(id1, id2) that may be similar, of rows (token, id, n, pos, ...) in which `side` differs within the token.
+
+    The first token that two sets share leaves each of them what comes after it; a pair whose shared token leaves too
+    little is not made, so a passage that many texts share pairs none of them unless it comes early in the order.
+    """
+    mixed = t.groupBy("token").agg(F.min(side).alias("lo"), F.max(side).alias("hi")).where("lo <> hi").select("token")
     t = stored(t.join(mixed, "token", "left_semi"), "ngram-mixed")
-    a, b = (t.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "label", "chunk", "pivot", "c"))) for i in (1, 2))
-    met = (F.col("label1") == F.col("label2")) & ((F.col("chunk1") == F.col("chunk2")) | F.col("pivot1") | F.col("pivot2"))
-    near = (F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent)
-    pairs = a.join(b, "token").where((F.col("id1") < F.col("id2")) & (F.col("c1") != F.col("c2")) & near & ~met).select("id1", "id2").distinct()
+    a, b = (t.select("token", *(F.col(c).alias(f"{c}{i}") for c in t.columns if c != "token")) for i in (1, 2))
+    left = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    both = a.join(b, "token").where((F.col("id1") < F.col("id2")) & apart & (left >= _need(F.col("n1"), F.col("n2"), percent)))
+    both = both.select("id1", "id2", "n1", "n2").distinct()
+    # then by all prefix tokens that the two share; those of a text are few
+    heads = stored(t.groupBy("id").agg(F.collect_set("token").alias("head")), "ngram-heads")
+    for i in (1, 2):
+        both = both.join(heads.select(F.col("id").alias(f"id{i}"), F.col("head").alias(f"head{i}")), f"id{i}")
+    shared = F.size(F.array_intersect("head1", "head2"))
+    return stored(both.where(_likely(F.col("n1"), F.col("n2"), shared, percent)).select("id1", "id2").distinct(), "ngram-pairs")
+
+
+def _cross_pairs(shared: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of texts in different groups, or in none."""
+    t = shared.select("token", "id", "n", "pos").join(placed.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    return _pairs(t, "label", F.col("label1") != F.col("label2"), percent)
+
+
+def _chunk_pairs(shared: DataFrame, placed: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of texts in different chunks of a group that links have not brought together yet."""
+    t = shared.select("token", "id", "n", "pos").join(placed.where("chunks > 1 and not pivot").select("id", "label", "chunk"), "id")
+    t = t.join(found, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", "label", "chunk", F.coalesce("component", "id").alias("c"))
+    apart = (F.col("label1") == F.col("label2")) & (F.col("chunk1") != F.col("chunk2")) & (F.col("c1") != F.col("c2"))
+    return _pairs(t, "c", apart, percent)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the pairs whose sets are similar."""
     one = sets.select(F.col("id").alias("id1"), F.col("tokens").alias("t1"))
     two = sets.select(F.col("id").alias("id2"), F.col("tokens").alias("t2"))
 
@@ -348,7 +409,7 @@ def _pair_links(shared: DataFrame, sets: DataFrame, placed: DataFrame, found: Da
                 ok.append(len(np.intersect1d(p, q, assume_unique=True)) >= least_overlap(len(p), len(q), percent))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    joined = stored(pairs, "ngram-pairs").join(one, "id1").join(two, "id2").select("id1", "id2", "t1", "t2")
+    joined = pairs.join(one, "id1").join(two, "id2").select("id1", "id2", "t1", "t2")
     return joined.mapInArrow(check, "u long, v long")
 
 
@@ -362,7 +423,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     read = stored(_read(d, k), "ngram-read")
-    rows = read.where("chunk is null").select("id", "n", "sign")
+    rows = read.where("part is null").select("id", "n", "sign")
     counts = _counts(read)
     named = rows.where("n > 0 and id is not null")
     classes = stored(named.groupBy(F.col("sign").alias("s")).agg(F.min("id").alias("rep")), "ngram-classes")
@@ -372,20 +433,24 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     texts = d.where("id is not null")
     shared = stored(_shared(_postings(texts, k, percent, counts)), "ngram-shared")
-    sets = stored(_sets(texts, k, counts, shared.select("id").distinct()), "ngram-sets")
-    placed = _grouped(shared, sets, chunk)
+    placed = _grouped(shared, percent, chunk)
+    cross = _cross_pairs(shared, placed, percent)
+    wanted = placed.where("members > 1").select("id").unionByName(cross.select(F.col("id1").alias("id"))).unionByName(cross.select(F.col("id2").alias("id")))
+    sets = stored(_sets(texts, k, counts, wanted), "ngram-sets")
 
     def of_reps(links: DataFrame) -> DataFrame:
         for c in ("u", "v"):
             links = links.join(firsts.select(F.col("id").alias(c), F.col("first").alias(f"{c}r")), c)
         return links.select(F.col("ur").alias("u"), F.col("vr").alias("v"))
 
-    first = stored(of_reps(_group_links(sets, placed, percent)).unionByName(several), "ngram-links")
-    found = components(first)
-    by_id = firsts.join(found, F.col("first") == F.col("node")).select(F.col("id").alias("node"), "component")
-    more = stored(of_reps(_pair_links(shared, sets, placed, stored(by_id, "ngram-components"), percent)), "ngram-links")
-    if not more.isEmpty():
-        found = components(first.unionByName(more))
+    links = _group_links(sets, placed, percent).unionByName(_verified(cross, sets, percent))
+    links = stored(of_reps(links).unionByName(several), "ngram-links")
+    found = components(links)
+    if not placed.where("chunks > 1").isEmpty():
+        by_id = stored(firsts.join(found, F.col("first") == F.col("node")).select(F.col("id").alias("node"), "component"), "ngram-components")
+        more = stored(of_reps(_verified(_chunk_pairs(shared, placed, by_id, percent), sets, percent)), "ngram-links")
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
     final = stored(firsts.select("id", "first").join(found, F.col("first") == F.col("node"), "left").select(F.col("id").alias("i"), F.coalesce("component", "first").alias("component")), "ngram-components")
     out = rows.join(final, F.col("id") == F.col("i"), "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
