@@ -12,7 +12,7 @@ from tidewatch.llm import hmm
 from tidewatch.llm.fitting import isotonic
 from tidewatch.llm.language import identify_language
 from tidewatch.llm.quality import score_quality
-from tidewatch.llm.toxicity import BlockMaxIndex, score_toxicity
+from tidewatch.llm.toxicity import BlockMaxIndex, score_toxicity, terms
 
 from .helpers import docs, odd_rows, words
 
@@ -68,6 +68,28 @@ def test_toxicity_on_held_out_rows(spark):
     assert any(r["evidence"] for r in out) and all(e["id"] in truth and _fold(e["id"], 5) for r in out for e in r["evidence"])
 
 
+def test_toxicity_neighbours_are_by_all_words(spark):
+    texts = ["the cat sat on a mat", "a dog lay on the rug", "le chat dort sur un tapis", "der Hund liegt auf dem Teppich", "we went by bus to the sea", "\u732b\u304c\u5bdd\u3066\u3044\u308b", "\u72ac\u304c\u8d70\u3063\u3066\u3044\u308b", "un chat noir", "ein Hund und ein Ball", "to be or not to be"] * 3
+    rows = [(i, f"{x} {i % 4}", None, None) for i, x in enumerate(texts)]
+    labels = [(i, 1, i % 3 % 2, None) for i in range(0, 30, 2)]
+    train = {i: y for i, _, y, _ in labels if _fold(i, 5)}
+    df = Counter(t for _, x, _, _ in rows for t in set(terms(x)))
+    known = {t for i in train for t in terms(rows[i][1])}
+
+    def vector(x):
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1) for t, n in terms(x).items() if t in known}
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        return {t: w / norm for t, w in v.items()}
+
+    vectors = {i: vector(x) for i, x, _, _ in rows}
+    out = score_toxicity(docs(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        want = sorted((sum(w * vectors[i].get(t, 0.0) for t, w in vectors[r["id"]].items()) for i in train), reverse=True)
+        want = [w for w in want if w > 1e-12][:5]
+        assert r["evidence"] and [e["similarity"] for e in r["evidence"]] == pytest.approx(want)
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], LABELS)
     assert {r["score"] for r in score_toxicity(docs(spark, odd_rows()), none).collect()} == {0.0}

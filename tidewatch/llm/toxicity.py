@@ -1,124 +1,174 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word beginnings that tell the labels of a bounded sample apart; their document frequencies come
-from all documents. The labelled examples lie in an inverted index whose postings are cut into blocks with each block's
-greatest weight. A query visits blocks in falling order of their bounds and stops when no block can reach its k-th
-neighbour, so the neighbours are exact. Votes weighted by similarity are calibrated on the examples themselves, each
-scored without its own vote.
+Terms are all words of a bounded labelled sample (character pairs where a script has no spaces); their document
+frequencies come from all documents. The labelled examples lie in an inverted index: the commonest terms as a matrix,
+the others as postings cut into blocks of rows with each block's greatest weight. Queries are scored in batches; only
+blocks whose bound reaches a query's k-th neighbour so far are read, so the neighbours are exact. Votes weighted by
+similarity are calibrated on the examples themselves, each scored without its own vote. Words and word beginnings that
+tell the labels apart give a second vote by a cosine over them alone; texts without any have the first vote only.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, fold, stored
 from .fitting import isotonic
 
-_LETTERS = re.compile(r"[^\W\d_]{4,}")
+_WORDS = re.compile(r"\w+")
+#: Scripts written without spaces: Thai to Tibetan, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 
 
 def terms(text: str | None) -> Counter:
-    """Counts of the words of four letters or more, and of their first 4, 5 and 6 letters (marked with a star)."""
+    """Counts of all words; runs of a script without spaces count as their pairs of characters."""
+    low = (text or "").lower()
+    if low.isascii() or not _UNSPACED.search(low):
+        return Counter(_WORDS.findall(low))
+    runs = _UNSPACED.findall(low)
+    out = Counter(_WORDS.findall(_UNSPACED.sub(" ", low)))
+    out.update(r[i : i + 2] for r in runs for i in range(max(1, len(r) - 1)))
+    return out
+
+
+_LETTERS = re.compile(r"[^\W\d_]{4,}")
+
+
+def beginnings(word: str) -> list[str]:
+    """A word of four letters or more, and its first 4, 5 and 6 letters (marked with a star)."""
+    return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) >= k)]
+
+
+def telling_terms(text: str | None, heads: set[str] | None = None) -> Counter:
+    """Counts of the beginnings of the text's words, with `heads` of those only that start with one of them."""
     out: Counter = Counter()
     for w, n in Counter(_LETTERS.findall((text or "").lower())).items():
-        out[w] += n
-        for k in (4, 5, 6):
-            if len(w) >= k:
-                out[w[:k] + "*"] += n
+        if heads is None or w[:4] in heads:
+            for t in beginnings(w):
+                out[t] += n
     return out
 
 
-def known_terms(text: str | None, vocabulary: dict[str, int], heads: set[str]) -> dict[int, int]:
-    out: dict[int, int] = {}
-    for w in _LETTERS.findall((text or "").lower()):
-        if w[:4] in heads:
-            for t in (w, w[:4] + "*", w[:5] + "*" if len(w) > 4 else None, w[:6] + "*" if len(w) > 5 else None):
-                i = vocabulary.get(t)
-                if i is not None:
-                    out[i] = out.get(i, 0) + 1
-    return out
+def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... of size[0] entries, then the same of the next."""
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 class BlockMaxIndex:
-    """Postings of L2-normalised sparse rows by term and block of rows, with the greatest weight of each."""
+    """L2-normalised sparse rows of weights above 0 by term: a matrix of the `dense` commonest terms, and postings of the
+    others in blocks of rows, with the greatest weight of each."""
 
-    def __init__(self, rows: list[dict[int, float]], n_terms: int, block: int = 64):
+    def __init__(self, rows: list[dict[int, float]], n_terms: int, block: int = 64, dense: int = 512):
         self.size, self.block = len(rows), block
-        n_blocks = max(1, -(-len(rows) // block))
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for i, row in enumerate(rows):
-            for t, w in row.items():
-                lists[t].append((i, w))
-        self.row = np.array([i for x in lists for i, _ in x], dtype=np.int32)
-        self.weight = np.array([w for x in lists for _, w in x])
-        self.start = np.zeros((n_terms, n_blocks + 1), dtype=np.int32)
-        self.most = np.zeros((n_terms, n_blocks))
-        at = 0
-        for t, x in enumerate(lists):
-            ids = self.row[at : at + len(x)]
-            self.start[t] = at + np.searchsorted(ids, np.arange(n_blocks + 1) * block)
-            np.maximum.at(self.most[t], ids // block, self.weight[at : at + len(x)])
-            at += len(x)
-
-    def _add(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, into: np.ndarray) -> None:
-        """Adds the dot products of the rows in `blocks`, from the postings of the terms there only."""
-        lo, hi = self.start[np.ix_(terms, blocks)].ravel(), self.start[np.ix_(terms, blocks + 1)].ravel()
-        size = hi - lo
-        if size.any():
-            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-            into += np.bincount(self.row[at], self.weight[at] * np.repeat(np.repeat(weights, len(blocks)), size), minlength=len(into))
+        self.n_blocks = max(1, -(-len(rows) // block))
+        n = np.array([len(x) for x in rows], dtype=np.int64)
+        term = np.fromiter((t for x in rows for t in x), dtype=np.int64, count=n.sum())
+        weight = np.fromiter((w for x in rows for w in x.values()), dtype=float, count=n.sum())
+        row = np.repeat(np.arange(len(rows)), n)
+        often = np.argsort(-np.bincount(term, minlength=n_terms), kind="stable")[:dense]
+        self.place = np.full(n_terms, -1, dtype=np.int32)
+        self.place[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), len(rows)))
+        common = self.place[term] >= 0
+        self.matrix[self.place[term[common]], row[common]] = weight[common]
+        term, weight, row = term[~common], weight[~common], row[~common]
+        order = np.lexsort((row, term))
+        term, self.weight, self.row = term[order], weight[order], row[order].astype(np.int32)
+        new = np.ones(len(term), dtype=bool)
+        new[1:] = (term[1:] != term[:-1]) | (self.row[1:] // block != self.row[:-1] // block)
+        first = np.flatnonzero(new)
+        self.at = np.append(first, len(term)).astype(np.int32)
+        self.block_of = (self.row[first] // block).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.start = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, leave: np.ndarray | None = None) -> list[list[tuple[float, int]]]:
+        """For each query (terms, weights), the k rows of greatest positive dot product, of equal ones the first; query i
+        passes over row leave[i].
+
+        The matrix gives every row a lower bound of its product, and with the blocks' greatest weights an upper one.
+        """
+        if not self.size or not queries:
+            return [[] for _ in queries]
+        n, step = len(queries), np.arange(self.n_blocks) * self.block
+        term = np.concatenate([t for t, _ in queries]).astype(np.int64)
+        weight = np.concatenate([w for _, w in queries])
+        query = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        place = self.place[term]
+        common = place >= 0
+        dense = np.zeros((n, len(self.matrix)))
+        dense[query[common], place[common]] = weight[common]
+        dots = dense @ self.matrix
+        if leave is not None:
+            dots[np.arange(n), leave] = -np.inf
+        least = self._kth(dots, k)
+        term, weight, query = term[~common], weight[~common], query[~common]
+        size = self.start[term + 1] - self.start[term]
+        part, query, weight = _spread(self.start[term], size), np.repeat(query, size), np.repeat(weight, size)
+        cell = query * self.n_blocks + self.block_of[part]
+        bound = np.maximum.reduceat(dots, step, axis=1).ravel() + np.bincount(cell, weight * self.most[part], minlength=n * self.n_blocks)
+        reach = bound[cell] >= least[query] - 1e-9
+        part, query, weight = part[reach], query[reach], weight[reach]
+        size = self.at[part + 1] - self.at[part]
+        at = _spread(self.at[part], size)
+        dots += np.bincount(np.repeat(query, size) * self.size + self.row[at], self.weight[at] * np.repeat(weight, size), minlength=dots.size).reshape(dots.shape)
+        least = np.maximum(self._kth(dots, k), 1e-12)
+        out = []
+        for x, low in zip(dots, least, strict=True):
+            best = np.flatnonzero(x >= low - 1e-11)
+            s = np.round(x[best], 12)
+            order = np.argsort(-s, kind="stable")[:k]
+            out.append([(float(s[i]), int(best[i])) for i in order if s[i] >= 1e-12])
+        return out
+
+    def _kth(self, dots: np.ndarray, k: int) -> np.ndarray:
+        return np.partition(dots, -k, axis=1)[:, -k] if self.size >= k else np.zeros(len(dots))
 
     def nearest(self, query: dict[int, float], k: int, leave: int = -1) -> list[tuple[float, int]]:
-        """The k rows of greatest positive dot product, of equal ones the first; row `leave` is passed over.
-
-        The blocks of greatest bound give a k-th best; of the others only those whose bound reaches it are read.
-        """
-        if not query or not self.size:
-            return []
-        t, q = np.fromiter(query, dtype=np.int64), np.fromiter(query.values(), dtype=float)
-        bounds = q @ self.most[t]
-        order = np.argsort(-bounds, kind="stable")
-        dots = np.zeros(self.size)
-        first = order[: 1 + -(-k // self.block) * 2]
-        self._add(t, q, first, dots)
-        if leave >= 0:
-            dots[leave] = 0.0
-        least = np.partition(dots, -k)[-k] if self.size >= k else 0.0
-        rest = order[len(first) :]
-        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= least - 1e-9)]
-        if len(rest):
-            self._add(t, q, rest, dots)
-            if leave >= 0:
-                dots[leave] = 0.0
-        dots = np.round(dots, 12)
-        best = np.flatnonzero(dots >= max(np.partition(dots, -k)[-k] if self.size >= k else 0.0, 1e-12))
-        best = best[np.argsort(-dots[best], kind="stable")][:k]
-        return [(float(dots[i]), int(i)) for i in best]
-
-
-def _scaled(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    row = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items()}
-    norm = np.sqrt(sum(w * w for w in row.values()))
-    return {t: float(w / norm) for t, w in row.items()} if norm else {}
+        """nearest_all of one query; without `leave` no row is passed over."""
+        q = (np.fromiter(query, dtype=np.int64, count=len(query)), np.fromiter(query.values(), dtype=float, count=len(query)))
+        return self.nearest_all([q], k, np.array([leave]) if leave >= 0 else None)[0]
 
 
 @dataclass
-class ToxicityModel:
-    vocabulary: dict[str, int]
+class View:
+    """Examples as vectors of the terms first, first + 1, ... of the vocabulary."""
+
     idf: np.ndarray
+    first: int
     index: BlockMaxIndex
+
+    @staticmethod
+    def of(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, first: int, last: int) -> View:
+        view = View(idf[first:last], first, None)
+        return View(view.idf, first, BlockMaxIndex([dict(zip(t.tolist(), w.tolist(), strict=True)) for t, w in map(view.scaled, rows)], last - first))
+
+    def scaled(self, row: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        t, n = row
+        mine = (t >= self.first) & (t < self.first + len(self.idf))
+        t = t[mine] - self.first
+        w = (1 + np.log(n[mine])) * self.idf[t]
+        return t, w / np.sqrt(w @ w) if len(w) else w
+
+
+@dataclass
+class ToxicityModel:
+    words: View
+    telling: View
     ids: list[int]
     toxic: np.ndarray
     class_weight: tuple[float, float]
     k: int
-    knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    knots: dict[bool, tuple[np.ndarray, np.ndarray]]
     silent: float = 0.0
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -129,49 +179,87 @@ class ToxicityModel:
             mass[y] += s * self.class_weight[y]
         return mass[1] / (mass[0] + mass[1]) if near else 0.0
 
-    def score(self, counts: dict[int, int], leave: int = -1) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(_scaled(counts, self.idf), self.k, leave)
-        return (float(np.interp(self.vote(near), *self.knots)) if near else self.silent), near
+    def votes(self, rows: list[tuple[np.ndarray, np.ndarray]], leave: np.ndarray | None = None, batch: int = 64) -> Iterable[tuple[list[tuple[float, int]], float, bool]]:
+        """Of rows (terms, counts): the neighbours by words, the mean vote, and whether telling terms took part."""
+        for i in range(0, len(rows), batch):
+            out = None if leave is None else leave[i : i + batch]
+            near, told = (v.index.nearest_all([v.scaled(r) for r in rows[i : i + batch]], self.k, out) for v in (self.words, self.telling))
+            for a, b in zip(near, told, strict=True):
+                yield a, (self.vote(a) + self.vote(b)) / 2 if b else self.vote(a), bool(b)
 
+    def score(self, near: list[tuple[float, int]], vote: float, told: bool) -> float:
+        return float(np.interp(vote, *self.knots[told])) if near else self.silent
 
-def _chosen(sample: DataFrame, most: int, least_g: float, least_lift: float) -> list[str]:
-    """Terms of toxic examples by the log-likelihood ratio of their presence against the label, at least `least_g`; their
-    share of toxic examples must be `least_lift` times that of others, which leaves out terms of topics and languages."""
 
-    def of(batches):
-        for b in batches:
-            rows = [(int(y), list(terms(t))) for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([t for _, t in rows], pa.list_(pa.string()))], names=["y", "terms"])
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column without nulls."""
+    at = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy()[at[0] : at[-1]], at[1:-1] - at[0]) if len(column) else []
 
-    has = sample.select("y", "text").mapInArrow(of, "y int, terms array<string>")
-    n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
+
+def _list_column(lists: list[list[int]]) -> pa.ListArray:
+    size = np.array([len(x) for x in lists], dtype=np.int64)
+    flat = np.fromiter((v for x in lists for v in x), dtype=np.int32, count=size.sum())
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat))
+
+
+def _chosen(texts: list[tuple[int, str | None]], most: int, least_g: float, least_lift: float) -> list[str]:
+    """Terms of toxic examples by the log-likelihood ratio of their presence against the label, at least `least_g`; their
+    share of toxic examples must be `least_lift` times that of others, which leaves out terms of topics and languages."""
+    n1, n0 = sum(y for y, _ in texts), sum(1 - y for y, _ in texts)
     if not n1 or not n0:
         return []
-    df = has.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.sum(F.lit(1) - F.col("y")).alias("b"))
+    has = (Counter(), Counter())
+    for y, x in texts:
+        has[y].update(telling_terms(x).keys())
 
-    def part(seen, of_class):
-        p = (F.col("a") + F.col("b")) / F.lit(n1 + n0)
-        cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-        return cell(seen, p * of_class) + cell(F.lit(of_class) - seen, (1 - p) * of_class)
+    def g(a: int, b: int) -> float:
+        p = (a + b) / (n1 + n0)
+        cells = ((a, p * n1), (n1 - a, (1 - p) * n1), (b, p * n0), (n0 - b, (1 - p) * n0))
+        return 2 * sum(o * np.log(o / e) for o, e in cells if o > 0)
 
-    g = df.where(F.col("a") + F.col("b") >= 4).withColumn("g", 2 * (part(F.col("a"), n1) + part(F.col("b"), n0)))
-    g = g.where((F.col("g") >= least_g) & (F.col("a") * n0 >= F.col("b") * least_lift * n1))
-    return [r["term"] for r in g.orderBy(F.desc("g"), "term").limit(most).collect()]
+    found = [(t, a, has[0][t]) for t, a in has[1].items() if a + has[0][t] >= 4 and a * n0 >= has[0][t] * least_lift * n1]
+    ranked = sorted((-g(a, b), t) for t, a, b in found)
+    return [t for x, t in ranked if -x >= least_g][:most]
 
 
-def _vectors(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+def _known(text: str | None, words: dict[str, int], telling: dict[str, int], heads: set[str]) -> dict[int, int]:
+    """Counts of a text's words and telling terms by number."""
+    out = {words[w]: n for w, n in terms(text).items() if w in words}
+    out.update((telling[w], n) for w, n in telling_terms(text, heads).items() if w in telling)
+    return out
+
+
+def _vectors(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """(id, terms, counts) of the vocabulary's terms; one pass over whole texts."""
-    heads = {t[:4] for t in vocabulary}
 
     def of(batches):
         for b in batches:
-            rows = [known_terms(t, vocabulary, heads) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([list(r) for r in rows], pa.list_(pa.int32())), pa.array([list(r.values()) for r in rows], pa.list_(pa.int32()))], names=["id", "terms", "counts"])
+            rows = [_known(x, *vocabulary.value) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), _list_column([list(r) for r in rows]), _list_column([list(r.values()) for r in rows])], names=["id", "terms", "counts"])
 
     return docs.mapInArrow(of, "id long, terms array<int>, counts array<int>")
 
 
+def _frequencies(vectors: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those with each term; a task sends one row for each term it met."""
+
+    def of(batches):
+        n, df = 0, np.zeros(n_terms + 1, dtype=np.int64)
+        for b in batches:
+            n += b.num_rows
+            for x in _lists(b.column(0)):
+                df[x] += 1
+        df[n_terms] = n
+        met = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(df[met])], names=["t", "n"])
+
+    sums = vectors.select("terms").mapInArrow(of, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(n_terms + 1, dtype=np.int64)
+    df[sums.column("t").to_numpy()] = sums.column("n").to_numpy()
+    return int(df[n_terms]), df[:n_terms]
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -189,10 +277,10 @@ def score_toxicity(
     """One row per document: id, held_out, score, predicted, evidence (neighbours' id, similarity, label).
 
     Labels are learned only from documents outside the held-out fold of crc32(id), and from at most `examples` of each
-    class, the first in hash order; that bound is all that is sampled. Texts without any telling term, empty and null
-    ones included, have no neighbour and get the share of toxic ones among such examples. Labels without a document or
-    a value are passed over; without both classes every score is the share of toxic labels. Repeated rows are scored
-    each time; an empty table gives no rows.
+    class, the first in hash order; that bound is all that is sampled. Neighbours are by all words; `most_terms`,
+    `least_g` and `least_lift` choose the terms of the second vote. Texts that share no term with an example, empty and null ones included, have no neighbour and
+    get the share of toxic ones among such examples. Labels without a document or a value are passed over; without both
+    classes every score is the share of toxic labels. Repeated rows are scored each time; an empty table gives no rows.
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -201,45 +289,44 @@ def score_toxicity(
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     picked = bounded_sample(known, "y", "id", examples, "toxicity")
-    sample = stored(d.join(F.broadcast(picked), "id").groupBy("id").agg(F.first("y").alias("y"), F.min("text").alias("text")), "toxicity-sample")
-    vocabulary = {t: i for i, t in enumerate(_chosen(sample, most_terms, least_g, least_lift))}
-    vectors = stored(_vectors(d, vocabulary), "toxicity-vectors")
-    df = dict(vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect())
-    n = vectors.count()
-    idf = np.array([np.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
-    rows = vectors.join(F.broadcast(sample.select("id", "y")), "id").dropDuplicates(["id"]).collect()
-    # examples alike lie side by side, so that blocks have few terms and low bounds
-    rows.sort(key=lambda r: (max(r["terms"], key=lambda t: (idf[t], t), default=-1), r["y"], r["id"]))
-    got = Counter(r["y"] for r in rows)
+    sample = d.join(F.broadcast(picked), "id").groupBy("id").agg(F.first("y").alias("y"), F.min("text").alias("text"))
+    rows = [(r["id"], r["y"], r["text"]) for r in sample.collect()]
+    words = {t: i for i, t in enumerate(sorted({t for _, _, x in rows for t in terms(x)}))}
+    telling = {t: len(words) + i for i, t in enumerate(_chosen([(y, x) for _, y, x in rows], most_terms, least_g, least_lift))}
+    known_to = (words, telling, {t[:4] for t in telling})
+    vectors = stored(_vectors(d, spark.sparkContext.broadcast(known_to)), "toxicity-vectors")
+    n, df = _frequencies(vectors, len(words) + len(telling))
+    idf = np.log((1 + n) / (1 + df)) + 1
+    found = [(i, y, _known(x, *known_to)) for i, y, x in rows]
+    # examples alike lie side by side, so that blocks have low bounds
+    found.sort(key=lambda r: (max(r[2], key=lambda t: (df[t], t), default=-1), r[1], r[0]))
+    got = Counter(y for _, y, _ in found)
     weight = tuple(counts.get(c, 0) / max(1, got[c]) for c in (0, 1))
-    vecs = [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows]
-    model = ToxicityModel(vocabulary, idf, BlockMaxIndex([_scaled(v, idf) for v in vecs], len(idf)), [r["id"] for r in rows], np.array([r["y"] for r in rows]), weight, k, silent=share)
+    vecs = [(np.fromiter(c, dtype=np.int64, count=len(c)), np.fromiter(c.values(), dtype=np.int64, count=len(c))) for _, _, c in found]
+    views = (View.of(vecs, idf, 0, len(words)), View.of(vecs, idf, len(words), len(idf)))
+    model = ToxicityModel(*views, [i for i, _, _ in found], np.array([y for _, y, _ in found]), weight, k, {}, share)
     _calibrate(model, vecs)
     held = spark.sparkContext.broadcast(model)
 
     def scored(batches):
         m = held.value
         for b in batches:
-            out = [m.score(dict(zip(t, c, strict=True))) for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            near = [[{"id": m.ids[r], "similarity": s, "label": int(m.toxic[r])} for s, r in x[:5]] for _, x in out]
+            out = list(m.votes(list(zip(_lists(b.column(1)), _lists(b.column(2)), strict=True))))
+            near = [[{"id": m.ids[r], "similarity": s, "label": int(m.toxic[r])} for s, r in x[:5]] for x, _, _ in out]
             kind = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array(near, kind)], names=["id", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m.score(*x) for x in out], pa.float64()), pa.array(near, kind)], names=["id", "score", "evidence"])
 
     out = vectors.mapInArrow(scored, "id long, score double, evidence array<struct<id:long,similarity:double,label:int>>")
     return out.select("id", (fold("id", held_out_mod) == held_out).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence")
 
 
-def _calibrate(m: ToxicityModel, vecs: list[dict[int, int]]) -> None:
-    votes, ys, silent = [], [], [0.0, 0.0]
-    for i, v in enumerate(vecs):
-        near = m.index.nearest(_scaled(v, m.idf), m.k, leave=i)
-        if near:
-            votes.append(m.vote(near))
-            ys.append(int(m.toxic[i]))
-        else:
-            silent[int(m.toxic[i])] += m.class_weight[int(m.toxic[i])]
-    if sum(silent):
-        m.silent = silent[1] / sum(silent)
-    if votes:
-        y = np.array(ys, dtype=float)
-        m.knots = isotonic(np.array(votes), y, np.where(y == 1, m.class_weight[1], m.class_weight[0]))
+def _calibrate(m: ToxicityModel, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    found = list(m.votes(rows, leave=np.arange(len(rows))))
+    weight = np.array([m.class_weight[y] for y in m.toxic])
+    silent = np.array([not near for near, _, _ in found], dtype=bool)
+    if silent.any() and weight[silent].sum():
+        m.silent = float(weight[silent] @ m.toxic[silent] / weight[silent].sum())
+    for told in (False, True):
+        these = ~silent & np.array([x == told for _, _, x in found], dtype=bool)
+        v = np.array([x for _, x, _ in found])
+        m.knots[told] = isotonic(v[these], m.toxic[these].astype(float), weight[these]) if these.any() else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
