@@ -105,7 +105,7 @@ def graph_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_once("graph-features")
 def graph_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.graph_features(tx(spark, sf_dir), alerts(spark, sf_dir), max_cycle_length=3, buckets=4)
+    return graph.graph_features(tx(spark, sf_dir), alerts(spark, sf_dir), buckets=4)
 
 
 def extended(spark: SparkSession, sf_dir: str) -> DataFrame:
