@@ -40,6 +40,24 @@ def test_component_sizes_replay_union_find(spark):
     assert got == want
 
 
+def test_component_buckets_have_a_row_bound(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(h, f"A{rng.randrange(9)}", f"A{rng.randrange(9)}", 1) for h in range(30)]
+    u, want, sizes, keep = Union(), {}, [], graph.stored
+
+    def counted(df, name, *a, **b):
+        out = keep(df, name, *a, **b)
+        if name == "graph-bucket":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "stored", counted)
+    for i, (_, s, r, _) in enumerate(rows, 1):
+        want[i] = u.join(s, r)
+    got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows), 1, max_rows=10).collect()}
+    assert got == want and sum(sizes) == 30 and max(sizes) <= 10
+
+
 def _reaches(edges, a, b, steps):
     seen = {a}
     for _ in range(steps):

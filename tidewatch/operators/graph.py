@@ -79,14 +79,15 @@ def cycle_flags(tx: DataFrame, max_length: int = 4) -> DataFrame:
     return tx.select("transaction_id").join(hits, "transaction_id", "left").select("transaction_id", F.coalesce("_hit", F.lit(0)).alias("graph_cycle_involvement"))
 
 
-def component_sizes(tx: DataFrame, buckets: int = 8) -> DataFrame:
+def component_sizes(tx: DataFrame, buckets: int = 8, max_rows: int = 250_000) -> DataFrame:
     """(transaction_id, graph_component_size): accounts in the component that the row's edge would form, from prior edges.
 
-    Time is cut into buckets of equal rows. A bucket's edges are contracted by the components known before it; each
+    Time is cut into buckets of equal rows, at least `buckets` and as many as keep a bucket to `max_rows`. A bucket's edges are contracted by the components known before it; each
     connected piece of what remains is replayed in order by itself, and the components grow for the next bucket. No task
-    sees more than one piece of one bucket.
+    sees more than one piece of one bucket, so none sees more than `max_rows` rows.
     """
     n = tx.count()
+    buckets = max(buckets, -(-n // max_rows))
     d = positions(tx.where("sender_account_id is not null and receiver_account_id is not null").withColumn("_us", micros()), "_us", ["transaction_id"])
     d = stored(d.select("transaction_id", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), "position", F.floor(F.col("position") * buckets / max(1, n)).alias("bucket")), "graph-edges")
     state = d.sparkSession.createDataFrame([], "account string, label string, size long")
