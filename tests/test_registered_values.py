@@ -16,3 +16,11 @@ def test_graph_features_see_cycles_of_four_steps(spark):
     got = {r["transaction_id"]: r["graph_cycle_involvement"] for r in registry.QUERIES["graph_features"](spark, DIR).collect()}
     assert got == {i: want[i] for i in got}
     assert sum(short[i] for i in got) < sum(got.values())
+
+
+def test_models_are_fitted_with_the_operators_own_options(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(registry.models, "train_and_score", lambda frame, *options: seen.append(options))
+    monkeypatch.setattr(registry, "_fits", {})
+    registry._fitted(spark, DIR)
+    assert seen == [()]

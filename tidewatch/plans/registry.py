@@ -324,13 +324,10 @@ _add("alert_reason_codes", "alert_id:s case_id:s reason_rank:l feature_name:s co
      FROM rk JOIN mp USING (alert_id) JOIN b2 USING (alert_id) WHERE reason_rank <= 3 AND (reason_rank = 1 OR band2 = 'P1')""")
 
 # models: no SQL
-_small = models.ModelOptions(trees=10, depth=4, trials=2, k=100)
-
-
 def _fitted(s: SparkSession, d: str) -> models.Trained:
     key = (s.sparkContext.applicationId, d)
     if key not in _fits:
-        _fits[key] = models.train_and_score(t.alert_features(s, d), _small)
+        _fits[key] = models.train_and_score(t.alert_features(s, d))
     return _fits[key]
 
 
