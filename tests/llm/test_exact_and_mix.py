@@ -39,6 +39,12 @@ def test_small_memtables_and_colliding_digests(spark):
     assert _found(exact_dedup(docs(spark, rows).repartition(7), memtable_rows=3)) == _brute_dedup(rows)
 
 
+def test_colliding_digests_of_repeated_ids_lose_no_row(spark):
+    one = lambda t: F.substring(F.sha2(F.lit("x"), 256), 1, 4)
+    rows = [(1, "aa", "en", "s"), (1, "bb", "en", "s"), (2, "aa", "en", "s"), (3, "cc", "en", "s"), (None, "cc", "en", "s"), (None, "dd", "en", "s"), (None, None, "en", "s")]
+    assert _found(exact_dedup(docs(spark, rows), digest=one)) == _brute_dedup(rows)
+
+
 def test_exact_dedup_of_nothing(spark):
     assert exact_dedup(docs(spark, [])).count() == 0
 
@@ -94,16 +100,18 @@ def test_pack_downsizes_and_fits():
     assert pack([10], (512, 1024, 2048), 16)[2] == [512]
 
 
-def _brute_best_fit(sizes, caps, opening):
+def _brute_best_fit(sizes, caps, cost, opening):
     """Bins by a plain scan for the least room that is enough, the oldest of equals."""
     bins = []
-    for s in sizes:
+    for j, s in enumerate(sizes):
         fit = [(room, i) for i, (room, _) in enumerate(bins) if room >= s]
         if fit:
             room, i = min(fit)
             bins[i] = (room - s, bins[i][1] + s)
         else:
-            bins.append((max(opening, min(c for c in caps if c >= s)) - s, s))
+            hold = s + max(0, sum(sizes[j + 1 :]) - sum(room for room, _ in bins))
+            own = min((c for c in caps if c >= s), key=lambda c: ((c + cost) / min(c, hold), -c))
+            bins.append(((max(opening, min(c for c in caps if c >= s)) if opening else own) - s, s))
     return [min(c for c in caps if c >= used) for _, used in bins]
 
 
@@ -113,7 +121,7 @@ def test_pack_matches_a_plain_scan():
     for _ in range(30):
         sizes = sorted((rng.randrange(1, 256) for _ in range(80)), reverse=True)
         lengths = pack(sizes, caps, 4)[2]
-        best = min((_brute_best_fit(sizes, caps, c) for c in caps), key=lambda x: sum(x) + 4 * len(x))
+        best = min((_brute_best_fit(sizes, caps, 4, c) for c in (None, *caps)), key=lambda x: sum(x) + 4 * len(x))
         assert sum(lengths) + 4 * len(lengths) == sum(best) + 4 * len(best)
 
 
@@ -137,3 +145,17 @@ def test_pack_documents_keeps_every_word(spark):
         assert [r["at"] for r in rows_] == [sum(x["size"] for x in rows_[:i]) for i in range(len(rows_))]
         assert sum(r["size"] for r in rows_) <= rows_[0]["capacity"]
     assert pack_documents(docs(spark, [])).count() == 0
+
+
+def test_bins_of_repeated_long_rows_do_not_overlap(spark):
+    long, longer = words(random.Random(4), 2500), words(random.Random(6), 5000)
+    rows = [(1, long, "en", "a")] * 3 + [(1, longer, "en", "a")] * 2 + [(None, long, "en", "a")] * 2
+    got = pack_documents(docs(spark, rows), shard_pieces=4).collect()
+    assert sum(r["size"] for r in got) == 5 * 2500 + 2 * 5000
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["bin"]].append((r["at"], r["at"] + r["size"], r["capacity"]))
+    for spans in bins.values():
+        spans.sort()
+        assert spans[-1][1] <= spans[0][2]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
