@@ -2,8 +2,9 @@
 
 Each task keeps a memtable of digests. A full memtable is flushed as a run: entries sorted by digest, each with the ids
 it has seen, in Parquet files with Bloom filters in their footers. Compaction merges all runs into one table that keeps
-the smallest id of every digest. Rows look up their run's entry there; a hit (a row that does not stay) is then compared
-byte for byte with the row that stays, and goes to a class of its own if only the digests were equal.
+the smallest id of every digest: an aggregate over the runs' entries, since Spark's sorted shuffle is that merge. Rows
+look up their run's entry there; a hit (a row that does not stay) is then compared byte for byte with the row that
+stays, and goes to the class of its own bytes if only the digests were equal.
 """
 
 from __future__ import annotations
@@ -95,37 +96,31 @@ def exact_dedup(
     first = (F.col("run") == F.col("keep_run")) & (F.col("pos") == 0)
     rows = runs.join(level, "digest").select("digest", "run", "keep_run", "keep_id", "group_size", F.posexplode("ids").alias("pos", "id"))
     rows = rows.select("id", "keep_id", "group_size", first.alias("kept"), "digest")
-    wrong = _unequal(narrow, level.where("group_size > 1"), digest)
+    members = _members(narrow, rows.where("group_size > 1"), level.where("group_size > 1"), digest)
+    stays = members.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("body").alias("stays"))
+    wrong = stored(members.join(stored(stays, "dedup-stays"), "digest").where("body <> stays").select("digest").distinct(), "dedup-unequal")
     if wrong.isEmpty():
         return rows
-    return _separated(rows, wrong)
+    return rows.join(wrong, "digest", "left_anti").select(rows.columns).unionByName(_separated(members.join(wrong, "digest", "left_semi")))
 
 
-def _unequal(docs: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """(digest, id, body) of hits whose bytes differ from those of the row that stays, though the digests are equal.
+def _members(docs: DataFrame, rows: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """(digest, id, body, keep_id) of every row in the groups, for the comparison of bytes.
 
-    A fixed-size filter of the groups' digests spares most unique texts the shuffle.
+    A fixed-size filter of their ids spares most unique texts the second digest and the shuffle.
     """
-    texts = docs.select("id", normalised(F.col("text")).alias("body"))
+    texts = where_in(docs, "id", rows, "id").select("id", normalised(F.col("text")).alias("body"))
     texts = texts.select("id", "body", digest(F.col("body")).alias("digest"))
-    likely = where_in(texts.withColumn("spot", F.xxhash64("digest")), "spot", groups.select(F.xxhash64("digest").alias("k")), "k")
-    members = stored(likely.join(groups, "digest").select("digest", "id", "body", "keep_id"), "dedup-members")
-    stays = members.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("body").alias("stays"))
-    return stored(members.join(stored(stays, "dedup-stays"), "digest").where("body <> stays").select("digest", "id", "body"), "dedup-unequal")
+    return stored(texts.join(groups.select("digest", "keep_id"), "digest"), "dedup-members")
 
 
-def _separated(rows: DataFrame, wrong: DataFrame) -> DataFrame:
-    """Rows with classes of equal bytes where one digest stands for several texts. `wrong` is as good as empty in practice."""
+def _separated(members: DataFrame) -> DataFrame:
+    """Classes of equal bytes of all rows whose digest stands for several texts; as good as none in practice."""
     same = W.partitionBy("digest", "body")
-    split = wrong.select(
-        "digest", "id",
+    return members.select(
+        "id",
         F.min("id").over(same).alias("keep_id"),
         F.count(F.lit(1)).over(same).alias("group_size"),
         (F.row_number().over(same.orderBy(F.col("id").asc_nulls_last())) == 1).alias("kept"),
+        "digest",
     )
-    lost = wrong.groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("lost"))
-    bad = wrong.select(F.col("digest").alias("d"), F.col("id").alias("i")).distinct()
-    rest = rows.join(bad, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_anti")
-    rest = rest.join(F.broadcast(lost), F.col("digest") == F.col("d"), "left").withColumn("group_size", F.col("group_size") - F.coalesce("lost", F.lit(0)))
-    # where repeated ids carry different texts, the rows left need their first again
-    return rest.select("id", "keep_id", "group_size", "kept", "digest").unionByName(split)

@@ -53,10 +53,10 @@ def mix_sources(
     seed: str = "mix",
     bucket_rows: int = 20_000,
 ) -> DataFrame:
-    """One row per document: id, size (words), source, source_size, target, taken (words, repeats counted).
+    """One row per document: id, size (words), source, source_size, target, taken (words, repeats counted), nth.
 
     Texts without words, null or empty, have size 0 and take nothing; a null source is a source of its own. Repeated
-    rows count each time. An empty table gives no rows. Reruns agree: the order is by md5 of seed and id, then id, size.
+    rows count each time; `nth` numbers those of equal id, source and size, which the mix can't tell apart, from 1. An empty table gives no rows. Reruns agree: the order is by md5 of seed and id, then id, size.
 
     Running sums are taken in two levels, so no source needs one task: hash ranges of about `bucket_rows` documents
     within a source, finish-time ranges across sources; only the range in which the budget ends is summed row by row.
@@ -120,4 +120,4 @@ def _with_taken(d: DataFrame, taken: DataFrame) -> DataFrame:
     both = rows.join(got, same[0] & same[1] & same[2], "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
     one = both.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     share = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("i") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
-    return one.select("id", "size", "source", "source_size", "target", (share * F.col("size")).cast("long").alias("taken"))
+    return one.select("id", "size", "source", "source_size", "target", (share * F.col("size")).cast("long").alias("taken"), F.col("i").alias("nth"))
