@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns documents' columns, the last
 one packed pieces. Between stages the documents are written as Parquet and read again.
+
+In every stage a null text counts as empty, null ids, languages and sources are values like any other, other columns are
+left out, and an empty table gives an empty one. Rows that repeat an id are rows of their own; where a stage decides by
+id, they stay together.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import Window as W
 
 from tidewatch.llm.common import stored
 from tidewatch.llm.exact_dedup import exact_dedup, normalised, sha256
-from tidewatch.llm.mixing import mix_sources
+from tidewatch.llm.mixing import mix_sources, n_words
 from tidewatch.llm.ngram_join import ngram_components
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.quality import score_quality
@@ -43,14 +47,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; a document taken several times is as many rows."""
-    taken = mix_sources(docs).where("taken > 0").groupBy("id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    rows = docs.select(COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
-    return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).select(COLUMNS)
+    """Each document as often as the mix takes it; a document taken several times is as many rows.
+
+    Rows that repeat an id are told apart by source and size, and by number where these are equal too.
+    """
+    taken = mix_sources(docs).where("taken > 0")
+    taken = taken.select("id", F.col("size").alias("s"), F.col("source").alias("of"), "nth", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    rows = docs.select(*COLUMNS, n_words(F.col("text")).alias("words")).where("words > 0")
+    rows = rows.withColumn("i", F.row_number().over(W.partitionBy("doc_id", "source", "words").orderBy("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("words") == F.col("s")) & F.col("source").eqNullSafe(F.col("of")) & (F.col("i") == F.col("nth"))
+    return rows.join(taken, same).select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed pieces: doc_id, piece, size, bin, capacity, at."""
+    """Packed pieces: doc_id, words, copy, piece, size, bin, capacity, at."""
     return pack_documents(docs).withColumnRenamed("id", "doc_id")
 
 
