@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm import hmm
+from tidewatch.llm.wordhash import words as word_hashes
 from tidewatch.llm.fitting import isotonic
 from tidewatch.llm.language import identify_language
 from tidewatch.llm.quality import score_quality
@@ -165,7 +166,7 @@ def test_expected_counts_follow_the_gradient():
 @pytest.mark.parametrize("head,symbols", [(1000, 8), (10, 4)])
 def test_hmm_scores_match_brute_force(spark, head, symbols):
     rng = random.Random(10)
-    rows = [(i, words(rng, rng.randrange(0, 9), most=30).title(), "en", "s") for i in range(80)] + odd_rows()[:8]
+    rows = [(i, words(rng, rng.randrange(0, 9), most=30).title(), "en", "s") for i in range(80)] + odd_rows()
     out = hmm.score_hmm(docs(spark, rows), head=head, symbols=symbols, states=2).collect()
     tokens = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) + ["\0"]
     counts = Counter(w for i, t, *_ in rows if _fold("" if i is None else i, 7) != 2 for w in tokens(t))
@@ -176,6 +177,50 @@ def test_hmm_scores_match_brute_force(spark, head, symbols):
     assert hmm.score_hmm(docs(spark, [])).count() == 0
 
 
+def test_hmm_score_is_chain_times_shares_within_symbols(spark, monkeypatch):
+    """Against a plain sum over states, word by word, with the trained model taken from the run."""
+    rng, held = random.Random(12), {}
+    scores = hmm._scores
+    monkeypatch.setattr(hmm, "_scores", lambda rows, counts, lex, chain: (held.update(lex=lex, chain=chain), scores(rows, counts, lex, chain))[1])
+    rows = [(i, words(rng, rng.randrange(0, 9), stem=rng.choice(["w", "v", "é"]), most=30), "en", "s") for i in range(60)] + odd_rows()
+    out = hmm.score_hmm(docs(spark, rows), head=20, symbols=5, states=3, contexts=8).collect()
+    lex, chain = held["lex"], held["chain"]
+    tokens = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+    counts = Counter(w for i, t, *_ in rows if _fold("" if i is None else i, 7) != 2 for w in tokens(t))
+    place = {}
+    for w in {w for _, t, *_ in rows for w in tokens(t)}:
+        raw = np.frombuffer(w.encode(), dtype=np.uint8)
+        h, start, end, _ = word_hashes(raw, np.array([0, len(raw)]))
+        at, known = lex.find(h.view(np.int64))
+        place[w] = int(lex.symbol[at[0]]) if known[0] else int(hmm.group(raw, start, end)[0])
+    tokens_of, distinct_of = Counter(), Counter()
+    for w, c in counts.items():
+        tokens_of[place[w]] += c
+        distinct_of[place[w]] += 1
+    want = []
+    for i, t, *_ in rows:
+        alpha, log = chain.start, 0.0
+        for j, w in enumerate([*tokens(t), None]):
+            s = lex.end if w is None else place[w]
+            alpha = (alpha if j == 0 else alpha @ chain.move) * chain.emit[s]
+            log += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+            if s < hmm.GROUPS:
+                log += math.log10((counts[w] + 1) / (tokens_of[s] + distinct_of[s] + 1))
+        want.append((repr(i), round(log, 4)))
+    assert sorted((repr(r["id"]), round(r["score"], 4)) for r in out) == sorted(want)
+    assert np.allclose(chain.emit.sum(0), 1) and np.allclose(chain.move.sum(1), 1)
+
+
+def test_hmm_learns_what_goes_with_what(spark):
+    """Texts of three vocabularies: held out, the chain must gain at least 0.25 a token over the unigram base."""
+    rng = random.Random(13)
+    rows = [(i, words(rng, rng.randrange(20, 60), stem=rng.choice(["aa", "bb", "cc"]), most=60), "en", "s") for i in range(400)]
+    out = hmm.score_hmm(docs(spark, rows), states=4, symbols=100).where("held_out").collect()
+    n = sum(r["n_tokens"] for r in out)
+    assert sum(r["score"] - r["base_score"] for r in out) / n > 0.25
+
+
 def test_hmm_probabilities_sum_to_one(spark):
     """One-word texts over all known words, and the word that stands for unknown ones, with the end after them."""
     rows = [(i, f"w{i % 9}" + (" v" if i % 2 else ""), "en", "s") for i in range(60)]
