@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import hmm
+from tidewatch.llm import hmm, quality
 from tidewatch.llm.wordhash import words as word_hashes
 from tidewatch.llm.fitting import isotonic
 from tidewatch.llm.language import identify_language
@@ -25,11 +25,12 @@ def _fold(i, mod):
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(1)
     rows = [{int(t): float(w) for t, w in zip(rng.choice(30, 4, replace=False), rng.random(4), strict=True)} for _ in range(300)]
-    index = BlockMaxIndex(rows, 30, block=16)
-    for q in rows[:60]:
+    arrays = [(np.array(list(r)), np.array(list(r.values()))) for r in rows]
+    index = BlockMaxIndex(arrays, 30, block=16)
+    for q, near in zip(rows[:60], index.nearest_all(arrays[:60], 9), strict=True):
         dots = [(round(sum(w * r.get(t, 0.0) for t, w in q.items()), 12), -i) for i, r in enumerate(rows)]
         want = [(s, -i) for s, i in sorted(dots, reverse=True)[:9] if s > 0]
-        assert [i for _, i in index.nearest(q, 9)] == [i for _, i in want]
+        assert [i for _, i in near] == [i for _, i in want]
 
 
 def test_isotonic_pools():
@@ -87,7 +88,7 @@ def test_toxicity_neighbours_are_by_all_words(spark):
     assert len(out) == len(rows)
     for r in out:
         want = sorted((sum(w * vectors[i].get(t, 0.0) for t, w in vectors[r["id"]].items()) for i in train), reverse=True)
-        want = [w for w in want if w > 1e-12][:5]
+        want = [w for w in want if w > 1e-12][:15]
         assert r["evidence"] and [e["similarity"] for e in r["evidence"]] == pytest.approx(want)
 
 
@@ -97,16 +98,69 @@ def test_toxicity_without_labels(spark):
     assert score_toxicity(docs(spark, []), none).count() == 0
 
 
+def _plain_text_view(text):
+    """Trigram counts and steps of form of one text, letter by letter."""
+    raw = text.encode()
+    grams = Counter((((a | b << 8 | c << 16) * 0x9E3779B1) & 0xFFFFFFFF) >> 22 for a, b, c in zip(raw, raw[1:], raw[2:], strict=False))
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    low = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in w]
+    n, m, times = max(1, len(raw)), max(1, len(w)), Counter(low)
+    form = [
+        sum(c.isupper() for c in text) / n, sum(c.isdigit() for c in text) / n, sum(c in "!#$%&*|<>{}[]=@^~_\\" for c in text) / n, text.count("|") / m,
+        sum(x[-1] in "!#$%&*|<>{}[]=@^~_\\" for x in w) / m, sum(sum(c.isupper() for c in x) > 1 and not any(c.islower() for c in x) for x in w) / m,
+        sum(a == b for a, b in zip(low, low[1:], strict=False)) / m, len(times) / m**0.9, max(times.values(), default=0) / m,
+        (text.count(".") + text.count("?")) / m, sum(b >= 128 for b in raw) / n, len(raw) / m / 40, float(not w),
+    ]
+    return [min(255, grams[i]) for i in range(quality.GRAMS)], [math.ceil(15 * math.sqrt(min(1.0, x))) for x in form]
+
+
+def test_text_view_matches_a_plain_count():
+    texts = ["", "a", "  ", "SHOUT!! now now, THE END.", "\u00c9t\u00e9 \u00c8RE | x | 12 % 7?", "ab " * 900, "x" * 4000, "no no NO", "\u732b\u304c"]
+    raw = [t.encode() for t in texts]
+    grams, form = quality.text_view(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+    for t, g, f in zip(texts, grams, form, strict=True):
+        assert (g.tolist(), f.tolist()) == _plain_text_view(t), t
+
+
+def test_surest_steps_of_a_histogram():
+    z = np.round(np.random.default_rng(3).uniform(-6, 6, 4000), 3) + 0.0005
+    step = quality._bin(z)
+    counts = np.bincount(step, minlength=240).astype(float)
+    low, high = quality._sure(counts, 0.1, 0.9)
+    ones, zeros = z[step >= high], z[step < low]
+    for given, of in ((ones, (z > 0).sum()), (zeros, (z < 0).sum())):
+        assert 0.1 * of <= len(given) <= 0.1 * of + counts.max()
+    assert ones.min() > math.log(9) and zeros.max() < -math.log(9)
+    assert not (step >= quality._sure(counts, 0.5, 0.999)[1]).any()
+
+
 def test_quality_co_training(spark):
     rows, labels = _corpus()
     out = score_quality(docs(spark, rows), spark.createDataFrame(labels, LABELS).where("doc_id < 300")).collect()
     truth = {i: q for i, q, *_ in labels}
     assert np.mean([r["keep"] == bool(truth[r["id"]]) for r in out if r["id"] >= 300]) > 0.97
+    again = score_quality(docs(spark, rows).repartition(5), spark.createDataFrame(labels, LABELS).where("doc_id < 300")).collect()
+    assert {r["id"]: round(r["score"], 9) for r in again} == {r["id"]: round(r["score"], 9) for r in out}
     assert all(r["keep"] for r in score_quality(docs(spark, odd_rows()), spark.createDataFrame([], LABELS)).collect())
     assert score_quality(docs(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
     assert score_quality(docs(spark, odd_rows() + rows), spark.createDataFrame(labels, LABELS)).count() == len(odd_rows()) + len(rows)
 
 
+def test_views_teach_each_other(spark):
+    """Sources tell the quality, but none of the labelled rows has the sources that most documents have: the metadata view
+    can only learn these from what the text view is sure of."""
+    rows, labels = _corpus(900)
+    good = {i: q for i, q, *_ in labels}
+    rows = [(i, t, "en", f"{'old' if i < 300 else 'new'}-{'good' if good[i] else 'bad'}") for i, t, *_ in rows]
+    known = spark.createDataFrame(labels, LABELS).where("doc_id < 300")
+
+    def right(rounds):
+        out = score_quality(docs(spark, rows), known, rounds=rounds).collect()
+        return np.mean([(r["metadata_score"] >= 0.5) == bool(good[r["id"]]) for r in out if r["id"] >= 300])
+
+    assert right(0) < 0.8 < 0.99 < right(3)
+
+
 def test_language_on_held_out_rows(spark):
     rng = random.Random(9)
     stems = {"aa": ["bal", "dor", "kin", "tus"], "bb": ["schli", "wex", "unge", "pft"], "cc": ["oue", "eaux", "ille", "ment"]}

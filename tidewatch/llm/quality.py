@@ -1,129 +1,232 @@
 """Quality by co-training of two views of a document.
 
-The text view sees what characters and words look like; the metadata view sees the page around them: source, language,
-length and layout. Each view's classifier labels the pool documents it is surest of for the other, over some rounds.
-The two are then calibrated and combined on labelled documents that neither has learned from, and score every document.
+The text view reads the body: shares of hashed character trigrams, and how letters, symbols and words are used. The
+metadata view knows only the page's columns: source, language and stated length. Each view is a table of log-odds learned
+from labelled rows; in every round each view labels those of all other documents that it is surest of, and the other view
+learns from them too. Rounds are Spark jobs over all documents that hand on histograms of scores and sums by feature. The
+views are calibrated and then combined on labelled rows that neither has learned from, and score every document.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, fold, stored
 from .fitting import linear, logistic, sigmoid
+from .wordhash import slices, words
 
-_SYMBOLS = "!#$%&*|<>{}[]=@^~_\\"
-_ENDS = re.compile(r"[.?]\s|[.?]$")
+#: Hashed trigrams; shares of the text's form and their steps; hashed sources and languages, and steps of length.
+GRAMS, FORMS, STEPS, SOURCES, LANGS, LENGTHS = 1024, 13, 16, 1 << 16, 1 << 12, 64
+META = SOURCES + LANGS + LENGTHS
+_LOG = np.log1p(np.arange(256)).astype(np.float32)
+_SYMBOL = np.isin(np.arange(256), np.frombuffer(b"!#$%&*|<>{}[]=@^~_\\", dtype=np.uint8))
+#: Steps of a score's histogram, from -12 to 12.
+_BINS = 240
 
 
-def text_view(text: str) -> list[float]:
-    """Shares of letter cases, digits and symbols, and how often words repeat, shout or carry symbols."""
-    n = max(1, len(text))
-    words = text.split()
-    m = max(1, len(words))
-    counts = Counter(words)
-    upper = sum(1 for c in text if c.isupper()) if n < 400 else sum(map(str.isupper, text))
-    symbols = sum(text.count(c) for c in _SYMBOLS)
-    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    shout = sum(w.isupper() and len(w) > 1 for w in words)
-    dirty = sum(w[-1] in _SYMBOLS for w in words)
-    return [
-        upper / n, sum(map(text.count, "0123456789")) / n, symbols / n, text.count("|") / m, dirty / m, shout / m, again / m,
-        len(counts) / m ** 0.9, max(counts.values(), default=0) / m, sum(sorted(counts.values())[-5:]) / m,
-        n / m / 10, len(_ENDS.findall(text)) / m, 1.0 if not words else 0.0,
-    ]
+def _bin(logits: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((logits + 12) * (_BINS / 24)), 0, _BINS - 1).astype(np.int64)
 
 
-N_SOURCES, N_LANGS = 16, 8
 
+def _sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of x between neighbouring positions."""
+    up = np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[at]
+    return up[1:] - up[:-1]
 
-def metadata_view(text: str, lang: str | None, source: str | None) -> list[float]:
-    """Length and layout of the page, with source and language as hashed one-hot columns (null is a value of its own)."""
-    lines = text.count("\n") + 1
-    longest = max(map(len, text.split("\n")))
-    raw = len(text.encode("utf-8", "surrogatepass"))
-    row = [np.log1p(len(text)), np.log1p(len(text)) ** 2 / 10, np.log1p(lines), len(text) / lines / 500, longest / max(1, len(text)), raw / max(1, len(text)), len(zlib.compress(text.encode("utf-8", "surrogatepass"), 1)) / max(1, raw)]
-    hot = [0.0] * (N_SOURCES + N_LANGS)
-    hot[zlib.crc32(repr(source).encode()) % N_SOURCES] = 1.0
-    hot[N_SOURCES + zlib.crc32(repr(lang).encode()) % N_LANGS] = 1.0
-    return row + hot
+
+def text_view(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts in UTF-8: counts of hashed trigrams (up to 255), and FORMS steps of 0 to STEPS - 1."""
+    rows = len(offsets) - 1
+    n = np.maximum(1, np.diff(offsets))
+    grams = np.zeros((rows, GRAMS), dtype=np.uint8)
+    if len(data) > 2:
+        b = data.astype(np.uint32)
+        h = ((b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(22)
+        row = np.repeat(np.arange(rows), np.diff(offsets))[:-2]
+        inside = np.arange(len(h)) + 2 < offsets[1:][row]
+        grams[:] = np.minimum(np.bincount(row[inside] * GRAMS + h[inside], minlength=rows * GRAMS), 255).reshape(rows, GRAMS)
+    h, starts, ends, first = words(data, offsets)
+    m = np.maximum(1, np.diff(first))
+    after = np.append(data[1:], 0) if len(data) else data
+    # capital letters of ASCII and of the Latin-1 block
+    upper = ((data >= 65) & (data <= 90)) | ((data == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97))
+    lower = ((data >= 97) & (data <= 122)) | ((data == 0xC3) & (after >= 0x9F))
+    up, low = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (upper, lower))
+    shout = (up[ends] - up[starts] > 1) & (low[ends] == low[starts])
+    dirty = _SYMBOL[data[ends - 1]] if len(ends) else np.zeros(0, dtype=bool)
+    again = np.zeros(len(h), dtype=bool)
+    again[1:] = h[1:] == h[:-1]
+    again[first[:-1][first[:-1] < len(h)]] = False
+    distinct, most = np.zeros(rows), np.zeros(rows)
+    for i in range(rows):
+        if first[i + 1] > first[i]:
+            times = np.unique(h[first[i] : first[i + 1]], return_counts=True)[1]
+            distinct[i], most[i] = len(times), times.max()
+    form = np.column_stack([
+        _sums(upper, offsets) / n, _sums((data >= 48) & (data <= 57), offsets) / n, _sums(_SYMBOL[data], offsets) / n, _sums(data == 124, offsets) / m,
+        _sums(dirty, first) / m, _sums(shout, first) / m, _sums(again, first) / m, distinct / m**0.9, most / m,
+        _sums((data == 46) | (data == 63), offsets) / m, _sums(data >= 128, offsets) / n, np.diff(offsets) / m / 40, np.diff(first) == 0,
+    ])
+    return grams, np.ceil((STEPS - 1) * np.sqrt(np.clip(form, 0, 1))).astype(np.uint8)
+
+
+def metadata_view(lang: Column, source: Column, length: Column) -> Column:
+    """Three places in the table of META log-odds; null is a value of its own. Values beyond the buckets share them."""
+    place = lambda c, n: F.pmod(F.xxhash64(F.coalesce(F.concat(F.lit("="), c), F.lit(""))), F.lit(n)).cast("int")
+    step = F.when(length.isNull(), LENGTHS - 1).otherwise(F.least(F.floor(F.log(F.greatest(length, F.lit(0)) + 1.0) * 3), F.lit(LENGTHS - 2)))
+    return F.array(place(source, SOURCES), place(lang, LANGS) + SOURCES, step.cast("int") + SOURCES + LANGS)
 
 
 def _views(docs: DataFrame) -> DataFrame:
+    """(id, grams, form, meta) of (id, text, meta)."""
+
     def of(batches):
         for b in batches:
-            ids, texts, langs, sources = (b.column(i).to_pylist() for i in range(4))
-            a = [text_view(t or "") for t in texts]
-            m = [metadata_view(t or "", g, s) for t, g, s in zip(texts, langs, sources, strict=True)]
-            kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, kind), pa.array(m, kind)], names=["id", "a", "m"])
+            for lo, hi, data, offsets in slices(b.column(1)):
+                grams, form = text_view(data, offsets)
+                cols = [pa.array([x.tobytes() for x in v], pa.binary()) for v in (grams, form)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *cols, b.column(2).slice(lo, hi - lo)], names=["id", "grams", "form", "meta"])
 
-    return docs.mapInArrow(of, "id long, a array<double>, m array<double>")
+    return docs.select("id", "text", "meta").mapInArrow(of, "id long, grams binary, form binary, meta array<int>")
 
 
-@dataclass
-class View:
-    mean: np.ndarray
-    scale: np.ndarray
-    beta: np.ndarray
+#: Rows of both views: trigram counts, steps of form, places of metadata.
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _rows(b: pa.RecordBatch, most: int = 2048) -> Iterator[Rows]:
+    for lo in range(0, len(b), most):
+        grams, form = (np.frombuffer(b"".join(b.column(i).slice(lo, most).to_pylist()), dtype=np.uint8).reshape(-1, w) for i, w in ((1, GRAMS), (2, FORMS)))
+        yield grams, form, np.array(b.column(3).slice(lo, most).to_pylist(), dtype=np.int64).reshape(-1, 3)
 
-    @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> View:
-        mean, scale = x.mean(0), x.std(0)
-        scale[scale < 1e-9] = 1.0
-        return cls(mean, scale, logistic((x - mean) / scale, y, weight))
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(linear((x - self.mean) / self.scale, self.beta), -12, 12)
+def _shares(grams: np.ndarray) -> np.ndarray:
+    x = _LOG[grams]
+    return x / np.maximum(x.sum(1, keepdims=True), 1e-6)
+
+
+def feature_sums(rows: Rows, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of either view, the rows' weighted sums by feature: trigram shares, then steps of form; places of metadata."""
+    grams, form, meta = rows
+    steps = np.bincount((form + np.arange(FORMS) * STEPS).ravel(), np.repeat(weight, FORMS), minlength=FORMS * STEPS)
+    return np.concatenate([weight @ _shares(grams), steps]), np.bincount(meta.ravel(), np.repeat(weight, 3), minlength=META)
 
 
 @dataclass
-class CoTrained:
-    views: tuple[View, View]
+class Model:
+    """Log-odds by feature and each view's calibration."""
+
+    odds: tuple[np.ndarray, np.ndarray]
+    scale: tuple[np.ndarray, np.ndarray]
     combine: np.ndarray
-    rounds: list[tuple[int, int]]
 
-    def score(self, a: np.ndarray, m: np.ndarray) -> np.ndarray:
-        return sigmoid(linear(np.column_stack([self.views[0].logit(a), self.views[1].logit(m)]), self.combine))
+    def evidence(self, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+        grams, form, meta = rows
+        text, page = self.odds
+        return np.column_stack([_shares(grams) @ text[:GRAMS], text[GRAMS:][form + np.arange(FORMS) * STEPS].sum(1)]), page[meta].sum(1)[:, None]
+
+    def logits(self, rows: Rows) -> np.ndarray:
+        """Columns: text view, metadata view."""
+        return np.column_stack([np.clip(linear(e, s), -12, 12) for e, s in zip(self.evidence(rows), self.scale, strict=True)])
+
+    def score(self, logits: np.ndarray) -> np.ndarray:
+        return sigmoid(linear(logits, self.combine))
+
+
+def _odds(sums: list[np.ndarray], size: int, smooth: float) -> np.ndarray:
+    """Log-odds of class 1 against 0 by feature, from the classes' sums; `size` features compete for each unit."""
+    share = [(s + smooth) / (s.sum() + smooth * size) for s in sums]
+    return np.log(share[1] / share[0])
 
 
-def co_train(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, weight: np.ndarray, pools: tuple[np.ndarray, np.ndarray], check: np.ndarray, rounds: int, share: float, sure: float) -> CoTrained:
-    """`check` marks the labelled rows kept for calibration. In each round each view gives the other the `share` of the
-    pool it is surest of in either class, if its probability is at least `sure`; no pool row is given twice to a view."""
-    train, mass = ~check, float(weight.mean()) if len(weight) else 1.0
-    given = [{}, {}]  # to each view: pool row -> label
-    history = []
+def fitted(sums: list[tuple[np.ndarray, np.ndarray]], rows: Rows, y: np.ndarray, weight: np.ndarray) -> Model:
+    """A model of the classes' feature sums, whose views are calibrated on the rows given."""
+    text = [s[0] for s in sums]
+    odds = (
+        np.concatenate([_odds([s[:GRAMS] for s in text], GRAMS, 0.01), *(_odds([s[GRAMS + i * STEPS : GRAMS + (i + 1) * STEPS] for s in text], STEPS, 0.5) for i in range(FORMS))]),
+        np.concatenate([_odds([s[1][a:z] for s in sums], max(1, int(((sums[0][1] + sums[1][1])[a:z] > 0).sum())), 2.0) for a, z in ((0, SOURCES), (SOURCES, SOURCES + LANGS), (SOURCES + LANGS, META))]),
+    )
+    plain = Model(odds, (), np.zeros(3))
+    scale = tuple(logistic(e, y, weight, ridge=0.1) for e in plain.evidence(rows))
+    return Model(odds, scale, np.zeros(3))
 
-    def fitted(v: int) -> View:
-        rows = np.array(list(given[v]), dtype=int)
-        x = np.vstack([xs[v][train], pools[v][rows]])
-        return View.fit(x, np.concatenate([y[train], list(given[v].values())]), np.concatenate([weight[train], np.full(len(rows), mass / 2)]))
 
-    views = [fitted(0), fitted(1)]
+def _sure(counts: np.ndarray, share: float, sure: float) -> tuple[int, int]:
+    """(low, high): steps of the histogram from `high` on are the surest of class 1, those below `low` of class 0, up to
+    `share` of those that the view puts into the class (the surest step at least), and never below the probability `sure`."""
+    # the least sure score of a step, counted from the surest one
+    ok = 12 - (np.arange(_BINS) + 1) * (24 / _BINS) >= np.log(sure / (1 - sure)) - 1e-9
+    out = []
+    for c in (counts, counts[::-1]):
+        out.append(int((ok & (np.cumsum(c) - c < share * c[: _BINS // 2].sum())).sum()))
+    return out[0], _BINS - out[1]
+
+
+def _totals(table: DataFrame, size: int, of) -> np.ndarray:
+    """The sum over tasks of the vectors that `of` makes of their rows."""
+
+    def add(batches):
+        out = np.zeros(size)
+        for b in batches:
+            for rows in _rows(b):
+                out += of(rows)
+        some = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(out[some])], names=["i", "x"])
+
+    sums = table.select("id", "grams", "form", "meta").mapInArrow(add, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+    out = np.zeros(size)
+    out[sums["i"].to_numpy(dtype=int)] = sums["x"]
+    return out
+
+
+def co_train(free: DataFrame, rows: Rows, y: np.ndarray, weight: np.ndarray, folds: np.ndarray, rounds: int, share: float, sure: float) -> tuple[Model, list[tuple[int, int]]]:
+    """The combined model, and how many documents each round gave to the text view and to the metadata view.
+
+    Of the labelled rows fold 0 combines, fold 1 calibrates and the others teach. `free` has the rows of all documents
+    without a label here. What one view gives to the other weighs at most as much as the labelled rows of the class.
+    """
+    learn, scale, both = folds > 1, folds == 1, folds == 0
+    part = lambda s: tuple(v[s] for v in rows)
+    own = [feature_sums(part(learn & (y == c)), weight[learn & (y == c)]) for c in (0, 1)]
+    mass = [float(weight[learn & (y == c)].sum()) for c in (0, 1)]
+    make = lambda sums: fitted(sums, part(scale), y[scale], weight[scale])
+    model, history, wide = make(own), [], GRAMS + FORMS * STEPS
     for _ in range(rounds):
-        new = [0, 0]
-        for v in (0, 1):
-            p = sigmoid(views[v].logit(pools[v])) if len(pools[v]) else np.zeros(0)
-            for label, order in ((1, np.argsort(-p, kind="stable")), (0, np.argsort(p, kind="stable"))):
-                fresh = [i for i in order if i not in given[1 - v]][: int(share * ((p >= 0.5) == bool(label)).sum())]
-                for i in fresh:
-                    if (p[i] if label else 1 - p[i]) >= sure:
-                        given[1 - v][i] = float(label)
-                        new[1 - v] += 1
-        history.append(tuple(new))
-        if not any(new):
+        held = free.sparkSession.sparkContext.broadcast(model)
+
+        def histogram(some: Rows, held=held) -> np.ndarray:
+            return np.concatenate([np.bincount(a, minlength=_BINS) for a in _bin(held.value.logits(some)).T]).astype(float)
+
+        counts = _totals(free, 2 * _BINS, histogram)
+        cuts = [_sure(counts[v * _BINS : (v + 1) * _BINS], share, sure) for v in (0, 1)]
+
+        def given(some: Rows, held=held, cuts=cuts) -> np.ndarray:
+            """Sums by class for the text view, from what the metadata view is sure of, then the other way round; counts."""
+            z, out, n = _bin(held.value.logits(some)), [], []
+            for v in (0, 1):
+                low, high = cuts[1 - v]
+                for mine in (z[:, 1 - v] < low, z[:, 1 - v] >= high):
+                    out.append(feature_sums(some, mine.astype(float))[v])
+                    n.append(mine.sum())
+            return np.concatenate([*out, n])
+
+        sums = _totals(free, 2 * wide + 2 * META + 4, given)
+        n = sums[-4:].reshape(2, 2)
+        history.append((int(n[0].sum()), int(n[1].sum())))
+        if not n.any():
             break
-        views = [fitted(0), fitted(1)]
-    z = np.column_stack([views[v].logit(xs[v][check]) for v in (0, 1)])
-    return CoTrained(tuple(views), logistic(z, y[check], weight[check], ridge=0.1), history)
+        text, page = sums[: 2 * wide].reshape(2, wide), sums[2 * wide : -4].reshape(2, META)
+        worth = [[min(0.5, mass[c] / max(1.0, n[v][c])) for c in (0, 1)] for v in (0, 1)]
+        model = make([(own[c][0] + worth[0][c] * text[c], own[c][1] + worth[1][c] * page[c]) for c in (0, 1)])
+    model.combine = logistic(model.logits(part(both)), y[both], weight[both], ridge=0.1)
+    return model, history
 
 
 def score_quality(
@@ -133,49 +236,44 @@ def score_quality(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
+    length_col: str = "n_chars",
     label_col: str = "quality",
     examples: int = 4000,
-    pool: int = 6000,
-    rounds: int = 4,
-    share: float = 0.1,
+    rounds: int = 3,
+    share: float = 0.2,
     sure: float = 0.95,
     threshold: float = 0.5,
 ) -> DataFrame:
     """One row per document: id, score (probability of quality 1), text_score, metadata_score, keep (score >= threshold).
 
-    Learns from at most `examples` labelled documents of each class and a pool of `pool` documents, all first in hash order;
-    the fold crc32(id) mod 5 = 0 of the labelled ones calibrates and combines the views. Null texts count as empty, null
-    languages and sources as values of their own. Without labels of both classes every score is the share of quality 1
-    (1 without any label) and nothing is learned. Repeated rows are scored each time; an empty table gives no rows.
+    Labels are learned from at most `examples` labelled documents of each class, the first in hash order; every other
+    document takes part in all rounds of co-training. Folds of crc32(id) mod 5 of the labelled ones: 0 combines the views,
+    1 calibrates them, the others teach. Null texts count as empty, null languages, sources and lengths as values of their
+    own. Without labels of both classes in all three parts every score is the share of quality 1 (1 without any label) and
+    nothing is learned. Repeated rows, with or without a label, count and are scored each time; an empty table gives no rows.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), metadata_view(F.col(lang_col), F.col(source_col), F.col(length_col)).alias("meta"))
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and id is not null")
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    picked = bounded_sample(known, "y", "id", examples, "quality")
-    free = d.select("id", F.lit("pool").alias("of")).where("id is not null")
-    others = bounded_sample(free, "of", "id", pool, "quality-pool").join(F.broadcast(picked.select("id")), "id", "left_anti").select("id", F.lit(None).cast("int").alias("y"))
-    chosen = picked.select("id", "y").unionByName(others).dropDuplicates(["id"])
-    rows = _views(d.join(F.broadcast(chosen.select("id")), "id")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    rows = sorted(stored(rows, "quality-sample").withColumn("f", fold("id", 5)).collect(), key=lambda r: r["id"])
-    own, free = [r for r in rows if r["y"] is not None], [r for r in rows if r["y"] is None]
-    y, check = np.array([r["y"] for r in own], dtype=float), np.array([r["f"] == 0 for r in own], dtype=bool)
+    picked = bounded_sample(known, "y", "id", examples, "quality").select("id", "y")
+    views = stored(_views(d).join(F.broadcast(picked), "id", "left"), "quality-views")
+    # of an id's rows one teaches; at most twice `examples` rows reach the driver
+    own = views.where("y is not null").groupBy("id").agg(F.min(F.struct("grams", "form", "meta", "y")).alias("v")).select("id", "v.*", fold("id", 5).alias("f")).orderBy("id").toArrow()
+    y, folds = (own.column(c).to_numpy().astype(float) for c in ("y", "f"))
     total = sum(counts.values())
-    if not all(len(set(y[s])) == 2 for s in (check, ~check)):
+    if not all(len(set(y[s])) == 2 for s in (folds == 0, folds == 1, folds > 1)):
         p = counts.get(1, 0) / total if total else 1.0
         return d.select("id", F.lit(p).alias("score"), F.lit(p).alias("text_score"), F.lit(p).alias("metadata_score"), F.lit(p >= threshold).alias("keep"))
     weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum()) * len(y) / total
-    xs = tuple(np.array([r[v] for r in own]) for v in ("a", "m"))
-    pools = tuple(np.array([r[v] for r in free]).reshape(len(free), xs[i].shape[1]) for i, v in enumerate(("a", "m")))
-    model = d.sparkSession.sparkContext.broadcast(co_train(xs, y, weight, pools, check, rounds, share, sure))
+    rows = tuple(np.concatenate(v) for v in zip(*(r for b in own.to_batches() for r in _rows(b)), strict=True))
+    model, _ = co_train(views.where("y is null"), rows, y, weight, folds, rounds, share, sure)
+    held = views.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        m = model.value
         for b in batches:
-            a, x = (np.array(b.column(i).to_pylist(), dtype=float).reshape(len(b), -1) for i in (1, 2))
-            if len(b):
-                cols = [m.score(a, x), sigmoid(m.views[0].logit(a)), sigmoid(m.views[1].logit(x))]
-                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in cols)], names=["id", "score", "text_score", "metadata_score"])
+            z = np.concatenate([np.zeros((0, 2)), *(held.value.logits(r) for r in _rows(b))])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in (held.value.score(z), sigmoid(z[:, 0]), sigmoid(z[:, 1])))], names=["id", "score", "text_score", "metadata_score"])
 
-    out = _views(d).mapInArrow(scored, "id long, score double, text_score double, metadata_score double")
+    out = views.select("id", "grams", "form", "meta").mapInArrow(scored, "id long, score double, text_score double, metadata_score double")
     return out.withColumn("keep", F.col("score") >= threshold)
