@@ -57,21 +57,25 @@ def cycle_flags(tx: DataFrame, max_length: int = 4) -> DataFrame:
     """(transaction_id, graph_cycle_involvement): 1 if sender and receiver are the same or prior edges lead from the
     receiver back to the sender in max_length - 1 steps at most.
 
-    First-seen edges suffice, since an earlier edge serves every later row. Paths are grown from both ends and meet.
+    First-seen edges suffice, since an earlier edge serves every later row. Of the ways of so many steps between two
+    accounts only the one that was complete first is kept; longer ways are two that meet, one grown from either end.
     """
     d = positions(tx.withColumn("_us", micros()), "_us", ["transaction_id"]).select("transaction_id", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), "position")
-    e = d.where("s <> r").groupBy("s", "r").agg(F.min("position").alias("o"))
-    e = stored(e, "first-edges")
-    own = d.where("s = r").select("transaction_id")
-    found = [own] if max_length >= 2 else []
+    e = stored(d.where("s <> r").groupBy("s", "r").agg(F.min("position").alias("o")), "first-edges")
+    ways = {1: e.select(F.col("s").alias("a"), F.col("r").alias("b"), "o")}
+    for steps in range(2, max_length // 2 + 1):
+        step = e.select(F.col("s").alias("b"), F.col("r").alias("c"), F.col("o").alias("o2"))
+        longer = ways[steps - 1].join(step, "b").where("a <> c").groupBy("a", "c").agg(F.min(F.greatest("o", "o2")).alias("o"))
+        ways[steps] = stored(longer.withColumnRenamed("c", "b"), "cycle-ways")
+    found = [d.where("s = r").select("transaction_id")] if max_length >= 2 else []
     rows = d.where("s <> r")
     for steps in range(1, max_length):
-        path = e.select(F.col("s").alias("a"), F.col("r").alias("b"), "o")
-        for _ in range(steps - 1):
-            step = e.select(F.col("s").alias("b"), F.col("r").alias("c"), F.col("o").alias("o2"))
-            # of all ways from a to c the one that was complete first
-            path = path.join(step, "b").where("a <> c").groupBy("a", "c").agg(F.min(F.greatest("o", "o2")).alias("o")).withColumnRenamed("c", "b")
-        hit = rows.join(path, (F.col("r") == F.col("a")) & (F.col("s") == F.col("b")) & (F.col("o") < F.col("position")))
+        there, back = steps // 2, steps - steps // 2
+        ends = rows.select("transaction_id", "s", F.col("r").alias("at"), "position")
+        if there:
+            out = ways[there].select(F.col("a").alias("at"), F.col("b").alias("next"), F.col("o").alias("o1"))
+            ends = ends.join(out, "at").where("o1 < position and next <> s").select("transaction_id", "s", F.col("next").alias("at"), "position")
+        hit = ends.join(ways[back], (F.col("at") == F.col("a")) & (F.col("s") == F.col("b")) & (F.col("o") < F.col("position")), "left_semi")
         found.append(hit.select("transaction_id"))
     hits = reduce(DataFrame.unionByName, found).distinct().withColumn("_hit", F.lit(1)) if found else None
     if hits is None:
@@ -183,37 +187,51 @@ def gather_scatter_hubs(tx: DataFrame, min_sources: int = 3, min_destinations: i
     return d.withColumn("evidence", F.struct("hub_account_id", "unique_sources", "unique_destinations", "incoming_amount", "outgoing_amount", "amount_ratio"))
 
 
-def cycle_candidates(tx: DataFrame, min_length: int = 3, max_length: int = 4, max_hours: float = 72.0, min_similarity: float = 0.5, max_retention: float = 1.2, min_total: float = 0.0, risk_flag: str | None = None, max_transactions: int | None = None, any_in_window: bool = False) -> DataFrame:
+def cycle_candidates(tx: DataFrame, min_length: int = 3, max_length: int = 5, max_hours: float = 72.0, min_similarity: float = 0.5, max_retention: float = 1.2, min_total: float = 0.0, risk_flag: str | None = None, max_transactions: int | None = None, any_in_window: bool = False) -> DataFrame:
     """Transactions that close a loop over prior transfers, with the loop found first: fewest steps, then earliest edges.
 
     The loop is then held against duration, the ratio of its least to its greatest amount, the closing amount against
-    the rest, and its total against a quantile of all amounts. `any_in_window` looks for paths among the transfers of
-    the last max_hours only, which bounds the joins on long histories.
+    the rest, and its total against a quantile of all amounts. Ways are grown a step at a time; of those of one
+    transaction to one account only the first is kept, since the shortest way is made of shortest ways, and of an edge
+    between two accounts the earliest. The last step is a join on both its ends, and the one before leads only to accounts
+    from which there are two steps or fewer to go. `any_in_window` looks for ways among the transfers of the last
+    max_hours only.
     """
     if max_transactions is not None:
         tx = tx.orderBy(*_ORDER).limit(max_transactions)
     cols = [risk_flag] if risk_flag else []
     d = positions(tx.withColumn("us", micros()), "us", ["transaction_id"]).select("transaction_id", "timestamp", "us", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), F.coalesce("amount", F.lit(0.0)).alias("amount"), "is_laundering", "split", "position", *cols)
     d = stored(d, "cycle-edges")
-    e = d.select(F.col("s").alias("es"), F.col("r").alias("er"), F.col("position").alias("ep"), F.col("us").alias("eu"), F.col("amount").alias("ea"))
+    e = d.select(F.col("s").alias("es"), F.col("r").alias("er"), F.col("position").alias("ep"), F.col("us").alias("eu"), F.col("amount").alias("ea")).where("es is not null and er is not null")
+    if not any_in_window:
+        e = e.groupBy("es", "er").agg(F.min(F.struct("ep", "eu", "ea")).alias("f")).select("es", "er", "f.*")
+    e = stored(e, "cycle-steps")
     hours = int(max_hours * 3600 * 1_000_000)
-    near = lambda a, b: (F.col(b) >= F.col(a) - hours) if any_in_window else F.lit(True)
-    node = lambda c: F.array(F.col(c))
-    walk = d.join(e, (F.col("r") == F.col("es")) & (F.col("ep") < F.col("position")) & near("us", "eu"))
-    walk = walk.select("transaction_id", "s", "r", "us", "position", F.array("ep").alias("orders"), F.array("ea").alias("amounts"), F.least("us", "eu").alias("first"), node("r").alias("nodes"), F.col("er").alias("at"))
-    ends = []
+    prior = (F.col("ep") < F.col("position")) & ((F.col("eu") >= F.col("us") - hours) if any_in_window else F.lit(True))
+    two = e.join(e.select(F.col("es").alias("er"), F.col("er").alias("e2"), F.col("ep").alias("ep2")), "er").groupBy("es", "e2").agg(F.min(F.greatest("ep", "ep2")).alias("o"))
+    soon = {1: e.groupBy("es", "er").agg(F.min("ep").alias("o")).select(F.col("es").alias("a"), F.col("er").alias("b"), "o")}
+    soon[2] = stored(soon[1].unionByName(two.select(F.col("es").alias("a"), F.col("e2").alias("b"), "o")).groupBy("a", "b").agg(F.min("o").alias("o")), "cycle-ways")
+    walk = d.where("s is not null and r is not null").select(
+        "transaction_id", "s", "us", "position", F.col("r").alias("at"), F.array().cast("array<long>").alias("orders"),
+        F.array().cast("array<double>").alias("amounts"), F.col("us").alias("first"), F.array("r").alias("nodes"),
+    )
+    seen, ends = walk.select("transaction_id", "at"), []
+    taken = lambda x: (F.array_append("orders", F.col("ep")).alias("orders"), F.array_append("amounts", F.col("ea")).alias("amounts"), F.least("first", "eu").alias("first"), x)
     for hop in range(1, max_length):
-        done = walk.where(F.col("at") == F.col("s"))
-        ends.append(done.select("transaction_id", F.lit(hop).alias("hops"), "orders", "amounts", "first", "nodes"))
-        if hop < max_length - 1:
-            seen = stored(reduce(DataFrame.unionByName, (x.select("transaction_id") for x in ends)).distinct(), "cycle-found")
-            open_ = walk.where((F.col("at") != F.col("s")) & ~F.array_contains("nodes", F.col("at"))).join(seen, "transaction_id", "left_anti")
-            walk = open_.join(e, (F.col("at") == F.col("es")) & (F.col("ep") < F.col("position")) & near("us", "eu")).select(
-                "transaction_id", "s", "r", "us", "position", F.array_append("orders", F.col("ep")).alias("orders"), F.array_append("amounts", F.col("ea")).alias("amounts"),
-                F.least("first", "eu").alias("first"), F.array_append("nodes", F.col("at")).alias("nodes"), F.col("er").alias("at"),
-            )
-    found = reduce(DataFrame.unionByName, ends)
-    found = found.groupBy("transaction_id").agg(F.min_by(F.struct("hops", "amounts", "first", "nodes"), F.struct("hops", "orders")).alias("p")).select("transaction_id", "p.*")
+        done = walk.join(e, (F.col("at") == F.col("es")) & (F.col("s") == F.col("er")) & prior).select("transaction_id", F.lit(hop).alias("hops"), *taken(F.col("nodes")))
+        ends.append(stored(done.groupBy("transaction_id").agg(F.min_by(F.struct("hops", "orders", "amounts", "first", "nodes"), "orders").alias("p")), "cycle-found"))
+        left = max_length - 1 - hop
+        if not left:
+            break
+        more = walk.join(ends[-1], "transaction_id", "left_anti").join(e, (F.col("at") == F.col("es")) & prior).where("er <> s")
+        if left in soon:
+            more = more.join(soon[left], (F.col("er") == F.col("a")) & (F.col("s") == F.col("b")) & (F.col("o") < F.col("position")), "left_semi")
+        more = more.select("transaction_id", "s", "us", "position", F.col("er").alias("at"), *taken(F.array_append("nodes", F.col("er")).alias("nodes")))
+        more = more.join(seen, ["transaction_id", "at"], "left_anti")
+        best = more.groupBy("transaction_id", "at").agg(F.min_by(F.struct("s", "us", "position", "orders", "amounts", "first", "nodes"), "orders").alias("w"))
+        walk = stored(best.select("transaction_id", "at", "w.*"), "cycle-walk")
+        seen = seen.unionByName(walk.select("transaction_id", "at"))
+    found = reduce(DataFrame.unionByName, ends).select("transaction_id", "p.*")
     c = d.join(found, "transaction_id").withColumn("rest", F.aggregate("amounts", F.lit(0.0), lambda a, x: a + x))
     c = c.withColumns({
         "path_length": (F.col("hops") + 2).cast("long"), "cycle_path": F.concat_ws("->", F.array("s"), F.col("nodes"), F.array("s")),

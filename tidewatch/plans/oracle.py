@@ -110,8 +110,8 @@ CTE = {
     "ks": """SELECT link_key, alert_count, account_count, greatest(alert_count, account_count) AS component_size FROM (SELECT link_key, count(*) AS alert_count FROM cf GROUP BY 1) JOIN
         (SELECT link_key, count(DISTINCT account) AS account_count FROM (SELECT link_key, sender_account_id AS account FROM cf UNION ALL SELECT link_key, receiver_account_id FROM cf) GROUP BY 1) USING (link_key)""",
     "ck": """SELECT *, 'CASEV2-' || lpad(CAST(dense_rank() OVER (ORDER BY link_key, case_chunk) AS VARCHAR), 6, '0') AS case_id FROM (
-        SELECT cf.*, (row_number() OVER (PARTITION BY link_key ORDER BY alert_timestamp, alert_id) - 1) // 25 AS case_chunk FROM cf JOIN ks USING (link_key) WHERE component_size <= 40)""",
-    "nc": "SELECT *, 'NETCLUSTER-' || lpad(CAST(row_number() OVER (ORDER BY link_key) AS VARCHAR), 6, '0') AS network_cluster_id FROM ks WHERE component_size > 40",
+        SELECT cf.*, (row_number() OVER (PARTITION BY link_key ORDER BY alert_timestamp, alert_id) - 1) // 25 AS case_chunk FROM cf JOIN ks USING (link_key) WHERE component_size <= 1000)""",
+    "nc": "SELECT *, 'NETCLUSTER-' || lpad(CAST(row_number() OVER (ORDER BY link_key) AS VARCHAR), 6, '0') AS network_cluster_id FROM ks WHERE component_size > 1000",
     "mp": """SELECT alert_id, transaction_id, case_id, '' AS network_cluster_id, 'operational_case' AS mapping_type FROM ck UNION ALL
         SELECT alert_id, transaction_id, '', network_cluster_id, 'network_intelligence_only' FROM cf JOIN nc USING (link_key)""",
     "c2": """SELECT *, CASE WHEN contains(rule_ids, 'CYCLE') THEN 'Cycle' WHEN regexp_matches(rule_ids, 'GATHER|SCATTER') THEN 'Gather-scatter' WHEN regexp_matches(rule_ids, 'R5|FAN_IN') THEN 'Fan-in' WHEN regexp_matches(rule_ids, 'R6|FAN_OUT') THEN 'Fan-out'
@@ -125,7 +125,8 @@ CTE = {
         coalesce((SELECT CAST(count(*) FILTER (s = g1.receiver_account_id) + count(*) FILTER (r = g1.receiver_account_id) AS DOUBLE) / nullif(2 * count(*), 0) FROM fp WHERE o < g1.pos), 0) AS pr_r FROM g1""",
     "fe": "SELECT s, r, o FROM fp WHERE s <> r",
     "cyc": """SELECT transaction_id FROM tx WHERE sender_account_id = receiver_account_id UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.r = t.sender_account_id AND a.o < t.pos
-        UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.o < t.pos JOIN fe b ON b.s = a.r AND b.r = t.sender_account_id AND b.o < t.pos""",
+        UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.o < t.pos JOIN fe b ON b.s = a.r AND b.r = t.sender_account_id AND b.o < t.pos
+        UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.o < t.pos JOIN fe c ON c.r = t.sender_account_id AND c.o < t.pos JOIN fe b ON b.s = a.r AND b.r = c.s AND b.o < t.pos""",
     "hb": """SELECT i.hub_account_id, unique_sources, unique_destinations, incoming_amount, outgoing_amount, CASE WHEN incoming_amount = 0 THEN 0 ELSE outgoing_amount / incoming_amount END AS amount_ratio
         FROM (SELECT receiver_account_id AS hub_account_id, count(DISTINCT sender_account_id) AS unique_sources, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS incoming_amount FROM tx GROUP BY 1) i
         JOIN (SELECT sender_account_id AS hub_account_id, count(DISTINCT receiver_account_id) AS unique_destinations, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS outgoing_amount FROM tx GROUP BY 1) o USING (hub_account_id)

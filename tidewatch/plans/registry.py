@@ -25,7 +25,8 @@ _SPARK = {"l": "bigint", "d": "double", "s": "string", "b": "boolean", "t": "tim
 _DUCK = {"l": "BIGINT", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN", "t": "TIMESTAMP"}
 
 
-def _add(name: str, spec: str, make: Callable[[SparkSession, str], DataFrame], sql: str | None = None) -> None:
+def _add(name: str, spec: str, make: Callable[[SparkSession, str], DataFrame], sql: str | None = None, more: str = "") -> None:
+    """Registers a query; `more` are further common table expressions for its SQL, each after a comma."""
     cols = [c.split(":") for c in spec.split()]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def _add(name: str, spec: str, make: Callable[[SparkSession, str], DataFrame], s
     QUERIES[name] = run
     if sql is not None:
         cast = lambda c, k: f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' if k == "d" else f'CAST("{c}" AS {_DUCK[k]}) AS "{c}"'
-        ORACLE_SQL[name] = o.with_tables(f"SELECT {', '.join(cast(c, k) for c, k in cols)} FROM ({sql}) AS q")
+        ORACLE_SQL[name] = o.with_tables(f"{more} SELECT {', '.join(cast(c, k) for c, k in cols)} FROM ({sql}) AS q")
 
 
 _TX = "transaction_id:l timestamp:t from_bank:s to_bank:s sender_account_id:s receiver_account_id:s amount_paid:d amount_received:d payment_currency:s receiving_currency:s payment_format:s currency_pair:s cross_bank_flag:l amount:d log_amount:d is_laundering:l"
@@ -167,8 +168,8 @@ _hotcols = [f"{c}_{v}" for c, vs in _HOT.items() for v in vs] + [f"{c}_null" for
 _add("one_hot", "alert_id:s target:l feature_amount:d " + " ".join(f"{c}:l" for c in _hotcols), lambda s, d: features.one_hot(t.alert_features(s, d), _HOT),
      "SELECT alert_id, target, feature_amount, " + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}" for c, vs in _HOT.items() for v in vs) + ", 0 AS payment_format_null, 0 AS max_rule_severity_null FROM feat")
 _train = lambda s, d: t.alert_features(s, d).where("split = 'train'")
-_BAL = "SELECT * FROM (SELECT alert_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42|' || alert_id), alert_id) AS i, sum(target) OVER () AS pos FROM feat WHERE split = 'train') WHERE target = 1 OR i <= least(pos * 3, 2000 - pos)"
-_balanced = lambda s, d: features.balanced_sample(_train(s, d), 3, 2000)
+_BAL = "SELECT * FROM (SELECT alert_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42|' || alert_id), alert_id) AS i, sum(target) OVER () AS pos FROM feat WHERE split = 'train') WHERE target = 1 OR i <= least(pos * 10, 200000 - pos)"
+_balanced = lambda s, d: features.balanced_sample(_train(s, d))
 _add("balanced_sample", "alert_id:s target:l", _balanced, _BAL)
 _add("sample_weights", "alert_id:s target:l sample_weight:d", lambda s, d: features.sample_weights(_balanced(s, d)), f"SELECT alert_id, target, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY target)) AS sample_weight FROM ({_BAL})")
 
@@ -176,39 +177,53 @@ _add("sample_weights", "alert_id:s target:l sample_weight:d", lambda s, d: featu
 _add("graph_degrees", "transaction_id:l graph_sender_out_degree:l graph_receiver_in_degree:l", lambda s, d: graph.graph_degrees(t.tx(s, d)), "SELECT transaction_id, f4 AS graph_sender_out_degree, f5 AS graph_receiver_in_degree FROM hist")
 _add("graph_weighted_degrees", "transaction_id:l graph_sender_weighted_out_degree:d graph_receiver_weighted_in_degree:d", lambda s, d: graph.graph_weighted_degrees(t.tx(s, d)), "SELECT transaction_id, w_out AS graph_sender_weighted_out_degree, w_in AS graph_receiver_weighted_in_degree FROM g1")
 _add("graph_centrality_proxy", "transaction_id:l graph_sender_pagerank:d graph_receiver_pagerank:d", t.graph_simple, "SELECT transaction_id, pr_s AS graph_sender_pagerank, pr_r AS graph_receiver_pagerank FROM g2")
-_add("graph_component_size", "transaction_id:l graph_component_size:l", lambda s, d: graph.component_sizes(t.tx(s, d), 4))
-_add("graph_cycle_flag", "transaction_id:l graph_cycle_involvement:l", lambda s, d: graph.cycle_flags(t.tx(s, d), 3), "SELECT transaction_id, CASE WHEN c.transaction_id IS NULL THEN 0 ELSE 1 END AS graph_cycle_involvement FROM tx LEFT JOIN cyc c USING (transaction_id)".replace("SELECT transaction_id,", "SELECT tx.transaction_id,"))
-_GRAPH = "graph_sender_out_degree:l graph_receiver_in_degree:l graph_sender_weighted_out_degree:d graph_receiver_weighted_in_degree:d graph_component_size:l graph_sender_pagerank:d graph_receiver_pagerank:d graph_cycle_involvement:l"
-_add("graph_features", "transaction_id:l sender_account_id:s receiver_account_id:s " + _GRAPH, t.graph_features)
-_EXT = {"feature_graph_sender_out_degree": "f4", "feature_graph_receiver_in_degree": "f5", "feature_graph_sender_weighted_out_degree": "w_out", "feature_graph_receiver_weighted_in_degree": "w_in", "feature_graph_sender_pagerank": "pr_s", "feature_graph_receiver_pagerank": "pr_r"}
-_EXT_SQL = "SELECT s.*, " + ", ".join(f"g.{v} AS {k}" for k, v in _EXT.items()) + " FROM sc s JOIN g2 g USING (transaction_id)"
-_add("extended_alert_features", "alert_id:s target:l feature_amount:d model_score:d " + " ".join(f"{k}:d" for k in _EXT), t.extended, _EXT_SQL)
+# the least position by which two accounts are connected: ways of up to 128 steps, by squaring; then accounts in reach of the sender
+_SIZE_SQL = """, m0 AS MATERIALIZED (SELECT a, b, min(o) AS o FROM (SELECT s AS a, r AS b, o FROM fp UNION ALL SELECT r, s, o FROM fp UNION ALL SELECT s, s, -1 FROM fp UNION ALL SELECT r, r, -1 FROM fp) GROUP BY 1, 2),
+  """ + ",\n  ".join(f"m{i} AS MATERIALIZED (SELECT x.a, y.b, min(greatest(x.o, y.o)) AS o FROM m{i - 1} x JOIN m{i - 1} y ON x.b = y.a GROUP BY 1, 2)" for i in range(1, 8)) + """,
+  sz AS (SELECT t.transaction_id, count(*) AS size FROM tx t JOIN m7 ON m7.a = t.sender_account_id AND m7.o <= t.pos GROUP BY 1),
+  gf AS MATERIALIZED (SELECT g.*, sz.size, CASE WHEN c.transaction_id IS NULL THEN 0 ELSE 1 END AS cycle FROM g2 g JOIN sz USING (transaction_id) LEFT JOIN cyc c USING (transaction_id))"""
+_add("graph_component_size", "transaction_id:l graph_component_size:l", lambda s, d: graph.component_sizes(t.tx(s, d)), "SELECT transaction_id, size AS graph_component_size FROM sz", _SIZE_SQL)
+_add("graph_cycle_flag", "transaction_id:l graph_cycle_involvement:l", lambda s, d: graph.cycle_flags(t.tx(s, d)), "SELECT tx.transaction_id, CASE WHEN c.transaction_id IS NULL THEN 0 ELSE 1 END AS graph_cycle_involvement FROM tx LEFT JOIN cyc c USING (transaction_id)")
+_GRAPH = {"graph_sender_out_degree:l": "f4", "graph_receiver_in_degree:l": "f5", "graph_sender_weighted_out_degree:d": "w_out", "graph_receiver_weighted_in_degree:d": "w_in", "graph_component_size:l": "size", "graph_sender_pagerank:d": "pr_s", "graph_receiver_pagerank:d": "pr_r", "graph_cycle_involvement:l": "cycle"}
+_GF = "SELECT transaction_id, sender_account_id, receiver_account_id, " + ", ".join(f"{v} AS {k[:-2]}" for k, v in _GRAPH.items()) + " FROM gf JOIN al USING (transaction_id)"
+_add("graph_features", "transaction_id:l sender_account_id:s receiver_account_id:s " + " ".join(_GRAPH), t.graph_features, _GF, _SIZE_SQL)
+_EXT = {f"feature_{k[:-2]}": v for k, v in _GRAPH.items()}
+_EXT_SQL = "SELECT s.*, " + ", ".join(f"g.{v} AS {k}" for k, v in _EXT.items()) + " FROM sc s JOIN gf g USING (transaction_id)"
+_add("extended_alert_features", "alert_id:s target:l feature_amount:d model_score:d " + " ".join(f"{k}:d" for k in _EXT), t.extended, _EXT_SQL, _SIZE_SQL)
 _ghits = lambda s, d: graph.graph_rules(t.tx(s, d), t.graph_features(s, d))
-_add("graph_rules", _hits, _ghits)
-_add("cycle_summary", "metric:s value:l", lambda s, d: graph.cycle_summary(t.graph_features(s, d), _ghits(s, d)))
+_GR = """, gr AS (SELECT transaction_id, timestamp AS alert_timestamp, 'GR1_GATHER_SCATTER' AS rule_id, 'Graph gather-scatter concentration' AS rule_name, 'high' AS severity, g.is_laundering, g.split FROM gf g JOIN al USING (transaction_id) WHERE (f4 >= 3 OR f5 >= 3) AND size >= 4
+  UNION ALL SELECT transaction_id, timestamp, 'GR2_CYCLE_CANDIDATE', 'Short-cycle candidate', 'high', g.is_laundering, g.split FROM gf g JOIN al USING (transaction_id) WHERE cycle = 1)"""
+_add("graph_rules", _hits, _ghits, "SELECT *, rule_id || ':' || transaction_id AS rule_hit_id FROM gr", _SIZE_SQL + _GR)
+_add("cycle_summary", "metric:s value:l", lambda s, d: graph.cycle_summary(t.graph_features(s, d), _ghits(s, d)), """SELECT 'alert_transactions_evaluated' AS metric, count(*) AS value FROM al
+  UNION ALL SELECT 'cycle_candidate_count', count(*) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE' UNION ALL SELECT 'cycle_candidate_label_count', coalesce(sum(is_laundering), 0) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE'""", _SIZE_SQL + _GR)
 _add("gather_scatter_hubs", "hub_account_id:s unique_sources:l unique_destinations:l incoming_amount:d outgoing_amount:d amount_ratio:d", t.hubs, "SELECT * FROM hb")
+_WAY = """p{h} AS (SELECT transaction_id, pos, s, tip, orders, amounts, first, nodes, {h} AS hops FROM (
+    SELECT p.transaction_id, p.pos, p.s, e.receiver_account_id AS tip, list_append(orders, e.pos) AS orders, list_append(amounts, e.amount) AS amounts, least(first, e.timestamp) AS first, list_append(nodes, p.tip) AS nodes,
+      row_number() OVER (PARTITION BY p.transaction_id, e.receiver_account_id ORDER BY list_append(orders, e.pos)) AS i
+    FROM p{g} p JOIN tx e ON e.sender_account_id = p.tip AND e.pos < p.pos WHERE p.tip <> p.s AND NOT list_contains(p.nodes, p.tip)
+      AND p.transaction_id NOT IN (SELECT transaction_id FROM ({before}) WHERE tip = s)) WHERE i = 1)"""
+_before = lambda h: " UNION ALL ".join(f"SELECT transaction_id, tip, s FROM p{g}" for g in range(1, h))
 _CYC_SQL = """, p1 AS (SELECT t.transaction_id, t.pos, t.sender_account_id AS s, e.receiver_account_id AS tip, [e.pos] AS orders, [e.amount] AS amounts, e.timestamp AS first, [t.receiver_account_id] AS nodes, 1 AS hops
     FROM tx t JOIN tx e ON e.sender_account_id = t.receiver_account_id AND e.pos < t.pos),
-  p2 AS (SELECT p.transaction_id, p.pos, p.s, e.receiver_account_id AS tip, list_append(orders, e.pos) AS orders, list_append(amounts, e.amount) AS amounts, least(first, e.timestamp) AS first, list_append(nodes, p.tip) AS nodes, 2 AS hops
-    FROM p1 p JOIN tx e ON e.sender_account_id = p.tip AND e.pos < p.pos WHERE p.tip <> p.s AND NOT list_contains(p.nodes, p.tip) AND e.receiver_account_id = p.s
-      AND NOT EXISTS (SELECT 1 FROM p1 q WHERE q.transaction_id = p.transaction_id AND q.tip = q.s)),
-  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY hops, orders) AS i FROM (SELECT * FROM p1 WHERE tip = s UNION ALL SELECT * FROM p2)) WHERE i = 1),
+  """ + ",\n  ".join(_WAY.format(h=h, g=h - 1, before=_before(h)) for h in (2, 3, 4)) + """,
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY hops, orders) AS i FROM (""" + " UNION ALL ".join(f"SELECT * FROM p{h} WHERE tip = s" for h in (1, 2, 3, 4)) + """)) WHERE i = 1),
   cy AS (SELECT t.transaction_id, t.timestamp AS alert_timestamp, t.is_laundering, t.split, array_to_string(list_concat(list_concat([s], nodes), [s]), '->') AS cycle_path, hops + 2 AS path_length, t.amount + list_sum(amounts) AS total_cycle_amount,
       t.amount / greatest(list_sum(amounts), 1.0) AS cycle_retention_ratio, (epoch_us(t.timestamp) - epoch_us(least(t.timestamp, first))) / 3.6e9 AS duration_hours, least(t.amount, list_min(amounts)) / greatest(t.amount, list_max(amounts)) AS amount_similarity_ratio
     FROM best b JOIN tx t USING (transaction_id))"""
-_cycles = lambda s, d: graph.cycle_candidates(t.tx(s, d), max_length=3)
-_add("cycle_candidates", "transaction_id:l alert_timestamp:t cycle_path:s path_length:l duration_hours:d amount_similarity_ratio:d cycle_retention_ratio:d total_cycle_amount:d is_laundering:l split:s", _cycles)
-ORACLE_SQL["cycle_candidates"] = o.with_tables("").rstrip() + _CYC_SQL + """ SELECT transaction_id, alert_timestamp, cycle_path, CAST(path_length AS BIGINT) AS path_length, round(duration_hours, 6) AS duration_hours, round(amount_similarity_ratio, 6) AS amount_similarity_ratio, round(cycle_retention_ratio, 6) AS cycle_retention_ratio,
-  round(total_cycle_amount, 6) AS total_cycle_amount, CAST(is_laundering AS BIGINT) AS is_laundering, split FROM cy WHERE duration_hours <= 72 AND amount_similarity_ratio >= 0.5 AND cycle_retention_ratio <= 1.2 AND total_cycle_amount >= (SELECT min(amount) FROM tx)"""
-_add("graph_rules_v2", "rule_hit_id:s transaction_id:l rule_status:s queue_eligible:b volume_control_reason:s", lambda s, d: graph.graph_rules_v2(t.tx(s, d), t.hubs(s, d)), "SELECT 'GR1_GATHER_SCATTER_V2:' || transaction_id AS rule_hit_id, transaction_id, 'escalation' AS rule_status, true AS queue_eligible, '' AS volume_control_reason FROM tx WHERE sender_account_id IN (SELECT hub_account_id FROM hb) OR receiver_account_id IN (SELECT hub_account_id FROM hb)")
-_deg, _pr = [k for k in _EXT if "degree" in k], [k for k in _EXT if "pagerank" in k]
+_cycles = lambda s, d: graph.cycle_candidates(t.tx(s, d), min_total=0.75)
+_CYC_OK = "FROM cy WHERE duration_hours <= 72 AND amount_similarity_ratio >= 0.5 AND cycle_retention_ratio <= 1.2 AND total_cycle_amount >= (SELECT quantile_cont(amount, 0.75) FROM tx)"
+_add("cycle_candidates", "transaction_id:l alert_timestamp:t cycle_path:s path_length:l duration_hours:d amount_similarity_ratio:d cycle_retention_ratio:d total_cycle_amount:d is_laundering:l split:s", _cycles, "SELECT * " + _CYC_OK, _CYC_SQL)
+_add("graph_rules_v2", "rule_hit_id:s transaction_id:l rule_status:s queue_eligible:b volume_control_reason:s", lambda s, d: graph.graph_rules_v2(t.tx(s, d), t.hubs(s, d), _cycles(s, d)), """SELECT 'GR1_GATHER_SCATTER_V2:' || transaction_id AS rule_hit_id, transaction_id, 'escalation' AS rule_status, true AS queue_eligible, '' AS volume_control_reason FROM tx
+  WHERE sender_account_id IN (SELECT hub_account_id FROM hb) OR receiver_account_id IN (SELECT hub_account_id FROM hb)
+  UNION ALL SELECT 'GR2_CYCLE_CANDIDATE_V2:' || transaction_id, transaction_id, 'research', false, 'research_only_not_direct_p1_p2' """ + _CYC_OK, _CYC_SQL)
+_deg, _com, _pr, _cy = ([k for k in _EXT if w in k] for w in ("degree", "component", "pagerank", "cycle"))
 _abl = lambda cols: "feature_rule_priority_score" + "".join(f" + coalesce(0.001 * ({c} / nullif((SELECT max(abs({c})) FROM ex), 0)), 0)" for c in cols)
-_VAR = [("A", "mvp_features_only", []), ("B", "degree_features", _deg), ("C", "degree_component_features", _deg), ("D", "degree_component_pagerank_features", _deg + _pr), ("E", "degree_component_pagerank_cycle_features", _deg + _pr)]
+_VAR = [("A", "mvp_features_only", []), ("B", "degree_features", _deg), ("C", "degree_component_features", _deg + _com), ("D", "degree_component_pagerank_features", _deg + _com + _pr), ("E", "degree_component_pagerank_cycle_features", _deg + _com + _pr + _cy)]
 _add("graph_ablation", "model_variant:s feature_group_added:s pr_auc:d precision_at_100:d precision_at_500:d precision_at_1000:d recall_at_1000:d precision_at_1000_delta_vs_mvp:d decision:s", t.ablation,
      f"WITH ex AS ({_EXT_SQL}), v AS (" + " UNION ALL ".join(
          f"SELECT '{v}' AS model_variant, '{n}' AS feature_group_added, a.pr_auc, max(p) FILTER (k = 100) AS precision_at_100, max(p) FILTER (k = 500) AS precision_at_500, max(p) FILTER (k = 1000) AS precision_at_1000, max(r) FILTER (k = 1000) AS recall_at_1000 FROM ({o.ap(rows)}) a, ({o.top(rows, '[100, 500, 1000]')}) GROUP BY a.pr_auc"
          for v, n, rows in ((v, n, f"SELECT alert_id AS id, target AS y, {_abl(c)} AS score FROM ex WHERE split = 'test'") for v, n, c in _VAR)) +
-     ") SELECT *, precision_at_1000 - (SELECT precision_at_1000 FROM v WHERE model_variant = 'A') AS precision_at_1000_delta_vs_mvp, CASE WHEN contains(feature_group_added, 'cycle') THEN 'research_only' WHEN precision_at_1000 >= (SELECT precision_at_1000 FROM v WHERE model_variant = 'A') THEN 'keep' ELSE 'remove' END AS decision FROM v")
+     ") SELECT *, precision_at_1000 - (SELECT precision_at_1000 FROM v WHERE model_variant = 'A') AS precision_at_1000_delta_vs_mvp, CASE WHEN contains(feature_group_added, 'cycle') THEN 'research_only' WHEN precision_at_1000 >= (SELECT precision_at_1000 FROM v WHERE model_variant = 'A') THEN 'keep' ELSE 'remove' END AS decision FROM v", _SIZE_SQL)
 
 # bands and capacity
 _add("risk_score", "alert_id:s risk_score_1000:l", lambda s, d: bands.risk_score(t.scored(s, d), "model_score"), "SELECT alert_id, risk_score_1000 FROM rs")

@@ -75,17 +75,13 @@ def case_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.case_frame(tx(spark, sf_dir), alerts(spark, sf_dir), scored(spark, sf_dir))
 
 
-#: A cap low enough that some keys of the test tables exceed it.
-MAX_COMPONENT = 40
-
-
 @_once("case-chunks")
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cases.case_chunks(case_frame(spark, sf_dir), max_component=MAX_COMPONENT)
+    return cases.case_chunks(case_frame(spark, sf_dir))
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cases.network_clusters(case_frame(spark, sf_dir), MAX_COMPONENT)
+    return cases.network_clusters(case_frame(spark, sf_dir))
 
 
 @_once("case-mapping")
@@ -105,12 +101,11 @@ def graph_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_once("graph-features")
 def graph_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.graph_features(tx(spark, sf_dir), alerts(spark, sf_dir), buckets=4)
+    return graph.graph_features(tx(spark, sf_dir), alerts(spark, sf_dir))
 
 
 def extended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [c for c in graph.GRAPH_COLUMNS if "component" not in c and "cycle" not in c]
-    return graph.with_graph_features(scored(spark, sf_dir), graph_simple(spark, sf_dir), columns)
+    return graph.with_graph_features(scored(spark, sf_dir), graph_features(spark, sf_dir), graph.GRAPH_COLUMNS)
 
 
 def hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
