@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from tidewatch.llm import media, warc
 from tidewatch.llm.common import scratch
-from tidewatch.llm.ngram_join import Forest, least_overlap, ngram_components, trie_join
+from tidewatch.llm.ngram_join import Forest, least_overlap, may_link, ngram_components, sketch, trie_join
 from tidewatch.llm.wordhash import shingles, slices, words
 
 from .helpers import docs, odd_rows
@@ -96,9 +96,10 @@ def test_trie_join_finds_all_components():
     assert [f.find(i) for i in range(len(sets))] == want
 
 
-@pytest.mark.parametrize("chunk", [2048, 6])
-def test_components_match_brute_force(spark, chunk):
-    """Near copies of several originals, with a passage that many texts share; small chunks leave pairs for the last step."""
+@pytest.mark.parametrize(("chunk", "hot"), [(2048, 1 << 17), (6, 1 << 17), (6, 3)])
+def test_components_match_brute_force(spark, chunk, hot):
+    """Near copies of several originals, with a passage that many texts share; small chunks leave pairs for the last step,
+    a small `hot` deals the shared shingles to several tasks."""
     rng = random.Random(6)
     passage = make(rng, 30, "p")
     originals = [make(rng, 60) for _ in range(6)]
@@ -110,12 +111,26 @@ def test_components_match_brute_force(spark, chunk):
         texts.append(" ".join(w) + (" " + passage if rng.random() < 0.3 else ""))
     texts += [make(rng, 20) + " " + passage for _ in range(25)] + ["", None, "one two", "One two", "one two three"]
     ids = rng.sample(range(1000), len(texts))
-    got = {r["id"]: (r["n_shingles"], r["component"]) for r in ngram_components(docs(spark, [(i, t, "en", "s") for i, t in zip(ids, texts, strict=True)]), chunk=chunk).collect()}
+    got = {r["id"]: (r["n_shingles"], r["component"]) for r in ngram_components(docs(spark, [(i, t, "en", "s") for i, t in zip(ids, texts, strict=True)]), chunk=chunk, hot=hot).collect()}
     sets = _sets(texts)
     want = dict(zip(ids, zip(map(len, sets), _components(sets, ids), strict=True), strict=True))
     assert got == want
 
 
+def test_sketches_never_part_similar_sets():
+    rng = np.random.default_rng(4)
+    kept = 0
+    for _ in range(300):
+        n = int(rng.choice([3, 20, 90, 400, 20_000]))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.6, 1)], rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]))
+        if len(b) and 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)):
+            kept += 1
+            assert may_link(len(a), sketch(a), len(b), sketch(b), 75)
+    far = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (100, 100, 130)]
+    assert kept > 50 and not any(may_link(len(x), sketch(x), len(y), sketch(y), 75) for x, y in zip(far, far[1:]))
+
+
 def test_components_of_odd_rows(spark):
     got = ngram_components(docs(spark, odd_rows())).collect()
     by = {r["id"]: r["component"] for r in got}

@@ -30,7 +30,17 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes stored tables once all that was made of them is stored itself."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(id_col: str, mod: int):

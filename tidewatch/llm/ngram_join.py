@@ -1,16 +1,16 @@
 """N-gram Jaccard join with prefix trees.
 
 Every text is its set of word shingles in one global order: rare ones first, as a fixed-size table of counts over all
-texts tells, ties by hash. Two sets can only be similar if they share a shingle among their first ones (the prefix), so
-texts that share such a shingle are brought together. In a group the sets lie in a trie; a probe walks it with the
-overlap so far, shared by all sets below a node, and leaves a subtree when the lengths that remain can't make up for
-what is missing. Links found are joined into components.
+texts tells, ties by hash. Equal sets are one class, of which one text goes on. Two sets can only be similar if they
+share a shingle among their first ones (the prefix), so texts that share such a shingle are brought together. In a group
+the sets lie in a trie; a probe walks it with the overlap so far, shared by all sets below a node, and leaves a subtree
+when the lengths that remain can't make up for what is missing. Links found are joined into components.
 
 Texts are grouped by how many prefix shingles they share with the first text that has the shingle, which a similar pair
-of like size must; a group is joined by its trie at once. Nothing is paired within a group just because it is alike:
-sets already linked to the same component are not compared, equal texts are one set throughout, and groups too large for
-one task are cut into chunks that have some members in common. Pairs that no chunk has seen are told by the
-first shingle they share; where that leaves enough to share they are compared one by one, so that no link is lost.
+of like size must; a group is joined by its trie at once, too large a group in chunks that have some members in common.
+Pairs of texts in different groups, or that no chunk has seen, are told by the first shingle they share. All pairs, before
+any set is fetched, must also pass a sketch: the parity of the set's shingles by low hash bits, whose differing bits are
+never more than the shingles that only one set has. The sketch and the table of counts save work; neither loses a link.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FixedFilter, stored
+from .common import FixedFilter, release, stored
 from .wordhash import shingles, slices, words
 
 #: Cells of the table of counts, and of one of its parts as tasks hand it on.
 CELLS, _PART = 1 << 24, 1 << 18
+#: Steps of a count's logarithm in the table: 256 of them reach beyond 5 * 10 ** 9.
+_STEPS = 11.4
 
 
 def least_overlap(n: int, m: int, percent: int) -> int:
@@ -48,6 +50,24 @@ def _signature(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the set's members by their low bits, about two bits for each member (64 to 32,768)."""
+    bits = min(1 << 15, max(64, 1 << (2 * len(s) - 1).bit_length())) if len(s) else 64
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
+    """Whether sets of n and m members with these sketches may be similar: a shorter sketch is a longer one folded."""
+    if n * percent > m * 100 or m * percent > n * 100:
+        return False
+    x, y = (np.frombuffer(v, dtype=np.uint64) for v in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum()) <= n + m - 2 * least_overlap(n, m, percent)
+
+
 class _Cells:
     """Counts by cell, which stop at 255 within a task."""
 
@@ -74,7 +94,7 @@ class _Cells:
 
 
 def _read(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (id, n, signature) of all texts, and rows (part, cells) of each task's counts."""
+    """Rows (id, n, sign, sketch) of all texts, and rows (part, cells) of each task's counts."""
 
     def of(batches):
         cells = _Cells()
@@ -89,12 +109,14 @@ def _read(docs: DataFrame, k: int) -> DataFrame:
                         cells.add(_cell(s))
                         if len(seen) < 1 << 18:
                             seen.add(g)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(signs, pa.binary()), pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.binary())], names=names)
+                cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array(signs, pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *cols, pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.binary())], names=names)
         for i, x in cells.parts():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([i], pa.int32()), pa.array([x], pa.binary())], names=names)
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([i], pa.int32()), pa.array([x], pa.binary())], names=names)
 
-    names = ["id", "n", "sign", "part", "cells"]
-    return docs.mapInArrow(of, "id long, n long, sign binary, part int, cells binary")
+    names = ["id", "n", "sign", "sketch", "part", "cells"]
+    return docs.mapInArrow(of, "id long, n long, sign binary, sketch binary, part int, cells binary")
 
 
 def _counts(read: DataFrame) -> np.ndarray:
@@ -114,7 +136,7 @@ def _counts(read: DataFrame) -> np.ndarray:
     out = np.zeros(CELLS, dtype=np.uint8)
     for r in some.groupBy("part").applyInPandas(add, schema).collect():
         total = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["cells"]), dtype=np.uint32)
-        out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.log1p(total) * 11.4
+        out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.log1p(total) * _STEPS
     return out
 
 
@@ -123,45 +145,72 @@ def _ordered(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return s[np.argsort(counts[_cell(s)], kind="stable")]
 
 
-def _postings(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, id, n, pos) of the prefixes, pos counted from 0 in the global order; a task leaves out texts whose set it has seen, since equal sets are one class."""
-    held = docs.sparkSession.sparkContext.broadcast(counts)
+def _salts(counts: np.ndarray, hot: int) -> np.ndarray:
+    """For each of the table's 256 steps, into how many parts a token's postings are dealt: one, unless its count is far
+    above what chance puts into a cell and over `hot`."""
+    n = np.expm1(np.arange(256) / _STEPS)
+    mean = float(n @ np.bincount(counts, minlength=256)) / len(counts)
+    return np.maximum(1, np.ceil((n - 4 * mean) / hot)).astype(np.int64)
+
+
+def _postings(docs: DataFrame, of_class: DataFrame, k: int, percent: int, counts: np.ndarray, hot: int) -> DataFrame:
+    """(token, salt, id, n, pos) of the prefixes of the texts that stand for their class (id = rep), pos counted from 0 in
+    the global order; salt is 0 unless the token is hot.
+
+    Texts that a fixed-size filter of the others can't be sure of are told by a join; only these are shuffled.
+    """
+    sc, bits = docs.sparkSession.sparkContext, 1 << 26
+    held, parts = sc.broadcast(counts), _salts(counts, hot)
+    others = sc.broadcast(FixedFilter.of(of_class.where("id <> rep").select("id"), "id", bits))
+
+    def unsure(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(others.value.test(a.to_numpy(), b.to_numpy()))
+
+    def sure(batches):
+        # in one process with what follows
+        for b in batches:
+            yield b.filter(pa.array(~others.value.test(b.column(2).to_numpy(), b.column(3).to_numpy())))
 
     def of(batches):
-        seen: set[bytes] = set()
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, _, data, offsets in slices(b.column(1)):
                 h, _, _, first = words(data, offsets)
-                tokens, who, sizes, places = [], [], [], []
-                for i, s in enumerate(shingles(h, first, k)):
-                    g = _signature(s)
-                    if len(s) and g not in seen:
-                        if len(seen) < 1 << 18:
-                            seen.add(g)
-                        tokens.append(_ordered(s, held.value)[: prefix_length(len(s), percent)])
-                        who.append(np.full(len(tokens[-1]), ids[lo + i], dtype=np.int64))
-                        sizes.append(np.full(len(tokens[-1]), len(s), dtype=np.int32))
-                        places.append(np.arange(len(tokens[-1]), dtype=np.int32))
-                if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (who, sizes, places))], names=["token", "id", "n", "pos"])
-
-    return docs.mapInArrow(of, "token long, id long, n int, pos int")
+                tokens, size, spread = [], [], []
+                for s in shingles(h, first, k):
+                    tokens.append(_ordered(s, held.value)[: prefix_length(len(s), percent)])
+                    size.append(len(s))
+                p = np.array([len(t) for t in tokens], dtype=np.int64)
+                if not p.sum():
+                    continue
+                flat, who = np.concatenate(tokens), np.repeat(ids[lo : lo + len(p)].astype(np.int64), p)
+                spread = parts[held.value[_cell(flat)]]
+                salt = np.where(spread > 1, who % spread + 1, 0)
+                place = np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
+                cols = (flat.view(np.int64), salt.astype(np.int32), who, np.repeat(np.array(size), p).astype(np.int32), place.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "salt", "id", "n", "pos"])
+
+    schema, spots = "token long, salt int, id long, n int, pos int", FixedFilter.spots("id", bits)
+    d = docs.where("id is not null")
+    stay = of_class.where("id = rep").select(F.col("id").alias("i")).distinct()
+    told = d.where(F.pandas_udf(unsure, "boolean")(*spots)).join(stay, F.col("id") == F.col("i"), "left_semi")
+    return d.select("id", "text", *spots).mapInArrow(lambda batches: of(sure(batches)), schema).unionByName(told.mapInArrow(of, schema))
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of tokens that two texts or more have, with the token's smallest id: sorted by token, read in one pass."""
+    """Postings of tokens that two texts or more have, with the token's smallest id (of its part, if it is salted): sorted
+    by token, read in one pass."""
 
     def of(batches):
         rest = None
         for b in batches:
-            p = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
+            p = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)])
             p = p if rest is None else np.vstack([rest, p])
             if not len(p):
                 continue
-            cut = int(np.argmax(p[:, 0] == p[-1, 0]))  # the last token may go on
+            cut = int(np.argmax((p[:, 0] == p[-1, 0]) & (p[:, 1] == p[-1, 1])))  # the last token may go on
             if cut == 0 and len(p) > 1 << 16:  # a long one: hand on all but its head
-                yield from kept(p, more=True)
+                yield from kept(p)
                 rest = p[:1]
                 continue
             yield from kept(p[:cut])
@@ -169,16 +218,19 @@ def _shared(postings: DataFrame) -> DataFrame:
         if rest is not None:
             yield from kept(rest)
 
-    def kept(p, more=False):
+    def kept(p):
         if len(p):
-            new = np.concatenate([[True], p[1:, 0] != p[:-1, 0]])
+            new = np.concatenate([[True], (p[1:, 0] != p[:-1, 0]) | (p[1:, 1] != p[:-1, 1])])
             at = np.flatnonzero(new)
             size = np.diff(np.append(at, len(p)))
-            many = np.repeat(size > 1, size)
+            many = np.repeat((size > 1) | (p[at, 1] > 0), size)
             head = np.repeat(at, size)[many]
-            yield pa.RecordBatch.from_arrays([pa.array(p[many, 0]), pa.array(p[many, 1]), pa.array(p[many, 2].astype(np.int32)), pa.array(p[many, 3].astype(np.int32)), pa.array(p[head, 1]), pa.array(p[head, 2].astype(np.int32))], names=["token", "id", "n", "pos", "center", "center_n"])
+            cols = [*(p[many, i].astype(t) for i, t in enumerate(kinds)), p[head, 2], p[head, 3].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "salt", "id", "n", "pos", "center", "center_n"])
 
-    return postings.repartition("token").sortWithinPartitions("token", "id").mapInArrow(of, "token long, id long, n int, pos int, center long, center_n int")
+    kinds = (np.int64, np.int32, np.int64, np.int32, np.int32)
+    dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "id")
+    return dealt.mapInArrow(of, "token long, salt int, id long, n int, pos int, center long, center_n int")
 
 
 def _need(n: Column, m: Column, percent: int) -> Column:
@@ -196,8 +248,23 @@ def _likely(n: Column, m: Column, shared: Column, percent: int) -> Column:
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (shared + F.greatest(left(n), left(m)) >= _need(n, m, percent))
 
 
+def _sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(u, v, n) of the pairs (u, v) whose sketches allow a link; n is both sets' size."""
+    one, two = (nodes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "uv")
+
+    def of(batches):
+        for b in batches:
+            cols = [c.to_pylist() for c in b.columns[2:]]
+            ok = pa.array([may_link(*x, percent) for x in zip(*cols, strict=True)], pa.bool_())
+            n = pa.array([x + y for x, y in zip(cols[0], cols[2], strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n], names=["u", "v", "n"]).filter(ok)
+
+    both = pairs.join(one, "u").join(two, "v").select("u", "v", "nu", "su", "nv", "sv")
+    return both.mapInArrow(of, "u long, v long, n long")
+
+
 def _sets(docs: DataFrame, k: int, counts: np.ndarray, wanted: DataFrame) -> DataFrame:
-    """(id, n, tokens in global order) of the texts in `wanted`, and some more where the filter is full."""
+    """(id, tokens in global order) of the texts in `wanted`, and some more where the filter is full."""
     sc = docs.sparkSession.sparkContext
     held, some = sc.broadcast(counts), sc.broadcast(FixedFilter.of(wanted, "id"))
 
@@ -207,10 +274,10 @@ def _sets(docs: DataFrame, k: int, counts: np.ndarray, wanted: DataFrame) -> Dat
             ids, texts = b.column(0).take(pa.array(may)), b.column(1).take(pa.array(may))
             for lo, hi, data, offsets in slices(texts):
                 h, _, _, first = words(data, offsets)
-                sets = [_ordered(s, held.value) for s in shingles(h, first, k)]
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "tokens"])
+                sets = [_ordered(s, held.value).tobytes() for s in shingles(h, first, k)]
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["id", "tokens"])
 
-    return docs.select("id", "text", *FixedFilter.spots("id")).mapInArrow(of, "id long, n int, tokens binary")
+    return docs.select("id", "text", *FixedFilter.spots("id")).mapInArrow(of, "id long, tokens binary")
 
 
 class Forest:
@@ -314,14 +381,16 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while True:
+        before = e
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")), "links-least")
         large = both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = stored(large, "links-large")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w"), "links-least")
-        small = large.join(least, F.col("u") == F.col("w"))
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
+        lower = stored(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w"), "links-least")
+        small = large.join(lower, F.col("u") == F.col("w"))
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
         e = stored(small, "links")
+        release(before, least, large, lower)
         # done when all are stars around their smallest nodes: no node is both a leaf and a centre, or a leaf of two
         leaves = e.groupBy(F.col("u").alias("leaf")).agg(F.count(F.lit(1)).alias("k"))
         if leaves.where("k > 1").isEmpty() and e.join(leaves, F.col("v") == F.col("leaf"), "left_semi").isEmpty():
@@ -330,127 +399,114 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _grouped(shared: DataFrame, percent: int, chunk: int, pivots: int = 32) -> DataFrame:
-    """(id, label, chunk, pivot, chunks, members): groups of texts that are likely to be similar to a token's first text,
-    joined through all of them; large groups are cut into chunks. What is left out is for `_cross_pairs` to find."""
-    near = shared.where("id <> center").groupBy("id", "center", "n", "center_n").agg(F.count(F.lit(1)).alias("c"))
-    label = components(near.where(_likely(F.col("n"), F.col("center_n"), F.col("c"), percent)).select(F.col("id").alias("u"), F.col("center").alias("v")))
-    label = stored(label.select(F.col("node").alias("id"), F.col("component").alias("label")).join(shared.groupBy("id").agg(F.max("n").alias("n")), "id"), "ngram-labels")
+def _parts(members: Column, tokens: Column, chunk: int) -> Column:
+    """How many tasks so many sets of so many tokens in all are dealt to."""
+    return F.greatest(F.lit(1), F.ceil(members / chunk), F.ceil(tokens / (chunk * 1000))).cast("int")
+
+
+def _grouped(shared: DataFrame, nodes: DataFrame, percent: int, chunk: int, pivots: int = 32) -> DataFrame:
+    """(id, label, chunks, chunk, pivot): groups of texts that are likely to be similar to a token's first text, joined
+    through all of them; large groups are cut into chunks. What is left out is for `_pairs` to find."""
+    near = shared.where("id <> center").select("id", "center", "n", "center_n")
+    heads = shared.where("salt > 0 and id = center").select("token", "id", "n")
+    if not heads.isEmpty():  # the first texts of a hot token's parts, to the first of all
+        first = heads.groupBy("token").agg(F.min(F.struct("id", "n")).alias("f"))
+        near = near.unionByName(heads.join(first, "token").select("id", F.col("f.id").alias("center"), "n", F.col("f.n").alias("center_n")).where("id <> center"))
+    near = near.groupBy("id", "center", "n", "center_n").agg(F.count(F.lit(1)).alias("c"))
+    near = near.where(_likely(F.col("n"), F.col("center_n"), F.col("c"), percent)).select(F.col("id").alias("u"), F.col("center").alias("v"))
+    label = components(_sketched(near, nodes, percent).select("u", "v"))
+    label = label.join(nodes.groupBy("id").agg(F.max("n").alias("n")), F.col("node") == F.col("id")).select("id", F.col("component").alias("label"), "n")
+    label = stored(label, "ngram-labels")
     sizes = label.groupBy(F.col("label").alias("l")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
-    chunks = F.greatest(F.ceil(F.col("members") / chunk), F.ceil(F.col("tokens") / (chunk * 1000))).cast("int")
-    sizes = stored(sizes.select("l", "members", chunks.alias("chunks")), "ngram-groups")
-    several = F.col("chunks") > 1
-    return stored(label.join(sizes, F.col("label") == F.col("l")).select(
-        "id", "label", "chunks", "members",
-        F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"),
-        (several & ((F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("members") / pivots)) == 0) | (F.col("id") == F.col("label")))).alias("pivot"),
-    ), "ngram-placed")
+    sizes = sizes.select("l", "members", _parts(F.col("members"), F.col("tokens"), chunk).alias("chunks"))
+    # one of `pivots` members, and the first, lies in every chunk and holds the chunks together
+    pivot = (F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("members") / pivots)) == 0) | (F.col("id") == F.col("label"))
+    placed = label.join(sizes, F.col("label") == F.col("l"))
+    return stored(placed.select("id", "label", "chunks", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), ((F.col("chunks") > 1) & pivot).alias("pivot")), "ngram-placed")
 
 
-def _group_links(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) within each chunk of a group, as many as its components need."""
-    where = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-    rows = placed.where("members > 1").select("id", "label", F.explode(where).alias("chunk"))
+def _pairs(t: DataFrame, key: list[str], side: str, apart: Column, percent: int) -> DataFrame:
+    """(u, v) that may be similar, of rows (token, id, n, pos, ...) which are alike in `key` and differ in `side`.
+
+    The first token that two sets share leaves each of them what comes after it; a pair whose shared token leaves too
+    little is not made, so a passage that many texts share pairs none of them unless it comes early in the order. Rows
+    on the side that has most of the key's rows meet only rows of other sides, never one another.
+    """
+    most = t.groupBy(*key, side).agg(F.count(F.lit(1)).alias("c")).groupBy(*key).agg(F.max_by(side, F.struct("c", side)).alias("main"), F.count(F.lit(1)).alias("sides"))
+    t = stored(t.join(most.where("sides > 1").drop("sides"), key), "ngram-mixed")
+    a, b = (t.select(*key, *(F.col(c).alias(f"{c}{i}") for c in t.columns if c not in key)) for i in (1, 2))
+    n, m = F.col("n1"), F.col("n2")
+    left = F.least(n - F.col("pos1"), m - F.col("pos2"))
+    once = (F.col(f"{side}2") == F.col("main2")) | (F.col("id1") < F.col("id2"))
+    alike = (n * 100 >= m * percent) & (m * 100 >= n * percent) & (left >= _need(n, m, percent))
+    both = a.where(F.col(f"{side}1") != F.col("main1")).join(b, key).where(once & (F.col(f"{side}1") != F.col(f"{side}2")) & alike & apart)
+    return both.select(F.greatest("id1", "id2").alias("u"), F.least("id1", "id2").alias("v")).where("u <> v").distinct()
+
+
+def _routes(placed: DataFrame | None, pairs: DataFrame, chunk: int) -> DataFrame:
+    """(id, kind, a, b): where each set is to be joined. A group's chunks are places, and so is each text with its partners
+    in `pairs` (u, v, n), in parts where there are many."""
+    parts = pairs.groupBy(F.col("u").alias("w")).agg(_parts(F.count(F.lit(1)), F.sum("n"), chunk).alias("parts"))
+    p = pairs.join(parts, F.col("u") == F.col("w")).select("u", "v", F.pmod(F.xxhash64("v"), F.col("parts")).cast("long").alias("b"))
+    out = p.select(F.col("v").alias("id"), F.lit(1).alias("kind"), F.col("u").alias("a"), "b")
+    out = out.unionByName(p.select(F.col("u").alias("id"), F.lit(1).alias("kind"), F.col("u").alias("a"), "b").distinct())
+    if placed is not None:
+        where = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
+        rows = placed.select("id", F.lit(0).alias("kind"), F.col("label").alias("a"), F.explode(where).alias("c"))
+        out = out.unionByName(rows.select("id", "kind", "a", F.col("c").cast("long").alias("b")))
+    return out
+
+
+def _linked(docs: DataFrame, k: int, counts: np.ndarray, routes: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) found in each place, as stars around the smallest member of each component."""
 
     def join(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("id", kind="stable")
-        links = trie_join([np.frombuffer(t, dtype=np.uint64) for t in p["tokens"]], percent) if len(p) > 1 else []
-        ids = p["id"].to_numpy()
-        at = np.array(links, dtype=int).reshape(-1, 2)
-        return pd.DataFrame({"u": ids[at[:, 0]], "v": ids[at[:, 1]]})
+        ids, forest = p["id"].to_numpy(), Forest(len(p))
+        trie_join([np.frombuffer(t, dtype=np.uint64) for t in p["tokens"]], percent, forest)
+        root = np.array([forest.find(i) for i in range(len(p))], dtype=int)
+        leaf = np.flatnonzero(root != np.arange(len(p)))
+        return pd.DataFrame({"u": ids[leaf], "v": ids[root[leaf]]})
 
-    return sets.select("id", "tokens").join(rows, "id").groupBy("label", "chunk").applyInPandas(join, "u long, v long")
+    sets = _sets(docs, k, counts, routes.select("id").distinct())
+    return sets.join(routes, "id").groupBy("kind", "a", "b").applyInPandas(join, "u long, v long")
 
 
-def _pairs(t: DataFrame, side: str, apart: Column, percent: int) -> DataFrame:
-    """(id1, id2) that may be similar, of rows (token, id, n, pos, ...) in which `side` differs within the token.
-
-    The first token that two sets share leaves each of them what comes after it; a pair whose shared token leaves too
-    little is not made, so a passage that many texts share pairs none of them unless it comes early in the order.
-    """
-    mixed = t.groupBy("token").agg(F.min(side).alias("lo"), F.max(side).alias("hi")).where("lo <> hi").select("token")
-    t = stored(t.join(mixed, "token", "left_semi"), "ngram-mixed")
-    a, b = (t.select("token", *(F.col(c).alias(f"{c}{i}") for c in t.columns if c != "token")) for i in (1, 2))
-    left = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
-    both = a.join(b, "token").where((F.col("id1") < F.col("id2")) & apart & (left >= _need(F.col("n1"), F.col("n2"), percent)))
-    both = both.select("id1", "id2", "n1", "n2").distinct()
-    # then by all prefix tokens that the two share; those of a text are few
-    heads = stored(t.groupBy("id").agg(F.collect_set("token").alias("head")), "ngram-heads")
-    for i in (1, 2):
-        both = both.join(heads.select(F.col("id").alias(f"id{i}"), F.col("head").alias(f"head{i}")), f"id{i}")
-    shared = F.size(F.array_intersect("head1", "head2"))
-    return stored(both.where(_likely(F.col("n1"), F.col("n2"), shared, percent)).select("id1", "id2").distinct(), "ngram-pairs")
-
-
-def _cross_pairs(shared: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of texts in different groups, or in none."""
-    t = shared.select("token", "id", "n", "pos").join(placed.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    return _pairs(t, "label", F.col("label1") != F.col("label2"), percent)
-
-
-def _chunk_pairs(shared: DataFrame, placed: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of texts in different chunks of a group that links have not brought together yet."""
-    t = shared.select("token", "id", "n", "pos").join(placed.where("chunks > 1 and not pivot").select("id", "label", "chunk"), "id")
-    t = t.join(found, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", "label", "chunk", F.coalesce("component", "id").alias("c"))
-    apart = (F.col("label1") == F.col("label2")) & (F.col("chunk1") != F.col("chunk2")) & (F.col("c1") != F.col("c2"))
-    return _pairs(t, "c", apart, percent)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of the pairs whose sets are similar."""
-    one = sets.select(F.col("id").alias("id1"), F.col("tokens").alias("t1"))
-    two = sets.select(F.col("id").alias("id2"), F.col("tokens").alias("t2"))
-
-    def check(batches):
-        for x in batches:
-            ok = []
-            for p, q in zip(x.column(2).to_pylist(), x.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(p, dtype=np.uint64), np.frombuffer(q, dtype=np.uint64)
-                ok.append(len(np.intersect1d(p, q, assume_unique=True)) >= least_overlap(len(p), len(q), percent))
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    joined = pairs.join(one, "id1").join(two, "id2").select("id1", "id2", "t1", "t2")
-    return joined.mapInArrow(check, "u long, v long")
-
-
-def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, chunk: int = 2048) -> DataFrame:
+def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, chunk: int = 2048, hot: int = 1 << 17) -> DataFrame:
     """One row per document: id, n_shingles, component (the smallest id reachable by links of similarity, itself included).
 
     A-Z count as a-z; words are runs of anything but ASCII white space; a text of fewer than k words is one shingle.
     Two texts link when 100 * shared >= percent * union. Texts without words, null or empty, link with nothing; a null
     id has no component and links with nothing. Rows that repeat an id are one node with several texts. An empty table
-    gives no rows.
+    gives no rows. Groups of more than `chunk` texts are joined in chunks; postings of a token that far more than `hot`
+    texts have are dealt to several tasks.
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     read = stored(_read(d, k), "ngram-read")
-    rows = read.where("part is null").select("id", "n", "sign")
+    rows = read.where("part is null").select("id", "n", "sign", "sketch")
     counts = _counts(read)
     named = rows.where("n > 0 and id is not null")
-    classes = stored(named.groupBy(F.col("sign").alias("s")).agg(F.min("id").alias("rep")), "ngram-classes")
-    of = stored(named.join(classes, F.col("sign") == F.col("s")).select("id", "rep"), "ngram-reps")
-    firsts = stored(of.groupBy("id").agg(F.min("rep").alias("first"), F.collect_set("rep").alias("reps")), "ngram-firsts")
-    several = firsts.where("size(reps) > 1").select(F.explode("reps").alias("u"), F.col("first").alias("v"))
-
-    texts = d.where("id is not null")
-    shared = stored(_shared(_postings(texts, k, percent, counts)), "ngram-shared")
-    placed = _grouped(shared, percent, chunk)
-    cross = _cross_pairs(shared, placed, percent)
-    wanted = placed.where("members > 1").select("id").unionByName(cross.select(F.col("id1").alias("id"))).unionByName(cross.select(F.col("id2").alias("id")))
-    sets = stored(_sets(texts, k, counts, wanted), "ngram-sets")
-
-    def of_reps(links: DataFrame) -> DataFrame:
-        for c in ("u", "v"):
-            links = links.join(firsts.select(F.col("id").alias(c), F.col("first").alias(f"{c}r")), c)
-        return links.select(F.col("ur").alias("u"), F.col("vr").alias("v"))
-
-    links = _group_links(sets, placed, percent).unionByName(_verified(cross, sets, percent))
-    links = stored(of_reps(links).unionByName(several), "ngram-links")
+    classes = stored(named.groupBy(F.col("sign").alias("s")).agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "ngram-classes")
+    nodes = classes.select("id", "n", "sketch")
+    of = stored(named.select("id", "sign").join(classes.select("s", F.col("id").alias("rep")), F.col("sign") == F.col("s")).select("id", "rep"), "ngram-reps")
+    firsts = stored(of.groupBy("id").agg(F.min("rep").alias("first")), "ngram-firsts")
+    several = of.join(firsts, "id").where("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct()
+
+    shared = stored(_shared(_postings(d, of, k, percent, counts, hot)), "ngram-shared")
+    placed = _grouped(shared, nodes, percent, chunk)
+    t = shared.select("token", "id", "n", "pos")
+    labelled = t.join(placed.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    cross = stored(_sketched(_pairs(labelled, ["token"], "label", F.lit(True), percent), nodes, percent), "ngram-pairs")
+    links = stored(_linked(d, k, counts, _routes(placed, cross, chunk), percent).unionByName(several), "ngram-links")
     found = components(links)
-    if not placed.where("chunks > 1").isEmpty():
-        by_id = stored(firsts.join(found, F.col("first") == F.col("node")).select(F.col("id").alias("node"), "component"), "ngram-components")
-        more = stored(of_reps(_verified(_chunk_pairs(shared, placed, by_id, percent), sets, percent)), "ngram-links")
+    chunked = placed.where("chunks > 1 and not pivot")
+    if not chunked.isEmpty():
+        c = chunked.select("id", "label", "chunk").join(found, F.col("id") == F.col("node"), "left").select("id", "label", "chunk", F.coalesce("component", "id").alias("c"))
+        more = _pairs(t.join(c, "id"), ["token", "label"], "c", F.col("chunk1") != F.col("chunk2"), percent)
+        more = stored(_sketched(more, nodes, percent), "ngram-pairs")
         if not more.isEmpty():
-            found = components(links.unionByName(more))
-    final = stored(firsts.select("id", "first").join(found, F.col("first") == F.col("node"), "left").select(F.col("id").alias("i"), F.coalesce("component", "first").alias("component")), "ngram-components")
-    out = rows.join(final, F.col("id") == F.col("i"), "left")
+            found = components(links.unionByName(stored(_linked(d, k, counts, _routes(None, more, chunk), percent), "ngram-links")))
+    release(shared)
+    final = firsts.join(found, F.col("first") == F.col("node"), "left").select(F.col("id").alias("i"), F.coalesce("component", "first").alias("component"))
+    out = rows.select("id", "n").join(stored(final, "ngram-components"), F.col("id") == F.col("i"), "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
