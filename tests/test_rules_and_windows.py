@@ -6,10 +6,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions import distributed, windows
 from tidewatch.functions.distributed import prefix_sums, quantiles
 from tidewatch.functions.metrics import average_precision, binary_metrics, roc_auc, top_k
 from tidewatch.functions.windows import incoming_to_sender, rolling, rolling_distinct
-from tidewatch.operators import bands, profiling, rules
+from tidewatch.operators import bands, features, profiling, rules
 from tidewatch.schemas import STANDARD
 from tidewatch.sources import transfers
 
@@ -84,6 +85,67 @@ def test_windows_match_brute_force(spark):
     assert read(incoming_to_sender(d, "24h"), "incoming") == income
 
 
+def test_a_hub_account_is_cut_into_slices(spark, monkeypatch):
+    """Half of all rows are of one account; slices of running sums are made small."""
+    monkeypatch.setattr(windows, "SLICE", 7 * 3600 * windows.MICROS)
+    rng = random.Random(5)
+    rows = [(6 * rng.randrange(60), "HUB" if rng.random() < 0.5 else f"A{rng.randrange(5)}", f"A{rng.randrange(9)}" if rng.random() < 0.8 else "HUB", rng.randrange(1, 50)) for _ in range(260)]
+    d = tx(spark, rows)
+    line = sorted((h, i, s, r, a) for i, (h, s, r, a) in enumerate(rows, 1))
+    want = {}
+    for n, (h, i, s, r, a) in enumerate(line):
+        before = line[:n]
+        mine = [x for x in before if x[2] == s]
+        want[i] = (len(mine), len([x for x in before if x[3] == r]), len([x for x in mine if x[3] == r]), len({x[3] for x in mine}), len({x[2] for x in before if x[3] == r}))
+    got = features.transaction_history(d).collect()
+    names = ("sender_prior_txn_count", "receiver_prior_txn_count", "pair_prior_txn_count", "sender_prior_unique_receivers", "receiver_prior_unique_senders")
+    assert {r["transaction_id"]: tuple(r[f"feature_{n}"] for n in names) for r in got} == want
+    seen = {r["transaction_id"]: r["rolling_distinct"] for r in rolling_distinct(d, "sender_account_id", "receiver_account_id", "24h").collect()}
+    assert seen == {i: len({x[3] for x in line[: n + 1] if x[2] == s and x[0] >= h - 24}) for n, (h, i, s, r, a) in enumerate(line)}
+    paid = {r["transaction_id"]: (r["rolling_count"], r["rolling_sum"]) for r in rolling(d, "sender_account_id", "24h", closed=True).collect()}
+    assert paid == {i: (len(w := [x[4] for x in line[: n + 1] if x[2] == s and x[0] >= h - 24]), float(sum(w))) for n, (h, i, s, r, a) in enumerate(line)}
+    busiest = windows._slices(d.withColumn("_us", windows.micros()), "_us", 24 * 3600 * windows.MICROS).where("not _context").groupBy("sender_account_id", "_k").count().agg(F.max("count")).first()[0]
+    assert busiest < 40
+
+
+def test_ranges_follow_skewed_values(spark):
+    """Of log-normal values no range holds more than four times its share."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = []
+        monkey = distributed.stored
+        distributed.stored = lambda df, name: held.append(monkey(df, name)) or held[-1]
+        try:
+            d = spark.range(20_000).select(F.exp(F.randn(3) * 2.5).alias("v"), F.lit(1).alias("n"))
+            out = prefix_sums(d, [], "v", ["n"])
+            assert out.where("n_before < 0").count() == 0 and out.agg(F.max("n_before")).first()[0] == 19_999
+        finally:
+            distributed.stored = monkey
+        sizes = [r["count"] for r in held[0].groupBy("_r").count().collect()]
+        assert len(sizes) > 1 and max(sizes) <= 4 * 20_000 / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_tuning_hands_on_what_it_selected(spark):
+    _, d = random_tx(spark)
+    d = d.withColumn("split", F.when(F.col("transaction_id") % 3 == 0, "validation").otherwise("train"))
+    candidates, selected, options = rules.tune_rules(d, {"R1_AMOUNT": {"min_segment": 9}, "R3_VELOCITY": {"min_count": 2}})
+    row = selected.first()
+    assert candidates.count() > 1 and options["R1_AMOUNT"] == {"min_segment": 9, "percentile": row["candidate_value"]} and options["R3_VELOCITY"] == {"min_count": 2}
+    assert row["candidate_value"] in {r["candidate_value"] for r in candidates.collect()}
+
+
+def test_tables_and_fallbacks(spark, tmp_path):
+    _, d = random_tx(spark, 20)
+    for by in ((), ("split",)):
+        path = f"file://{tmp_path}/{len(by)}"
+        transfers.write_table(d, path, by)
+        assert sorted(r["transaction_id"] for r in transfers.read_table(spark, path).collect()) == ids(d)
+    assert transfers.first_available(None, d) is d and transfers.first_available(None) is None
+
+
 def test_pass_through_and_fan_in(spark):
     d = tx(spark, [(0, "F1", "A", 100), (1, "A", "B", 90), (2, "A", "C", 200), (3, "S1", "R", 25), (4, "S2", "R", 30), (5, "S3", "R", 35)])
     assert ids(rules.pass_through_rule(d)) == [2, 3]
@@ -149,7 +211,7 @@ def test_prefix_sums_and_quantiles(spark):
             assert got[(g, p)] == pytest.approx(lo + (hi - lo) * (at - int(at)))
     assert ("c", 0.5) not in got
     n = spark.range(1000).select((F.col("id") * F.col("id")).alias("o"), F.lit(1).alias("x"))
-    assert [r["x_before"] for r in prefix_sums(n, [], "o", ["x"], ranges=7).orderBy("o").collect()] == list(range(1000))
+    assert [r["x_before"] for r in prefix_sums(n, [], "o", ["x"]).orderBy("o").collect()] == list(range(1000))
 
 
 def scored(spark, n=10):

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .graphs import stored
+
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, and 0 where b is 0 or null."""
@@ -24,21 +26,23 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*(f"_k_{k}" for k in keys))
 
 
-def prefix_sums(df: DataFrame, by: Sequence[str], order: str, values: Sequence[str], ranges: int = 512) -> DataFrame:
-    """Adds `<value>_before`: the sum of the value over rows of the group with a smaller `order`, which is numeric and
-    distinct within a group. Groups are cut into equal ranges of `order`, so no task sorts a whole group."""
+def prefix_sums(df: DataFrame, by: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
+    """Adds `<value>_before`: the sum of the value over rows of the group with a smaller `order`, which is distinct within
+    a group.
+
+    Rows are dealt to ranges of about equal size by Spark's range partitioning, whose bounds come from a sample of the
+    keys, so skewed values spread as well as even ones and no task sorts a whole group, however large. The ranges are
+    written once, since both their totals and the sums within them must see the same bounds.
+    """
     by = list(by)
-    span = df.groupBy(*by).agg(F.min(order).cast("double").alias("_lo"), F.max(order).cast("double").alias("_hi"))
-    d = join_same(df, span, by)
-    share = (F.col(order).cast("double") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    d = d.withColumn("_r", F.least(F.floor(share * ranges), F.lit(ranges - 1)).cast("int"))
+    d = stored(df.repartitionByRange(*by, order).withColumn("_r", F.spark_partition_id()), "ranges")
     earlier = W.partitionBy(*by).orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
     sums = d.groupBy(*by, "_r").agg(*(F.sum(v).alias(f"_s_{v}") for v in values))
     sums = sums.select(*by, "_r", *(F.coalesce(F.sum(f"_s_{v}").over(earlier), F.lit(0)).alias(f"_b_{v}") for v in values))
     within = W.partitionBy(*by, "_r").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     d = join_same(d, sums, [*by, "_r"])
     d = d.withColumns({f"{v}_before": F.col(f"_b_{v}") + F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values})
-    return d.drop("_lo", "_hi", "_r", *(f"_b_{v}" for v in values))
+    return d.drop("_r", *(f"_b_{v}" for v in values))
 
 
 def quantiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -70,7 +74,3 @@ def positions(df: DataFrame, order: str, tie: Sequence[str], by: Sequence[str] =
     before = prefix_sums(counts, by, order, ["_n"]).drop("_n")
     among = F.row_number().over(W.partitionBy(*by, order).orderBy(*tie)) - 1
     return join_same(df.withColumn("_among", among), before, [*by, order]).withColumn("position", (F.col("_n_before") + F.col("_among")).cast("long")).drop("_n_before", "_among")
-
-
-def chain_positions(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> Column:
-    return F.row_number().over(W.partitionBy(*by).orderBy(*order)) - 1

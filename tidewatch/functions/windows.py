@@ -6,10 +6,14 @@ of equal time count only up to the row itself unless said otherwise. Null accoun
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .distributed import join_same
+
 MICROS = 1_000_000
 
 
@@ -28,20 +32,48 @@ def exact(amount: str) -> Column:
     return F.coalesce(F.col(amount), F.lit(0.0)).cast("decimal(28,6)")
 
 
+#: Length of the slices into which running sums cut an account's time.
+SLICE = 86_400 * MICROS
+
+
+def running(df: DataFrame, by: Sequence[str], time: str, tie: Sequence[Column | str], sums: dict[str, Column], upto: bool = False) -> DataFrame:
+    """Adds running sums by (time, tie...) within each group: over all rows before each one or, with `upto`, it included.
+
+    A group's time is cut into slices: sums within a slice, and totals of the slices before it. A task sorts one slice of
+    one group, so an account that has a great share of all rows does not hold up one task.
+    """
+    by = list(by)
+    d = df.withColumns({"_k": F.floor(F.col(time) / SLICE), **{f"_v_{n}": c for n, c in sums.items()}})
+    earlier = W.partitionBy(*by).orderBy("_k").rowsBetween(W.unboundedPreceding, -1)
+    totals = d.groupBy(*by, "_k").agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums))
+    totals = totals.select(*by, "_k", *(F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums))
+    within = W.partitionBy(*by, "_k").orderBy(time, *tie).rowsBetween(W.unboundedPreceding, 0 if upto else -1)
+    d = join_same(d, totals, [*by, "_k"]).withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(f"_v_{n}").over(within), F.lit(0)) for n in sums})
+    return d.drop("_k", *(f"_{x}_{n}" for x in "vb" for n in sums))
+
+
+def _slices(df: DataFrame, time: str, w: int) -> DataFrame:
+    """Rows in slices of time as long as the window, `_k`, each also in the next slice, for which it is `_context`."""
+    own = F.floor(F.col(time) / w)
+    return df.withColumn("_s", F.explode(F.array(F.struct(own.alias("k"), F.lit(False).alias("c")), F.struct((own + 1).alias("k"), F.lit(True).alias("c"))))).withColumns({"_k": F.col("_s.k"), "_context": F.col("_s.c")}).drop("_s")
+
+
 def rolling(df: DataFrame, group: str, window: str, closed: bool, amount: str = "amount") -> DataFrame:
     """Adds rolling_count and rolling_sum of the group's window up to each row.
 
-    A RANGE frame takes in all rows of equal time, so those that come later in id order are taken off again.
+    A RANGE frame takes in all rows of equal time, so those that come later in id order are taken off again. Frames lie
+    within slices of time as long as the window, each with the slice before it, so no task holds all of an account.
     """
     w = window_micros(window)
-    time = W.partitionBy(group).orderBy("_us").rangeBetween(-w if closed else -(w - 1), 0)
-    peers = W.partitionBy(group, "_us")
+    time = W.partitionBy(group, "_k").orderBy("_us").rangeBetween(-w if closed else -(w - 1), 0)
+    peers = W.partitionBy(group, "_k", "_us")
     upto = peers.orderBy("transaction_id").rowsBetween(W.unboundedPreceding, 0)
-    d = df.where(F.col(group).isNotNull()).withColumns({"_us": micros(), "_x": exact(amount)})
+    # a slice of w + 1 still holds the row that lies exactly w before
+    d = _slices(df.where(F.col(group).isNotNull()).withColumns({"_us": micros(), "_x": exact(amount)}), "_us", w + 1)
     one = F.lit(1)
     count = F.count(one).over(time) - (F.count(one).over(peers) - F.count(one).over(upto))
     total = F.sum("_x").over(time) - (F.sum("_x").over(peers) - F.sum("_x").over(upto))
-    return d.withColumns({"rolling_count": count, "rolling_sum": total.cast("double")}).drop("_us", "_x")
+    return d.withColumns({"rolling_count": count, "rolling_sum": total.cast("double")}).where("not _context").drop("_us", "_x", "_k", "_context")
 
 
 def rolling_distinct(df: DataFrame, group: str, item: str, window: str, query_group: str | None = None) -> DataFrame:
@@ -66,25 +98,29 @@ def rolling_distinct(df: DataFrame, group: str, item: str, window: str, query_gr
     if query_group:
         ask = d.where(F.col(query_group).isNotNull()).select(F.col(query_group).alias("g"), F.col("_us").alias("us"), F.lit(2).alias("kind"), F.col("transaction_id").alias("id"), F.lit(0).alias("step"))
         events = events.unionByName(ask)
-    line = W.partitionBy("g").orderBy("us", "kind", "id").rowsBetween(W.unboundedPreceding, 0)
-    out = events.withColumn("n", F.sum("step").over(line)).where(F.col("kind") == (2 if query_group else 1))
+    out = running(events, ["g"], "us", ["kind", "id"], {"n": F.col("step")}, upto=True).where(F.col("kind") == (2 if query_group else 1))
     return out.select(F.col("id").alias("transaction_id"), F.col("n").cast("long").alias("rolling_distinct"))
 
 
 def incoming_to_sender(df: DataFrame, window: str, amount: str = "amount") -> DataFrame:
-    """(transaction_id, incoming): what the row's sender has received in (t - w, t], rows of equal time included."""
+    """(transaction_id, incoming): what the row's sender has received in (t - w, t], rows of equal time included.
+
+    What came at one time is summed first; frames lie within slices of time, as in `rolling`.
+    """
     w = window_micros(window)
     d = df.withColumn("_us", micros())
-    came = d.select(F.col("receiver_account_id").alias("g"), F.col("_us").alias("us"), exact(amount).alias("x"), F.lit(None).cast("long").alias("transaction_id"))
-    ask = d.select(F.col("sender_account_id").alias("g"), F.col("_us").alias("us"), F.lit(0).cast("decimal(28,6)").alias("x"), "transaction_id")
-    frame = W.partitionBy("g").orderBy("us").rangeBetween(-(w - 1), 0)
-    events = came.unionByName(ask).where("g is not null").withColumn("incoming", F.sum("x").over(frame).cast("double"))
-    return events.where("transaction_id is not null").select("transaction_id", "incoming")
+    came = d.select(F.col("receiver_account_id").alias("g"), F.col("_us").alias("us"), exact(amount).alias("x")).groupBy("g", "us").agg(F.sum("x").cast("decimal(38,6)").alias("x"))
+    came = came.withColumn("transaction_id", F.lit(None).cast("long"))
+    ask = d.select(F.col("sender_account_id").alias("g"), F.col("_us").alias("us"), F.lit(0).cast("decimal(38,6)").alias("x"), "transaction_id")
+    frame = W.partitionBy("g", "_k").orderBy("us").rangeBetween(-(w - 1), 0)
+    events = _slices(came.unionByName(ask).where("g is not null"), "us", w)
+    events = events.where("not _context or x <> 0").withColumn("incoming", F.sum("x").over(frame).cast("double"))
+    return events.where("transaction_id is not null and not _context").select("transaction_id", "incoming")
 
 
 def prior_distinct(df: DataFrame, group: str, item: str, out: str) -> DataFrame:
-    """Adds the number of distinct items of the group in all rows before this one."""
-    order = ["timestamp", "transaction_id"]
-    first = F.when(F.row_number().over(W.partitionBy(group, item).orderBy(*order)) == 1, 1).otherwise(0)
-    before = W.partitionBy(group).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("_first", first).withColumn(out, F.coalesce(F.sum("_first").over(before), F.lit(0)).cast("long")).drop("_first")
+    """Adds the number of distinct items of the group in all rows before this one; a null item counts as one."""
+    first = df.groupBy(group, item).agg(F.min(F.struct("timestamp", "transaction_id")).alias("_f"))
+    first = first.select(F.col("_f.transaction_id").alias("_id"), F.lit(1).alias("_new"))
+    d = df.join(first, F.col("transaction_id") == F.col("_id"), "left").drop("_id").withColumn("_us", micros())
+    return running(d, [group], "_us", ["transaction_id"], {out: F.coalesce("_new", F.lit(0)).cast("long")}).withColumn(out, F.col(out).cast("long")).drop("_new", "_us")

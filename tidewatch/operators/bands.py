@@ -122,12 +122,3 @@ def capacity_simulation(banded: DataFrame, investigators: int = 3, per_day: int
     d = top_k(banded, label, score, sorted({*ks, capacity}), "alert_id")
     mine = F.col("k") == capacity
     return d.select(F.when(mine, "daily_capacity").otherwise(F.concat(F.lit("top_"), F.col("k").cast("string"))).alias("scenario"), "k", "precision_at_k", "recall_at_k", "lift_at_k", F.when(mine, F.col("recall_at_k")).alias("coverage_at_capacity"))
-
-
-def ranked_alerts(banded: DataFrame, rank: str, score: str) -> DataFrame:
-    """Alerts by band, then falling score, then time, as a review queue."""
-    return banded.orderBy(rank, F.desc(score), "alert_timestamp", "alert_id")
-
-
-def rank_within(df: DataFrame, by: str, score: str, tie: str) -> Column:
-    return F.row_number().over(W.partitionBy(by).orderBy(F.desc(score), tie))

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.distributed import ratio
-from ..functions.windows import prior_distinct
+from ..functions.windows import micros, prior_distinct, running
 from ..schemas import RULE_IDS
 from .rules import severity_rank
 
@@ -18,12 +17,10 @@ METADATA = ["alert_id", "transaction_id", "alert_timestamp", "split", "target",
 
 def transaction_history(tx: DataFrame) -> DataFrame:
     """All transactions with what was known before each: rows of its sender, receiver and pair, and their partners."""
-    order = ["timestamp", "transaction_id"]
-    prior = lambda *by: (F.row_number().over(W.partitionBy(*by).orderBy(*order)) - 1).cast("long")
-    d = tx.withColumns({
-        "feature_sender_prior_txn_count": prior("sender_account_id"), "feature_receiver_prior_txn_count": prior("receiver_account_id"),
-        "feature_pair_prior_txn_count": prior("sender_account_id", "receiver_account_id"),
-    })
+    d = tx.withColumn("_us", micros())
+    for name, by in (("sender", ["sender_account_id"]), ("receiver", ["receiver_account_id"]), ("pair", ["sender_account_id", "receiver_account_id"])):
+        d = running(d, by, "_us", ["transaction_id"], {f"feature_{name}_prior_txn_count": F.lit(1).cast("long")})
+    d = d.drop("_us")
     d = prior_distinct(d, "sender_account_id", "receiver_account_id", "feature_sender_prior_unique_receivers")
     return prior_distinct(d, "receiver_account_id", "sender_account_id", "feature_receiver_prior_unique_senders")
 

@@ -8,12 +8,11 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.distributed import positions, prefix_sums, quantile_row, ratio
 from ..functions.graphs import connected_components, stored
 from ..functions.metrics import average_precision, top_k
-from ..functions.windows import exact, micros, prior_distinct
+from ..functions.windows import exact, micros, prior_distinct, running
 from .rules import rule_hits
 
 GRAPH_COLUMNS = ["graph_sender_out_degree", "graph_receiver_in_degree", "graph_sender_weighted_out_degree", "graph_receiver_weighted_in_degree", "graph_component_size", "graph_sender_pagerank", "graph_receiver_pagerank", "graph_cycle_involvement"]
@@ -28,9 +27,10 @@ def graph_degrees(tx: DataFrame) -> DataFrame:
 
 def graph_weighted_degrees(tx: DataFrame) -> DataFrame:
     """Adds the prior sums of what the sender has sent and the receiver received; a null amount is 0."""
-    before = lambda c: W.partitionBy(c).orderBy(*_ORDER).rowsBetween(W.unboundedPreceding, -1)
-    total = lambda c: F.coalesce(F.sum(exact("amount")).over(before(c)), F.lit(0)).cast("double")
-    return tx.withColumns({"graph_sender_weighted_out_degree": total("sender_account_id"), "graph_receiver_weighted_in_degree": total("receiver_account_id")})
+    d = tx.withColumn("_us", micros())
+    for by, name in (("sender_account_id", "graph_sender_weighted_out_degree"), ("receiver_account_id", "graph_receiver_weighted_in_degree")):
+        d = running(d, [by], "_us", ["transaction_id"], {name: exact("amount")}).withColumn(name, F.col(name).cast("double"))
+    return d.drop("_us")
 
 
 def graph_centrality(tx: DataFrame) -> DataFrame:
@@ -39,14 +39,15 @@ def graph_centrality(tx: DataFrame) -> DataFrame:
     The count of pairs so far is a running total over all rows, taken in time ranges; degrees are running counts over
     an account's events in both roles.
     """
-    first = F.row_number().over(W.partitionBy("sender_account_id", "receiver_account_id").orderBy(*_ORDER)) == 1
-    d = positions(tx.withColumns({"_us": micros(), "_new": F.when(first, 1).otherwise(0)}), "_us", ["transaction_id"])
+    d = positions(tx.withColumn("_us", micros()), "_us", ["transaction_id"])
+    new = d.groupBy("sender_account_id", "receiver_account_id").agg(F.min("position").alias("_first")).select("_first", F.lit(1).alias("_new"))
+    d = stored(d.join(new, F.col("position") == F.col("_first"), "left").drop("_first").withColumn("_new", F.coalesce("_new", F.lit(0))), "graph-pairs")
     pairs = prefix_sums(d.select("position", "_new"), [], "position", ["_new"]).select("position", (F.col("_new_before") * 2).alias("_links"))
     d = d.join(pairs, "position")
-    roles = [d.select(F.col(c).alias("account"), "position", F.lit(i).alias("role"), "_new") for i, c in enumerate(("sender_account_id", "receiver_account_id"))]
-    # rows before this one only: a row's two events share its position
-    line = W.partitionBy("account").orderBy("position").rangeBetween(W.unboundedPreceding, -1)
-    degree = roles[0].unionByName(roles[1]).withColumn("n", F.coalesce(F.sum("_new").over(line), F.lit(0)))
+    # rows before this one only; an account on both sides of a row has one line for the two
+    roles = [d.select(F.col(c).alias("account"), "_us", "position", F.lit(i).alias("role"), "_new") for i, c in enumerate(("sender_account_id", "receiver_account_id"))]
+    both = roles[0].unionByName(roles[1]).groupBy("account", "_us", "position").agg(F.sum("_new").alias("_new"), F.collect_set("role").alias("roles"))
+    degree = running(both, ["account"], "_us", ["position"], {"n": F.col("_new")}).select("position", "n", F.explode("roles").alias("role"))
     for i, name in enumerate(("sender", "receiver")):
         d = d.join(degree.where(F.col("role") == i).select("position", F.col("n").alias(f"_n_{name}")), "position")
         d = d.withColumn(f"graph_{name}_pagerank", ratio(F.col(f"_n_{name}"), F.col("_links")))

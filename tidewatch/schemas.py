@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)  # noqa: SLF001
-
-
+#: Columns of raw files, of transactions and of rule hits.
 RAW_COLUMNS = ["timestamp", "from_bank", "account", "to_bank", "account_1", "amount_received", "receiving_currency", "amount_paid", "payment_currency", "payment_format", "is_laundering"]
 STANDARD = "transaction_id long, timestamp timestamp, from_bank string, to_bank string, sender_account_id string, receiver_account_id string, amount_paid double, amount_received double, payment_currency string, receiving_currency string, payment_format string, currency_pair string, cross_bank_flag int, amount double, log_amount double, is_laundering int"
 RULE_HITS = "rule_hit_id string, transaction_id long, alert_timestamp timestamp, rule_id string, rule_name string, severity string, trigger_values_json string, threshold_json string, rationale string, is_laundering int, split string"

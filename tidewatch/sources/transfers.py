@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ..functions.windows import micros
 from ..schemas import RAW_COLUMNS, STANDARD_COLUMNS
 
 
@@ -126,7 +125,3 @@ def from_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("amount"), F.log1p(F.when(F.col("value") < 0, 0.0).otherwise(F.col("value"))).alias("log_amount"), F.when(label, 1).otherwise(0).alias("is_laundering"),
     )
     return out.select(STANDARD_COLUMNS)
-
-
-def with_micros(df: DataFrame) -> DataFrame:
-    return df.withColumn("_us", micros())
