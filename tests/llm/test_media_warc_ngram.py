@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -149,7 +150,7 @@ def test_warc_round_trip(spark):
     pages = spark.createDataFrame(rows, PAGES)
     path = scratch(spark, "warc-test")
     manifest = warc.write_warc(pages, path, file_bytes=2000, rows_per_shard=40)
-    got = warc.read_warc(spark, path, manifest).collect()
+    got = warc.read_warc(spark, path).collect()
     least = {}
     for i, _, h, *_ in rows:
         if i is not None:
@@ -166,3 +167,18 @@ def test_warc_round_trip(spark):
     assert {(r["file"], r["sha256"]) for r in second.collect()} == {(r["file"], r["sha256"]) for r in files}
     empty = warc.write_warc(spark.createDataFrame([], PAGES), scratch(spark, "warc-test"))
     assert empty.count() == 0
+    nothing = scratch(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame([], PAGES), nothing)
+    assert warc.read_warc(spark, nothing).count() == 0
+
+
+def test_warc_shards_follow_the_ids(spark):
+    """One far-off id and repeated ids: shards still have their size, and a record longer than a file fits."""
+    ids = [*range(100), 10**15, *[50] * 7, None]
+    pages = spark.createDataFrame([(i, "u", "x" * (50_000 if i == 3 else 10), None, None) for i in ids], PAGES)
+    path = scratch(spark, "warc-test")
+    warc.write_warc(pages, path, file_bytes=3000, rows_per_shard=10)
+    held = {r["shard"]: r["n"] for r in warc.manifests(spark, path).groupBy("shard").agg(F.sum("records").alias("n")).collect()}
+    assert sum(held.values()) == len(ids) and len(held) == 12 and max(held.values()) <= 17
+    got = sorted((r["id"] is None, r["id"] or 0) for r in warc.read_warc(spark, path).collect())
+    assert got == sorted((i is None, i or 0) for i in ids)

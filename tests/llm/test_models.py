@@ -6,12 +6,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidewatch.llm import hmm, quality
 from tidewatch.llm.wordhash import words as word_hashes
 from tidewatch.llm.fitting import isotonic
-from tidewatch.llm.language import identify_language
+from tidewatch.llm.language import fit_language, identify_language
 from tidewatch.llm.quality import score_quality
 from tidewatch.llm.toxicity import BlockMaxIndex, score_toxicity, terms
 
@@ -176,6 +177,19 @@ def test_language_on_held_out_rows(spark):
     assert identify_language(docs(spark, [])).count() == 0
 
 
+def test_language_of_long_texts_only_is_learned(spark):
+    rng = random.Random(11)
+    make = lambda stems, n: " ".join("".join(rng.choices(stems, k=3)) for _ in range(n))
+    rows = [(i, make(["bal", "dor", "kin"], 40), "aa", "s") for i in range(40)] + [(100 + i, make(["schli", "wex", "pft"], 3000), "bb", "s") for i in range(40)]
+    rows += [(7, rows[7][1], "aa", "s")] * 5 + [(None, make(["bal"], 9), "aa", None)]
+    by = {r["id"]: r for r in identify_language(docs(spark, rows)).collect()}
+    assert all(by[i]["lang_pred"] == g for i, _, g, _ in rows)
+    # sizes as zstandard gives them, piece by piece
+    model = fit_language(docs(spark, rows), "doc_id", "text", "lang")
+    want = [sum(len(zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False).compress(rows[50][1].encode()[i : i + 2048])) for i in range(0, len(rows[50][1].encode()), 2048)) for d in model.dictionaries.values()]
+    assert model.sizes(rows[50][1], 6).tolist() == want and all(len(d) <= 96 * 1024 for d in model.dictionaries.values())
+
+
 def _chain(states=3, symbols=5, seed=3):
     rng = np.random.default_rng(seed)
     a = lambda *s: (x := rng.random(s)) / x.sum(-1, keepdims=True)

@@ -61,22 +61,31 @@ class CompressionModel:
         return langs[order[0]], float(1 / odds.sum()), margin
 
 
-def fit_language(docs: DataFrame, id_col: str, text_col: str, lang_col: str, texts_per_lang: int = 400, dictionary_bytes: int = 96 * 1024, level: int = 6) -> CompressionModel:
-    """Dictionaries from at most `texts_per_lang` texts of each language, the first in hash order, shorter ones last (the
-    end of a dictionary is the cheapest to refer to); only whole texts that fit are used. Languages must be few."""
+def fit_language(docs: DataFrame, id_col: str, text_col: str, lang_col: str, texts_per_lang: int = 400, dictionary_bytes: int = 96 * 1024, level: int = 6, piece: int = 384, pieces: int = 16) -> CompressionModel:
+    """Dictionaries from at most `texts_per_lang` texts of each language, the first in hash order. A text of any length
+    gives up to `pieces` pieces of `piece` characters, spread evenly over it; the dictionary takes one piece of each text
+    in turn until it is full, the first ones last (its end is the cheapest to refer to). Languages must be few."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    ids = bounded_sample(d.where(F.length("text") <= dictionary_bytes // 16).select("id", "lang"), "lang", "id", texts_per_lang, "language")
-    texts: dict[str, list[str]] = {}
-    for r in d.where(F.length("text") <= dictionary_bytes // 16).join(F.broadcast(ids.select("id").distinct()), "id").select("lang", "text").collect():
-        texts.setdefault(r["lang"], []).append(r["text"].lower())
+    ids = bounded_sample(d.select("id", "lang"), "lang", "id", texts_per_lang, "language")
+    n = F.length("text")
+    k = F.least(F.lit(pieces), F.ceil(n / piece)).cast("int")
+    # every (n / k)-th character begins a piece, which ends before the next one
+    cut = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.substring("text", (F.floor(i * n / k) + 1).cast("int"), F.least(F.lit(piece), F.floor(n / k) + 1).cast("int")))
+    turns: dict[str, dict[int, list[str]]] = {}
+    # of rows that repeat an id one text teaches
+    for r in d.join(F.broadcast(ids.select("id").distinct()), "id").groupBy("lang", "id").agg(F.min(cut).alias("cut")).collect():
+        for i, x in enumerate(r["cut"]):
+            turns.setdefault(r["lang"], {}).setdefault(i, []).append(x.lower())
     out = {}
-    for lang, own in texts.items():
-        held: list[bytes] = []
-        for t in sorted(own, key=lambda t: (len(t), t), reverse=True):
-            raw = t.encode("utf-8", "surrogatepass") + b"\n"
-            if sum(map(len, held)) + len(raw) <= dictionary_bytes:
-                held.append(raw)
-        out[lang] = b"".join(held)
+    for lang, by_turn in turns.items():
+        held, size = [], 0
+        for i in sorted(by_turn):
+            for x in sorted(by_turn[i]):
+                raw = x.encode("utf-8", "surrogatepass") + b"\n"
+                if size + len(raw) <= dictionary_bytes:
+                    held.append(raw)
+                    size += len(raw)
+        out[lang] = b"".join(reversed(held))
     return CompressionModel({k: v for k, v in out.items() if len(v) >= 8}, level)
 
 
