@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the co-trained classifier rejects. Of rows that repeat an id all stay if one is kept."""
     scores = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = scores.groupBy("id").agg(F.max("keep").alias("keep")).where("keep")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(COLUMNS)
+    return docs.select(COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(COLUMNS)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of similar documents."""
     ids = ngram_components(docs).where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(COLUMNS)
+    return docs.select(COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
