@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_written: list[str] = []
+
+
 def stored_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder the cluster shares; where none is set, as in tests, a folder of this machine."""
+    """A new path in the folder the cluster shares; where none is set, as in tests on one machine, a folder of this machine."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +31,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Deletes all that this process has stored so far; no result made of it may be read afterwards."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component): the smallest node of each undirected component; self-edges keep single nodes.
 

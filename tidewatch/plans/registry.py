@@ -197,13 +197,13 @@ _add("graph_rules", _hits, _ghits, "SELECT *, rule_id || ':' || transaction_id A
 _add("cycle_summary", "metric:s value:l", lambda s, d: graph.cycle_summary(t.graph_features(s, d), _ghits(s, d)), """SELECT 'alert_transactions_evaluated' AS metric, count(*) AS value FROM al
   UNION ALL SELECT 'cycle_candidate_count', count(*) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE' UNION ALL SELECT 'cycle_candidate_label_count', coalesce(sum(is_laundering), 0) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE'""", _SIZE_SQL + _GR)
 _add("gather_scatter_hubs", "hub_account_id:s unique_sources:l unique_destinations:l incoming_amount:d outgoing_amount:d amount_ratio:d", t.hubs, "SELECT * FROM hb")
-_WAY = """p{h} AS (SELECT transaction_id, pos, s, tip, orders, amounts, first, nodes, {h} AS hops FROM (
+_WAY = """p{h} AS MATERIALIZED (SELECT transaction_id, pos, s, tip, orders, amounts, first, nodes, {h} AS hops FROM (
     SELECT p.transaction_id, p.pos, p.s, e.receiver_account_id AS tip, list_append(orders, e.pos) AS orders, list_append(amounts, e.amount) AS amounts, least(first, e.timestamp) AS first, list_append(nodes, p.tip) AS nodes,
       row_number() OVER (PARTITION BY p.transaction_id, e.receiver_account_id ORDER BY list_append(orders, e.pos)) AS i
     FROM p{g} p JOIN tx e ON e.sender_account_id = p.tip AND e.pos < p.pos WHERE p.tip <> p.s AND NOT list_contains(p.nodes, p.tip)
       AND p.transaction_id NOT IN (SELECT transaction_id FROM ({before}) WHERE tip = s)) WHERE i = 1)"""
 _before = lambda h: " UNION ALL ".join(f"SELECT transaction_id, tip, s FROM p{g}" for g in range(1, h))
-_CYC_SQL = """, p1 AS (SELECT t.transaction_id, t.pos, t.sender_account_id AS s, e.receiver_account_id AS tip, [e.pos] AS orders, [e.amount] AS amounts, e.timestamp AS first, [t.receiver_account_id] AS nodes, 1 AS hops
+_CYC_SQL = """, p1 AS MATERIALIZED (SELECT t.transaction_id, t.pos, t.sender_account_id AS s, e.receiver_account_id AS tip, [e.pos] AS orders, [e.amount] AS amounts, e.timestamp AS first, [t.receiver_account_id] AS nodes, 1 AS hops
     FROM tx t JOIN tx e ON e.sender_account_id = t.receiver_account_id AND e.pos < t.pos),
   """ + ",\n  ".join(_WAY.format(h=h, g=h - 1, before=_before(h)) for h in (2, 3, 4)) + """,
   best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY hops, orders) AS i FROM (""" + " UNION ALL ".join(f"SELECT * FROM p{h} WHERE tip = s" for h in (1, 2, 3, 4)) + """)) WHERE i = 1),

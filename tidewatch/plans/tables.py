@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.graphs import stored, stored_path  # noqa: F401
+from ..functions.graphs import discard, stored, stored_path  # noqa: F401
 from ..operators import bands, cases, diagnostics, explain, features, graph, models, profiling, rules
 from ..sources import transfers
 
@@ -29,6 +29,12 @@ def _once(name: str) -> Callable:
     return wrap
 
 
+def forget(spark: SparkSession) -> None:
+    """Drops the shared tables and all else that was stored: for changed input, or to time a query by itself."""
+    _stored.clear()
+    discard(spark)
+
+
 def raw_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
