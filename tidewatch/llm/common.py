@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.graphs import stored_path
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path for `name` in the folder the cluster shares (spark.checkpoint.dir).
-
-    Where that setting is absent, as in tests, a temporary folder of this machine is set for the session.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path for `name` in the folder the cluster shares (spark.checkpoint.dir)."""
+    return stored_path(spark, name)
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -182,7 +182,7 @@ def _columns(texts: list[str | None], keep_media: bool) -> list[pa.Array]:
         media = write_media(data)
         index = read_index(media)
         back = payload(media, index)
-        keys = [{"first": a, "end": b} for a, b in index["keyframes"]] if keep_media else None
+        keys = [{"first": a, "end": b} for a, b in index["keyframes"]]
         rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(index), index["codec"], index["duration"] / index["timescale"], keys, media if keep_media else None))
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.binary()]
     return [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
