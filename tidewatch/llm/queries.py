@@ -31,7 +31,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media.media_columns(_table(spark, sf_dir, "documents"), keep_media=False)
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "duration", "keyframes")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +46,8 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
-    manifest = warc.write_warc(_table(spark, sf_dir, "pages"), path)
-    return warc.read_warc(spark, path, manifest).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """A sharded WARC writer (WARC/1.1, one gzip member per record) and its reader.
 
-Records are range-sorted by page id into shards; every shard is one task's stream of records, which rolls its file by
-compressed size. Files and each shard's manifest are written under temporary names and take their final ones when
-complete, so a task that runs again replaces what it left. Only files that the manifests name are read.
+Records are range-sorted by page id and cut into shards of equal size; every shard is one task's stream of records, which
+rolls its file by compressed size. Files and each shard's manifest are written under temporary names and take their final
+ones when complete, so a task that runs again replaces what it left. Only files that the manifests name are read.
 """
 
 from __future__ import annotations
@@ -12,12 +12,16 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.distributed import prefix_sums
 from .common import stored
 
 DATE = "2000-01-01T00:00:00Z"
@@ -65,24 +69,13 @@ def _commit(fs: pafs.FileSystem, path: str, data: bytes, attempt: str) -> None:
     fs.move(temporary, path)
 
 
-def _shards(pages: DataFrame, rows_per_shard: int, cells: int = 4096) -> DataFrame:
-    """Adds `shard`: runs of equal cells of the id range with about `rows_per_shard` rows each, the same in every run.
-    A cell with many rows is a shard by itself; null ids are the last shard."""
-    low, high = pages.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        return pages.withColumn("shard", F.lit(0).cast("long"))
-    width = (high - low) // cells + 1
-    cell = F.floor((F.col("id") - low) / width)
-    rows = sorted(pages.where("id is not null").groupBy(cell.alias("c")).count().collect())
-    edges, size = [], 0
-    for c, n in rows:
-        if size and size + n > rows_per_shard:
-            edges.append(int(c))
-            size = 0
-        size += n
-    starts = F.array(*(F.lit(e).cast("long") for e in edges)) if edges else F.array().cast("array<long>")
-    at = F.size(F.filter(starts, lambda e: e <= cell))
-    return pages.withColumn("shard", F.when(F.col("id").isNull(), len(edges) + 1).otherwise(at).cast("long"))
+def _starts(pages: DataFrame, rows_per_shard: int) -> np.ndarray:
+    """The first id of each shard. Shards have `rows_per_shard` rows in order of id, however ids are spread, and are the
+    same in every run; rows of one id stay together. The driver gets one number for each shard."""
+    ids = pages.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    shard = F.floor(F.col("n_before") / rows_per_shard)
+    first = prefix_sums(ids, [], "id", ["n"]).groupBy(shard.alias("shard")).agg(F.min("id").alias("id")).select("id").toPandas()["id"]
+    return np.sort(first.to_numpy(dtype=np.int64))
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", revisit_from: int = 100, file_bytes: int = 8 << 20, rows_per_shard: int = 4000, date: str = DATE) -> DataFrame:
@@ -99,8 +92,16 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     body = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("body"))
     body = body.withColumn("digest", F.sha2("body", 256)).join(first.select(F.col("digest").alias("d"), "first"), F.col("digest") == F.col("d"), "left").drop("d")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    rows = _shards(body.withColumn("revisit", revisit), rows_per_shard).select("shard", "id", "url", "body", "digest", "first", "revisit")
-    rows = rows.repartition("shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "url", "digest")
+    starts = _starts(narrow, rows_per_shard)
+
+    @F.pandas_udf("long")
+    def shard_of(i: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(starts, i.to_numpy(), side="right") - 1, 0))
+
+    # null ids are the last shard; as many tasks as shards, so the largest task stays the same size
+    shard = F.when(F.col("id").isNull(), len(starts)).otherwise(shard_of(F.coalesce("id", F.lit(0).cast("long"))))
+    rows = body.select(shard.alias("shard"), "id", "url", "body", "digest", "first", revisit.alias("revisit"))
+    rows = rows.repartition(len(starts) + 1, "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "url", "digest")
 
     def write(batches):
         from pyspark import TaskContext
@@ -130,28 +131,33 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
         kinds = pa.schema([("shard", pa.int64()), ("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
         for b in batches:
-            for i in range(len(b)):
-                s, page, url, body, digest, first, again = (c[i].as_py() for c in b.columns)
-                if s != shard:
-                    yield from close()
-                    shard = s
-                parts.append(_gzip(record(page, url, body, digest, first, again, date)))
-                size += len(parts[-1])
-                if size >= file_bytes:
-                    roll()
+            for lo in range(0, len(b), 256):
+                for s, *fields in zip(*(c.slice(lo, 256).to_pylist() for c in b.columns), strict=True):
+                    if s != shard:
+                        yield from close()
+                        shard = s
+                    parts.append(_gzip(record(*fields, date)))
+                    size += len(parts[-1])
+                    if size >= file_bytes:
+                        roll()
         yield from close()
 
     return stored(rows.mapInArrow(write, _MANIFEST), "warc-manifest")
 
 
 def records(data: bytes) -> Iterator[dict]:
-    """Headers (lower-case names), block and payload of each record of a file; checks every block digest."""
+    """Headers (lower-case names), HTTP header and payload of each record of a file; checks every block digest."""
     at = 0
     view = memoryview(data)
     while at < len(data):
-        z = zlib.decompressobj(31)
-        raw = z.decompress(view[at:]) + z.flush()
-        at = len(data) - len(z.unused_data)
+        z, out = zlib.decompressobj(31), []
+        while not z.eof:  # a little at a time: what a member leaves unused is copied
+            if at >= len(data):
+                raise ValueError("a record is cut off")
+            out.append(z.decompress(view[at : at + 4096]))
+            at += len(view[at : at + 4096])
+        at -= len(z.unused_data)
+        raw = b"".join(out)
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in head.decode("utf-8", "surrogatepass").split("\r\n")[1:])}
         block = rest[: int(fields["content-length"])]
@@ -161,32 +167,46 @@ def records(data: bytes) -> Iterator[dict]:
         yield {"fields": fields, "http": http, "payload": body}
 
 
-def read_warc(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
-    """One row per record of the files in the manifest: id, url, payload_bytes, payload_digest, record_type, refers_to,
-    payload (null for a revisit). Sizes and digests are those of the full payload: counted and computed for a response,
-    as the record states them for a revisit."""
+def manifests(spark: SparkSession, path: str) -> DataFrame:
+    """What the shards' manifests under `path` name; no rows if there are none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest-*.json")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+    if not found:
+        return spark.createDataFrame([], _MANIFEST)
+    return spark.read.schema(_MANIFEST).json(f"{path}/manifest-*.json")
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of the files that the manifests name: id, url, payload_bytes, payload_digest, record_type,
+    refers_to, payload (null for a revisit). Sizes and digests are those of the full payload: counted and computed for a
+    response, as the record states them for a revisit."""
 
     def page(urn: str | None) -> int | None:
         number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
         return int(number) if number else None
 
+    names = ["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+
+    def rows(data: bytes):
+        for r in records(data):
+            h, body = r["fields"], r["payload"]
+            if h["warc-type"] == "revisit":
+                n, digest, body = int(re.search(rb"Content-Length: (\d+)", r["http"])[1]), h["warc-payload-digest"].removeprefix("sha256:"), None
+            else:
+                n, digest = len(body), hashlib.sha256(body).hexdigest()
+            yield page(h["warc-record-id"]), h["warc-target-uri"], n, digest, h["warc-type"], page(h.get("warc-refers-to")), body
+
     def read(batches):
-        kinds = pa.schema([("id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
         fs, root = _open(path)
         for b in batches:
             for name in b.column(0).to_pylist():
                 with fs.open_input_stream(f"{root}/{name}", compression=None) as f:
-                    data = f.read()
-                rows = []
-                for r in records(data):
-                    h = r["fields"]
-                    again = h["warc-type"] == "revisit"
-                    n = int(re.search(rb"Content-Length: (\d+)", r["http"])[1]) if again else len(r["payload"])
-                    digest = h["warc-payload-digest"].removeprefix("sha256:") if again else hashlib.sha256(r["payload"]).hexdigest()
-                    rows.append({"id": page(h["warc-record-id"]), "url": h["warc-target-uri"], "payload_bytes": n, "payload_digest": digest, "record_type": h["warc-type"], "refers_to": page(h.get("warc-refers-to")), "payload": None if again else r["payload"]})
-                for i in range(0, len(rows), 256):
-                    yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=kinds)
-
-    # a hash per file spreads the files over tasks
-    files = manifest.select("file").repartition(max(1, spark.sparkContext.defaultParallelism), "file")
+                    found = rows(f.read())
+                while some := list(islice(found, 256)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names=names)
+
+    # a task for each file or few
+    named = stored(manifests(spark, path).select("file"), "warc-files")
+    files = named.repartition(max(1, min(named.count(), 10_000)), "file")
     return files.mapInArrow(read, "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
