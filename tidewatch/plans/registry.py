@@ -70,7 +70,7 @@ _STD_SQL = """SELECT row_number() OVER (ORDER BY transaction_id) AS transaction_
 
 
 def _csv(s: SparkSession, d: str) -> DataFrame:
-    """The raw text written as CSV and read back by position."""
+    """The raw text written as CSV, which trims it, and read back by position."""
     path = t.stored_path(s, "raw-csv")
     raw = _raw_text(s, d)
     raw.drop("_ord").toDF(*[f"c{i}" for i in range(11)]).write.csv(path, header=True)
@@ -78,7 +78,10 @@ def _csv(s: SparkSession, d: str) -> DataFrame:
 
 
 # sources, schema and profiles
-_add("scan_raw_csv", "timestamp:s from_bank:s account:s to_bank:s account_1:s amount_received:s receiving_currency:s amount_paid:s payment_currency:s payment_format:s is_laundering:s", _csv)
+_add("scan_raw_csv", "timestamp:s from_bank:s account:s to_bank:s account_1:s amount_received:s receiving_currency:s amount_paid:s payment_currency:s payment_format:s is_laundering:s", _csv,
+     """SELECT CASE WHEN transaction_id % 50 = 0 THEN 'not a time' ELSE strftime(timestamp, '%Y/%m/%d %H:%M') END AS timestamp, from_bank, sender_account_id AS account, to_bank, receiver_account_id AS account_1,
+  CAST(amount_received AS VARCHAR) AS amount_received, CASE WHEN transaction_id % 50 <> 0 THEN receiving_currency END AS receiving_currency, CASE WHEN transaction_id % 50 = 0 THEN 'n/a' ELSE CAST(amount_paid AS VARCHAR) END AS amount_paid,
+  payment_currency, payment_format, CAST(is_laundering AS VARCHAR) AS is_laundering FROM txa""")
 _add("ingest", "row_count:l accounts:l label_count:l null_timestamps:l total:d", lambda s, d: transfers.standardize(_csv(s, d)).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("sender_account_id").alias("accounts"), F.sum("is_laundering").alias("label_count"), F.count_if(F.col("timestamp").isNull()).alias("null_timestamps"), F.sum("amount").alias("total")),
      f"SELECT count(*) AS row_count, count(DISTINCT sender_account_id) AS accounts, sum(is_laundering) AS label_count, count(*) - count(timestamp) AS null_timestamps, sum(amount) AS total FROM ({_STD_SQL})")
 _add("transactions", _TX, t.raw_tx, f"SELECT {', '.join(_NAMES)} FROM txa")
