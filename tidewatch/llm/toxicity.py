@@ -40,22 +40,14 @@ def terms(text: str | None) -> Counter:
     return out
 
 
-_LETTERS = re.compile(r"[^\W\d_]{4,}")
-
-
 def beginnings(word: str) -> list[str]:
     """A word of four letters or more, and its first 4, 5 and 6 letters (marked with a star)."""
     return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) >= k)]
 
 
-def telling_terms(text: str | None, heads: set[str] | None = None) -> Counter:
-    """Counts of the beginnings of the text's words, with `heads` of those only that start with one of them."""
-    out: Counter = Counter()
-    for w, n in Counter(_LETTERS.findall((text or "").lower())).items():
-        if heads is None or w[:4] in heads:
-            for t in beginnings(w):
-                out[t] += n
-    return out
+def telling_terms(counts: Counter) -> set[str]:
+    """The beginnings of words of letters."""
+    return {t for w in counts if len(w) >= 4 and w.isalpha() for t in beginnings(w)}
 
 
 def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -67,12 +59,12 @@ class BlockMaxIndex:
     """L2-normalised sparse rows of weights above 0 by term: a matrix of the `dense` commonest terms, and postings of the
     others in blocks of rows, with the greatest weight of each."""
 
-    def __init__(self, rows: list[dict[int, float]], n_terms: int, block: int = 64, dense: int = 512):
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = 64, dense: int = 512):
         self.size, self.block = len(rows), block
         self.n_blocks = max(1, -(-len(rows) // block))
-        n = np.array([len(x) for x in rows], dtype=np.int64)
-        term = np.fromiter((t for x in rows for t in x), dtype=np.int64, count=n.sum())
-        weight = np.fromiter((w for x in rows for w in x.values()), dtype=float, count=n.sum())
+        n = np.array([len(t) for t, _ in rows], dtype=np.int64)
+        term = np.concatenate([np.zeros(0, dtype=np.int64), *(t for t, _ in rows)])
+        weight = np.concatenate([np.zeros(0), *(w for _, w in rows)])
         row = np.repeat(np.arange(len(rows)), n)
         often = np.argsort(-np.bincount(term, minlength=n_terms), kind="stable")[:dense]
         self.place = np.full(n_terms, -1, dtype=np.int32)
@@ -120,7 +112,7 @@ class BlockMaxIndex:
         part, query, weight = part[reach], query[reach], weight[reach]
         size = self.at[part + 1] - self.at[part]
         at = _spread(self.at[part], size)
-        dots += np.bincount(np.repeat(query, size) * self.size + self.row[at], self.weight[at] * np.repeat(weight, size), minlength=dots.size).reshape(dots.shape)
+        dots += np.bincount(np.repeat(query * self.size, size) + self.row[at], self.weight[at] * np.repeat(weight, size), minlength=dots.size).reshape(dots.shape)
         least = np.maximum(self._kth(dots, k), 1e-12)
         out = []
         for x, low in zip(dots, least, strict=True):
@@ -133,11 +125,6 @@ class BlockMaxIndex:
     def _kth(self, dots: np.ndarray, k: int) -> np.ndarray:
         return np.partition(dots, -k, axis=1)[:, -k] if self.size >= k else np.zeros(len(dots))
 
-    def nearest(self, query: dict[int, float], k: int, leave: int = -1) -> list[tuple[float, int]]:
-        """nearest_all of one query; without `leave` no row is passed over."""
-        q = (np.fromiter(query, dtype=np.int64, count=len(query)), np.fromiter(query.values(), dtype=float, count=len(query)))
-        return self.nearest_all([q], k, np.array([leave]) if leave >= 0 else None)[0]
-
 
 @dataclass
 class View:
@@ -150,7 +137,7 @@ class View:
     @staticmethod
     def of(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, first: int, last: int) -> View:
         view = View(idf[first:last], first, None)
-        return View(view.idf, first, BlockMaxIndex([dict(zip(t.tolist(), w.tolist(), strict=True)) for t, w in map(view.scaled, rows)], last - first))
+        return View(view.idf, first, BlockMaxIndex([view.scaled(r) for r in rows], last - first))
 
     def scaled(self, row: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         t, n = row
@@ -179,7 +166,7 @@ class ToxicityModel:
             mass[y] += s * self.class_weight[y]
         return mass[1] / (mass[0] + mass[1]) if near else 0.0
 
-    def votes(self, rows: list[tuple[np.ndarray, np.ndarray]], leave: np.ndarray | None = None, batch: int = 64) -> Iterable[tuple[list[tuple[float, int]], float, bool]]:
+    def votes(self, rows: list[tuple[np.ndarray, np.ndarray]], leave: np.ndarray | None = None, batch: int = 32) -> Iterable[tuple[list[tuple[float, int]], float, bool]]:
         """Of rows (terms, counts): the neighbours by words, the mean vote, and whether telling terms took part."""
         for i in range(0, len(rows), batch):
             out = None if leave is None else leave[i : i + batch]
@@ -211,7 +198,7 @@ def _chosen(texts: list[tuple[int, str | None]], most: int, least_g: float, leas
         return []
     has = (Counter(), Counter())
     for y, x in texts:
-        has[y].update(telling_terms(x).keys())
+        has[y].update(telling_terms(terms(x)))
 
     def g(a: int, b: int) -> float:
         p = (a + b) / (n1 + n0)
@@ -225,8 +212,13 @@ def _chosen(texts: list[tuple[int, str | None]], most: int, least_g: float, leas
 
 def _known(text: str | None, words: dict[str, int], telling: dict[str, int], heads: set[str]) -> dict[int, int]:
     """Counts of a text's words and telling terms by number."""
-    out = {words[w]: n for w, n in terms(text).items() if w in words}
-    out.update((telling[w], n) for w, n in telling_terms(text, heads).items() if w in telling)
+    counts = terms(text)
+    out = {i: n for w, n in counts.items() if (i := words.get(w)) is not None}
+    for w, n in counts.items():
+        if w[:4] in heads and w.isalpha():
+            for t in beginnings(w):
+                if (i := telling.get(t)) is not None:
+                    out[i] = out.get(i, 0) + n
     return out
 
 
@@ -274,7 +266,7 @@ def score_toxicity(
     least_g: float = 28.0,
     least_lift: float = 4.0,
 ) -> DataFrame:
-    """One row per document: id, held_out, score, predicted, evidence (neighbours' id, similarity, label).
+    """One row per document: id, held_out, score, predicted, evidence (the k neighbours' id, similarity, label).
 
     Labels are learned only from documents outside the held-out fold of crc32(id), and from at most `examples` of each
     class, the first in hash order; that bound is all that is sampled. Neighbours are by all words; `most_terms`,
@@ -297,14 +289,18 @@ def score_toxicity(
     vectors = stored(_vectors(d, spark.sparkContext.broadcast(known_to)), "toxicity-vectors")
     n, df = _frequencies(vectors, len(words) + len(telling))
     idf = np.log((1 + n) / (1 + df)) + 1
-    found = [(i, y, _known(x, *known_to)) for i, y, x in rows]
+    found = []
+    for i, y, x in rows:
+        c = _known(x, *known_to)
+        found.append((i, y, np.fromiter(c, dtype=np.int64, count=len(c)), np.fromiter(c.values(), dtype=np.int64, count=len(c))))
+    del rows
     # examples alike lie side by side, so that blocks have low bounds
-    found.sort(key=lambda r: (max(r[2], key=lambda t: (df[t], t), default=-1), r[1], r[0]))
-    got = Counter(y for _, y, _ in found)
+    found.sort(key=lambda r: (int(r[2][np.lexsort((r[2], df[r[2]]))[-1]]) if len(r[2]) else -1, r[1], r[0]))
+    got = Counter(y for _, y, *_ in found)
     weight = tuple(counts.get(c, 0) / max(1, got[c]) for c in (0, 1))
-    vecs = [(np.fromiter(c, dtype=np.int64, count=len(c)), np.fromiter(c.values(), dtype=np.int64, count=len(c))) for _, _, c in found]
+    vecs = [(t, n) for _, _, t, n in found]
     views = (View.of(vecs, idf, 0, len(words)), View.of(vecs, idf, len(words), len(idf)))
-    model = ToxicityModel(*views, [i for i, _, _ in found], np.array([y for _, y, _ in found]), weight, k, {}, share)
+    model = ToxicityModel(*views, [r[0] for r in found], np.array([r[1] for r in found]), weight, k, {}, share)
     _calibrate(model, vecs)
     held = spark.sparkContext.broadcast(model)
 
@@ -312,7 +308,7 @@ def score_toxicity(
         m = held.value
         for b in batches:
             out = list(m.votes(list(zip(_lists(b.column(1)), _lists(b.column(2)), strict=True))))
-            near = [[{"id": m.ids[r], "similarity": s, "label": int(m.toxic[r])} for s, r in x[:5]] for x, _, _ in out]
+            near = [[{"id": m.ids[r], "similarity": s, "label": int(m.toxic[r])} for s, r in x] for x, _, _ in out]
             kind = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m.score(*x) for x in out], pa.float64()), pa.array(near, kind)], names=["id", "score", "evidence"])
 
