@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hmm, language, media, mixing, ngram_join, packing, quality, toxicity, warc
+from . import byte_bpe, exact_dedup, hmm, language, media, mixing, ngram_join, packing, quality, toxicity, warc
 from .common import scratch
 
 
@@ -62,9 +63,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe.code_documents(_table(spark, sf_dir, "documents"), ranks, keep=False).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_mix_sources, op3_best_fit_packing, op4_media_columns, op5_toxicity, op6_ngram_join, op7_warc, op8_language_id, op9_hmm_score, op10_quality)
+    for f in (op1_exact_dedup, op2_mix_sources, op3_best_fit_packing, op4_media_columns, op5_toxicity, op6_ngram_join, op7_warc, op8_language_id, op9_hmm_score, op10_quality, op13_byte_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
