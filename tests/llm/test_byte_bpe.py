@@ -110,3 +110,18 @@ def test_query(spark, public):
         ids = public.encode_ordinary(text[r["doc_id"]])
         want = (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(text[r["doc_id"]].encode()).hexdigest())
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == want
+
+
+def test_portions_of_every_size(public):
+    """Tables of a few rows and of many against each other: no plan that DuckDB then chooses may fail."""
+    texts = [r for r in _texts() if r]
+    coder, rng = byte_bpe.Coder(RANKS), random.Random(5)
+    for _ in range(60):
+        some = [t[: rng.choice([1, 5, 50, 10**6])] for t in rng.sample(texts, rng.choice([1, 2, 3, 5, 10, 30]))]
+        assert [i.tolist() for i, _ in coder.code(some)] == [public.encode_ordinary(t) for t in some]
+
+
+def _texts():
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{DIR}/documents.parquet", columns=["text"])["text"].to_pylist()

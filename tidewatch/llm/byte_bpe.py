@@ -81,7 +81,7 @@ SELECT f.h AS w, list(s.tok ORDER BY s.pos) AS ids FROM step s JOIN fresh f ON f
 DECODE = """
 SELECT d, list(tok) AS ids, unhex(string_agg(hex, '')) AS body
 FROM (SELECT t.d, t.tok, v.hex
-      FROM (SELECT d, unnest(k.ids) AS tok, p * 4294967296 + generate_subscripts(k.ids, 1) AS o FROM pieces JOIN known k USING (w)) t JOIN vocab v ON v.tok = t.tok
+      FROM (SELECT d, unnest(k.ids) AS tok, p * 4294967296 + generate_subscripts(k.ids, 1) AS o FROM known k JOIN pieces USING (w)) t JOIN vocab v ON v.tok = t.tok
       ORDER BY t.o)
 GROUP BY d
 """
@@ -165,20 +165,25 @@ class Coder:
     """A DuckDB session with the ranks, and the pieces that it has encoded."""
 
     def __init__(self, ranks: dict[bytes, int], most_known: int = 1_000_000):
-        import duckdb
-
-        self.ranks, self.most_known, self.n_known = ranks, most_known, 0
+        self.ranks, self.most_known = ranks, most_known
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         split = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        pairs = pa.table(dict(zip(("a", "b", "rank"), (pa.array(c, pa.int32()) for c in zip(*split, strict=True)), strict=True)))
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
-        self.con.register("given", pairs)
-        self.con.execute("CREATE TABLE merges AS FROM given")
+        self.pairs = pa.table(dict(zip(("a", "b", "rank"), (pa.array(c, pa.int32()) for c in zip(*split, strict=True)), strict=True)))
+        self.vocab = pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
+        self.open()
+
+    def open(self) -> None:
+        """A new session that knows no piece. Plans stay as written, the right side of a join hashed: they are no slower,
+        and some that DuckDB 2.0's optimiser makes fail (an internal check of dictionary columns in joins)."""
+        import duckdb
+
+        self.con, self.n_known = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""}), 0
+        self.con.execute("PRAGMA disable_optimizer")
+        self.con.register("pairs", self.pairs)
+        self.con.register("texts", self.vocab)
+        self.con.execute("CREATE TABLE merges AS FROM pairs")
         self.con.execute("CREATE TABLE early AS FROM merges WHERE rank < greatest(a, b)")
-        self.con.unregister("given")
-        self.con.register("given", pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
-        self.con.execute("CREATE TABLE vocab AS FROM given")
-        self.con.unregister("given")
+        self.con.execute("CREATE TABLE vocab AS FROM texts")
         self.con.execute("CREATE TABLE known (w BIGINT, ids INTEGER[])")
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
@@ -208,13 +213,23 @@ class Coder:
 
     def code(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
         """(ids, decoded bytes) of each text; none is empty."""
-        out = self._code(texts)
+        out = self._tried(texts)
         for i, t in enumerate(texts):
             if out[i][1] != t.encode():  # two pieces of one hash: encode that text with no other piece known
                 self.forget()
-                out[i] = self._code([t])[0]
+                out[i] = self._tried([t])[0]
         return out
 
+    def _tried(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
+        """An internal failure ends DuckDB's session; a new one, which knows nothing, tries once more."""
+        import duckdb
+
+        try:
+            return self._code(texts)
+        except (duckdb.InternalException, duckdb.FatalException):
+            self.open()
+            return self._code(texts)
+
     def forget(self) -> None:
         self.con.execute("DELETE FROM known")
         self.n_known = 0
@@ -230,8 +245,8 @@ class Coder:
         distinct, where = np.unique(hashes, return_index=True)
         if self.n_known + len(distinct) > self.most_known:
             self.forget()
-        self.con.register("asked", pa.table({"w": distinct, "at": where}))
-        new = self.con.sql("SELECT a.w, a.at AS n FROM asked a ANTI JOIN known k ON a.w = k.w").to_arrow_table()
+        self.con.register("asked", pa.table({"w": distinct, "n": where}))
+        new = self.con.sql("SELECT a.w, a.n FROM asked a ANTI JOIN (SELECT k.w FROM known k JOIN asked b ON k.w = b.w) h ON a.w = h.w").to_arrow_table()
         self.con.unregister("asked")
         self.learn(new["w"].to_numpy(), [data[at[i] : at[i + 1]].tobytes() for i in new["n"].to_numpy()])
         of = (np.searchsorted(first, begin, "right") - 1).astype(np.int32)
