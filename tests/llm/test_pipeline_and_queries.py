@@ -27,7 +27,7 @@ def _cell(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from '{DIR}/{t}.parquet'")
     cur = con.execute(queries.ORACLE_SQL[name])
     columns = sorted(c[0] for c in cur.description)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, hmm, language, media, mixing, ngram_join, packing, quality, toxicity, warc
+from . import byte_bpe, conversations, exact_dedup, hmm, language, lexical, media, mixing, ngram_join, packing, quality, toxicity, warc
 from .common import scratch
 
 
@@ -63,6 +63,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return byte_bpe.code_documents(_table(spark, sf_dir, "documents"), ranks, keep=False).withColumnRenamed("id", "doc_id")
@@ -70,7 +79,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_mix_sources, op3_best_fit_packing, op4_media_columns, op5_toxicity, op6_ngram_join, op7_warc, op8_language_id, op9_hmm_score, op10_quality, op13_byte_bpe)
+    for f in (op1_exact_dedup, op2_mix_sources, op3_best_fit_packing, op4_media_columns, op5_toxicity, op6_ngram_join, op7_warc, op8_language_id, op9_hmm_score, op10_quality, op11_conversations, op12_ranked_search, op13_byte_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -125,4 +134,68 @@ ORACLE_SQL: dict[str, str] = {
         reach(node, other) AS (SELECT u, v FROM ways UNION SELECT r.node, b.v FROM reach r JOIN ways b ON r.other = b.u)
         SELECT g.doc_id, CAST(len(g.grams) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce(min(r.other), g.doc_id)) AS component_id
         FROM g LEFT JOIN reach r ON r.node = g.doc_id GROUP BY g.doc_id, g.grams""",
+    "op11_conversations": r"""
+        WITH RECURSIVE src AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+        -- crc32: a byte (marked by 256) is taken in, eight zeros shift it out
+        crc AS (SELECT *, xor(list_reduce(
+                    list_prepend(CAST(4294967295 AS BIGINT), flatten([[CAST(256 + ord(k[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, len(k) + 1)])),
+                    lambda c, e: CASE WHEN e >= 256 THEN xor(c, e - 256) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 20 AS kind FROM src),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc),
+        n AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS t, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+        f AS (
+            SELECT *, left(role, 1) AS initial,
+                   CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY t) > 1 THEN 'duplicate'
+                        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                   left(lag(role) OVER (PARTITION BY conv_id ORDER BY t), 1) || left(role, 1) AS pair
+            FROM n),
+        figures AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(t) AS n FROM f GROUP BY conv_id),
+        ins(here, after, inserts, spent, added) AS (VALUES
+            ('0', '0', '', 0, []), ('0', 'u', 'I', 2, ['user:']), ('0', 'a', 'II', 4, ['user:', 'assistant:']), ('s', 's', '', 0, []), ('s', 'u', 'I', 2, ['user:']), ('s', 'a', 'II', 4, ['user:', 'assistant:']),
+            ('u', 'u', '', 0, []), ('u', 'a', 'I', 2, ['assistant:']), ('u', 'u', 'II', 4, ['assistant:', 'user:']), ('a', 'a', '', 0, []), ('a', 'u', 'I', 2, ['user:']), ('a', 'a', 'II', 4, ['user:', 'assistant:'])),
+        act(here, after, edit, initial, spent, role) AS (VALUES
+            ('0', 's', 'K', 's', 0, NULL), ('0', 'u', 'K', 'u', 0, NULL), ('s', 'u', 'K', 'u', 0, NULL), ('u', 'a', 'K', 'a', 0, NULL), ('a', 'u', 'K', 'u', 0, NULL),
+            ('0', 'u', 'R', NULL, 2, 'user'), ('s', 'u', 'R', NULL, 2, 'user'), ('u', 'a', 'R', NULL, 2, 'assistant'), ('a', 'u', 'R', NULL, 2, 'user'),
+            ('0', '0', 'D', NULL, 3, NULL), ('s', 's', 'D', NULL, 3, NULL), ('u', 'u', 'D', NULL, 3, NULL), ('a', 'a', 'D', NULL, 3, NULL)),
+        ways(conv_id, t, here, cost, audit, lines) AS (
+            SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '0', 0, '', CAST([] AS VARCHAR[]) FROM conversations
+            UNION ALL
+            SELECT conv_id, t, here, cost, audit, lines FROM (
+                SELECT w.conv_id, f.t, act.after AS here, w.cost + ins.spent + act.spent + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 1 ELSE 0 END AS cost, w.audit || inserts || edit AS audit,
+                       w.lines || added || CASE edit WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text] ELSE [act.role || ':' || f.text] END AS lines,
+                       row_number() OVER (PARTITION BY w.conv_id, act.after ORDER BY w.cost + ins.spent + act.spent + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 1 ELSE 0 END, w.audit || inserts || edit) AS nth
+                FROM ways w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.t = w.t + 1 JOIN ins ON ins.here = w.here JOIN act ON act.here = ins.after
+                WHERE edit = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (edit = 'R' OR act.initial = f.initial)))
+            WHERE nth = 1),
+        ends AS (
+            SELECT w.conv_id, w.cost + ins.spent AS cost, w.audit || inserts AS audit, w.lines || added AS lines,
+                   row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + ins.spent, w.audit || inserts) AS nth
+            FROM ways w JOIN ins ON ins.here = w.here AND (ins.after = 'a' OR (ins.after = '0' AND inserts = '')) LEFT JOIN figures g ON g.conv_id IS NOT DISTINCT FROM w.conv_id
+            WHERE w.t = coalesce(g.n, 0))
+        SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(cost AS BIGINT) AS cost, audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+        FROM ends e LEFT JOIN figures g ON g.conv_id IS NOT DISTINCT FROM e.conv_id WHERE nth = 1""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        b AS (
+            SELECT item_id, row_number() OVER () AS i, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+        p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+        q AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(terms) AS term FROM b) GROUP BY i, term),
+        w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM p, s GROUP BY term),
+        m AS (SELECT r, doc_id, 75 + ((25 * len(terms) * n_docs) // n_terms) AS m FROM d, s WHERE len(terms) > 0),
+        scored AS (
+            SELECT i, r, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY i, r),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+                   FROM scored JOIN m USING (r) JOIN b USING (i) WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 20""",
 }
