@@ -36,26 +36,70 @@ def test_component_sizes_replay_union_find(spark):
     u, want = Union(), {}
     for i, (_, s, r, _) in enumerate(rows, 1):
         want[i] = u.join(s, r)
-    got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows), 5).collect()}
+    got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows)).collect()}
     assert got == want
 
 
-def test_component_buckets_have_a_row_bound(spark, monkeypatch):
-    rng = random.Random(6)
-    rows = [(h, f"A{rng.randrange(9)}", f"A{rng.randrange(9)}", 1) for h in range(30)]
-    u, want, sizes, keep = Union(), {}, [], graph.stored
+def _sizes(rows):
+    u = Union()
+    return {i: u.join(s, r) for i, (_, s, r, _) in enumerate(rows, 1)}
 
-    def counted(df, name, *a, **b):
-        out = keep(df, name, *a, **b)
-        if name == "graph-bucket":
-            sizes.append(out.count())
-        return out
 
-    monkeypatch.setattr(graph, "stored", counted)
-    for i, (_, s, r, _) in enumerate(rows, 1):
-        want[i] = u.join(s, r)
-    got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows), 1, max_rows=10).collect()}
-    assert got == want and sum(sizes) == 30 and max(sizes) <= 10
+def test_component_sizes_of_chains_stars_and_odd_rows(spark):
+    """Long chains in bad orders, a hub, pairs that merge late, transfers to oneself, and accounts without a name."""
+    rng = random.Random(6)
+    chain = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)]
+    star = [("hub", f"s{i}") for i in range(40)]
+    pairs = [(f"p{i}", f"q{i}") for i in range(20)] + [(f"q{i}", f"p{i + 1}") for i in range(19)]
+    links = chain[::-1] + star + pairs + [("x", "x"), ("x", "y"), ("y", "y"), ("s3", "c001"), ("s3", "c001"), ("q3", "hub")]
+    for order in (links, rng.sample(links, len(links))):
+        rows = [(h, s, r, 1) for h, (s, r) in enumerate(order)]
+        got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows)).collect()}
+        assert got == _sizes(rows)
+    assert graph.component_sizes(tx(spark, [(0, None, "a", 1), (1, "a", None, 1)])).count() == 0
+    assert graph.component_sizes(tx(spark, [])).count() == 0
+
+
+def test_one_giant_component_is_no_task_s(spark, monkeypatch):
+    """All accounts end in one component: rounds are few, and the ranges that its rows are counted in are many."""
+    rng = random.Random(9)
+    rows = [(h, f"A{rng.randrange(400)}", f"A{rng.randrange(400)}", 1) for h in range(3000)]
+    names, keep = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: names.append(name) or keep(df, name))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        ranges = []
+        sums = graph.prefix_sums
+        monkeypatch.setattr(graph, "prefix_sums", lambda df, by, order, values: ranges.append(df.repartitionByRange(*by, order).groupBy(F.spark_partition_id()).count().collect()) or sums(df, by, order, values))
+        got = {r["transaction_id"]: r["graph_component_size"] for r in graph.component_sizes(tx(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == _sizes(rows) and max(got.values()) > 380
+    assert names.count("forest-best") <= 9  # 2 ** 9 > 400
+    counts = [r["count"] for r in ranges[0]]
+    assert max(counts) < 0.25 * sum(counts)
+
+
+def test_merge_levels_give_the_heaviest_link(spark):
+    """The least weight by which two accounts are connected is that at their first common node."""
+    rng = random.Random(2)
+    pairs = sorted({tuple(sorted(rng.sample(range(25), 2))) for _ in range(40)})
+    weights = rng.sample(range(1000), len(pairs))
+    edges = [(f"n{a}", f"n{b}", w) for (a, b), w in zip(pairs, weights)]
+    levels = {r["account"]: {(x["level"], x["node"]): x["o"] for x in r["levels"]} for r in graph.merge_levels(spark.createDataFrame(edges, "a string, b string, o long")).collect()}
+    for x in levels:
+        for y in levels:
+            if x < y:
+                common = [max(levels[x][k], levels[y][k]) for k in levels[x].keys() & levels[y].keys()]
+                u, want = Union(), None
+                for a, b, w in sorted(edges, key=lambda e: e[2]):
+                    u.join(a, b)
+                    if u.find(x) == u.find(y):
+                        want = w
+                        break
+                assert (min(common) if common else None) == want
 
 
 def _reaches(edges, a, b, steps):
@@ -81,16 +125,16 @@ def test_cycle_flags_match_search(spark):
 def test_cycle_fixture(spark):
     d = tx(spark, [(0, "A", "B", 10), (1, "B", "C", 20), (2, "C", "D", 30), (3, "D", "A", 40)])
     a = rules.alerts(rules.run_rules(d, ["R2_NOVELTY"]))
-    g = {r["transaction_id"]: r for r in graph.graph_features(d, a, buckets=2).collect()}
+    g = {r["transaction_id"]: r for r in graph.graph_features(d, a).collect()}
     assert g[4]["graph_cycle_involvement"] == 1 and g[4]["graph_component_size"] == 4 and g[4]["graph_sender_out_degree"] == 0 and g[4]["graph_receiver_in_degree"] == 0
     c = graph.cycle_candidates(d, max_length=5, max_hours=8, min_similarity=0.2).collect()
     assert [(r["transaction_id"], r["cycle_path"], r["path_length"]) for r in c] == [(4, "D->A->B->C->D", 5)]
     assert c[0]["amount_similarity_ratio"] == 0.25 and c[0]["total_cycle_amount"] == 100 and c[0]["duration_hours"] == 3 and c[0]["cycle_retention_ratio"] == pytest.approx(40 / 60)
     far = tx(spark, [(0, "A", "B", 10), (48, "B", "C", 20), (96, "C", "D", 30), (144, "D", "A", 40)])
     assert graph.cycle_candidates(far, max_length=5, min_similarity=0.2).count() == 0
-    hits = graph.graph_rules(d, graph.graph_features(d, a, buckets=2))
+    hits = graph.graph_rules(d, graph.graph_features(d, a))
     assert '"graph_cycle_involvement":1' in hits.where("rule_id = 'GR2_CYCLE_CANDIDATE'").first()["trigger_values_json"]
-    ext = graph.with_graph_features(features.alert_features(d, a, rules.run_rules(d, ["R2_NOVELTY"])), graph.graph_features(d, a, buckets=2, suffix="_v2"))
+    ext = graph.with_graph_features(features.alert_features(d, a, rules.run_rules(d, ["R2_NOVELTY"])), graph.graph_features(d, a, suffix="_v2"))
     assert "feature_graph_component_size_v2" in ext.columns and ext.count() == 4
 
 

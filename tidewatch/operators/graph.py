@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributed import positions, prefix_sums, quantile_row, ratio
-from ..functions.graphs import connected_components, stored
+from ..functions.graphs import stored
 from ..functions.metrics import average_precision, top_k
 from ..functions.windows import exact, micros, prior_distinct, running
 from .rules import rule_hits
@@ -84,64 +83,71 @@ def cycle_flags(tx: DataFrame, max_length: int = 4) -> DataFrame:
     return tx.select("transaction_id").join(hits, "transaction_id", "left").select("transaction_id", F.coalesce("_hit", F.lit(0)).alias("graph_cycle_involvement"))
 
 
-def component_sizes(tx: DataFrame, buckets: int = 8, max_rows: int = 250_000) -> DataFrame:
-    """(transaction_id, graph_component_size): accounts in the component that the row's edge would form, from prior edges.
+def component_sizes(tx: DataFrame) -> DataFrame:
+    """(transaction_id, graph_component_size): accounts in the component that the row's edge forms with all prior edges.
 
-    Time is cut into buckets of equal rows, at least `buckets` and as many as keep a bucket to `max_rows`. A bucket's edges are contracted by the components known before it; each
-    connected piece of what remains is replayed in order by itself, and the components grow for the next bucket. No task
-    sees more than one piece of one bucket, so none sees more than `max_rows` rows.
+    The network is made once, with an edge's first position as its weight, and asked for every row's time by its merge
+    levels (`merge_levels`): what is connected to an account up to a position is, at the highest level that the account
+    reaches by then, whatever else has reached that node by then. Counting those is a running sum per node, taken in
+    ranges, so rounds and joins grow with the logarithm of the accounts and no task holds a component.
     """
-    n = tx.count()
-    buckets = max(buckets, -(-n // max_rows))
     d = positions(tx.where("sender_account_id is not null and receiver_account_id is not null").withColumn("_us", micros()), "_us", ["transaction_id"])
-    d = stored(d.select("transaction_id", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), "position", F.floor(F.col("position") * buckets / max(1, n)).alias("bucket")), "graph-edges")
-    state = d.sparkSession.createDataFrame([], "account string, label string, size long")
-    out = []
-    for b in range(buckets):
-        rows = d.where(F.col("bucket") == b)
-        for side in ("s", "r"):
-            known = state.select(F.col("account").alias(side), F.col("label").alias(f"l{side}"), F.col("size").alias(f"n{side}"))
-            rows = rows.join(known, side, "left").withColumns({f"l{side}": F.coalesce(f"l{side}", side), f"n{side}": F.coalesce(f"n{side}", F.lit(1)).cast("long")})
-        rows = stored(rows, "graph-bucket")
-        pieces = connected_components(rows.select(F.col("ls").alias("src"), F.col("lr").alias("dst")))
-        placed = rows.join(pieces, F.col("ls") == F.col("node"))
-        out.append(stored(placed.groupBy("component").applyInPandas(_replay, "transaction_id long, graph_component_size long"), "graph-sizes"))
-        ends = rows.select(F.col("ls").alias("label"), F.col("ns").alias("size")).unionByName(rows.select(F.col("lr").alias("label"), F.col("nr").alias("size"))).distinct()
-        grown = ends.join(pieces, F.col("label") == F.col("node")).select("label", "size", "component")
-        sums = grown.groupBy("component").agg(F.sum("size").alias("total"))
-        moved = grown.join(sums, "component").select(F.col("label").alias("old"), F.col("component").alias("new"), "total")
-        fresh = rows.select(F.col("s").alias("account")).unionByName(rows.select(F.col("r").alias("account"))).distinct().join(state, "account", "left_anti")
-        everyone = state.select("account", "label", "size").unionByName(fresh.select("account", F.col("account").alias("label"), F.lit(1).cast("long").alias("size")))
-        state = stored(everyone.join(moved, F.col("label") == F.col("old"), "left").select("account", F.coalesce("new", "label").alias("label"), F.coalesce("total", "size").alias("size")), "graph-state")
-    return reduce(DataFrame.unionByName, out)
-
-
-def _replay(piece: pd.DataFrame) -> pd.DataFrame:
-    """Size of the component that each edge of a piece would form, in order."""
-    up: dict[str, str] = {}
-    size: dict[str, int] = {}
-
-    def root(x: str) -> str:
-        while up.get(x, x) != x:
-            up[x] = up.get(up[x], up[x])
-            x = up[x]
-        return x
-
-    got = []
-    p = piece.sort_values("position")
-    for a, b, na, nb in zip(p["ls"], p["lr"], p["ns"], p["nr"], strict=True):
-        size.setdefault(a, int(na))
-        size.setdefault(b, int(nb))
-        x, y = root(a), root(b)
-        if x != y:
-            x, y = (x, y) if size[x] >= size[y] else (y, x)
-            up[y] = x
-            size[x] += size[y]
-        got.append(size[x])
-    return pd.DataFrame({"transaction_id": p["transaction_id"].to_numpy(), "graph_component_size": got})
-
-
-def graph_features(tx: DataFrame, alerts: DataFrame, max_cycle_length: int = 4, buckets: int = 8, max_alert_rows: int | None = None, max_transactions: int | None = None, suffix: str = "") -> DataFrame:
+    d = stored(d.select("transaction_id", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), "position"), "graph-edges")
+    edges = d.where("s <> r").groupBy(F.least("s", "r").alias("a"), F.greatest("s", "r").alias("b")).agg(F.min("position").alias("o"))
+    levels = stored(merge_levels(edges), "graph-levels")
+    asked = d.join(levels, F.col("s") == F.col("account"), "left").withColumn("top", F.try_element_at(F.filter("levels", lambda x: x["o"] <= F.col("position")), F.lit(-1)))
+    asked = asked.select("transaction_id", "position", F.col("top.level").alias("level"), F.col("top.node").alias("node"))
+    came = levels.select(F.explode("levels").alias("x")).groupBy("x.level", "x.node", "x.o").agg(F.count(F.lit(1)).alias("n"))
+    came = came.select("level", "node", (F.col("o") * 2).alias("at"), "n", F.lit(None).cast("long").alias("transaction_id"))
+    asks = asked.where("node is not null").select("level", "node", (F.col("position") * 2 + 1).alias("at"), F.lit(0).cast("long").alias("n"), "transaction_id")
+    sizes = prefix_sums(came.unionByName(asks), ["level", "node"], "at", ["n"]).where("transaction_id is not null").select("transaction_id", F.col("n_before").cast("long").alias("graph_component_size"))
+    alone = asked.where("node is null").select("transaction_id", F.lit(1).cast("long").alias("graph_component_size"))
+    return sizes.unionByName(alone)
+
+
+def merge_levels(edges: DataFrame) -> DataFrame:
+    """(account, levels) of undirected edges (a, b, o) with distinct weights o: the nodes that an account belongs to, from
+    the lowest, each with the greatest weight on the account's way up to it.
+
+    Rounds of Boruvka's spanning forest: every node takes its lightest edge out, and the nodes so joined are one node of
+    the next level. Each round at least halves the nodes that still have edges. Two accounts are connected by edges up to
+    a weight if and only if they have both reached a common node by then.
+    """
+    e = stored(edges.where("a <> b").select("a", "b", "o"), "forest-edges")
+    accounts = e.select(F.col("a").alias("account")).unionByName(e.select(F.col("b").alias("account"))).distinct()
+    at = accounts.select("account", F.col("account").alias("node"), F.lit(-1).cast("long").alias("o"), F.array().cast("array<struct<level:int,node:string,o:bigint>>").alias("levels"))
+    level = 0
+    while not e.isEmpty():
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "o"))
+        best = stored(both.groupBy("a").agg(F.min(F.struct("o", "b")).alias("x")).select("a", "x.b", "x.o"), "forest-best")
+        up = stored(_roots(best), "forest-up")
+        step = up.select(F.col("a").alias("node"), F.col("root"), F.col("o").alias("step"))
+        moved = at.join(step, "node", "left").withColumn("o", F.when(F.col("root").isNotNull(), F.greatest("o", "step")).otherwise(F.col("o")))
+        reached = F.struct(F.lit(level).alias("level"), F.col("root").alias("node"), F.col("o").alias("o"))
+        moved = moved.withColumn("levels", F.when(F.col("root").isNotNull(), F.array_append("levels", reached)).otherwise(F.col("levels")))
+        at = stored(moved.select("account", F.coalesce("root", "node").alias("node"), "o", "levels"), "forest-levels")
+        for side in ("a", "b"):
+            e = e.join(up.select(F.col("a").alias(side), F.col("root").alias(f"r{side}")), side)
+        e = e.where("ra <> rb").groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("o").alias("o"))
+        e, level = stored(e, "forest-edges"), level + 1
+    return at.select("account", "levels")
+
+
+def _roots(best: DataFrame) -> DataFrame:
+    """(a, root, o): where each node's chain of lightest edges ends. The two ends of one edge that is the lightest of both
+    end a chain, which the smaller name then stands for; ways are halved until all are at their end."""
+    back = best.select(F.col("a").alias("b"), F.col("b").alias("of"))
+    mine = (F.col("of") == F.col("a")) & (F.col("a") < F.col("b"))
+    up = stored(best.join(back, "b", "left").select("a", F.when(mine, F.col("a")).otherwise(F.col("b")).alias("root"), "o"), "forest-roots")
+    while True:
+        far = up.select(F.col("a").alias("root"), F.col("root").alias("far"))
+        up = stored(up.join(far, "root").select("a", F.col("far").alias("root"), "o", (F.col("far") != F.col("root")).alias("moved")), "forest-roots")
+        if up.where("moved").isEmpty():
+            return up.select("a", "root", "o")
+        up = up.select("a", "root", "o")
+
+
+def graph_features(tx: DataFrame, alerts: DataFrame, max_cycle_length: int = 4, max_alert_rows: int | None = None, max_transactions: int | None = None, suffix: str = "") -> DataFrame:
     """(transaction_id, sender_account_id, receiver_account_id, graph_*...) of alerted transactions, from all of them.
 
     Optional limits keep the earliest alerts or transactions only; `suffix` is put on the graph columns."""
@@ -151,7 +157,7 @@ def graph_features(tx: DataFrame, alerts: DataFrame, max_cycle_length: int = 4,
     if max_alert_rows is not None:
         chosen = chosen.orderBy("alert_timestamp", "transaction_id").limit(max_alert_rows)
     d = graph_centrality(graph_weighted_degrees(graph_degrees(tx))).join(chosen.select("transaction_id").distinct(), "transaction_id", "left_semi")
-    d = d.join(component_sizes(tx, buckets), "transaction_id", "left").join(cycle_flags(tx, max_cycle_length), "transaction_id", "left")
+    d = d.join(component_sizes(tx), "transaction_id", "left").join(cycle_flags(tx, max_cycle_length), "transaction_id", "left")
     return d.select("transaction_id", "sender_account_id", "receiver_account_id", *(F.coalesce(c, F.lit(0)).alias(c + suffix) for c in GRAPH_COLUMNS))
 
 
