@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,18 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return out
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """While it lasts, tasks get n rows at a time from Spark: for rows much larger than a text. What runs must end in it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(*tables: DataFrame) -> None:
     """Deletes stored tables once all that was made of them is stored itself."""
     for t in tables:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import release, stored
+from .common import arrow_rows, release, stored
 from .wordhash import slices, spans
 
 _TERM = np.zeros(256, dtype=bool)
@@ -151,7 +151,8 @@ def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if rows:
             yield _batch(rows, _INDEX)
 
-    return Index(stored(dealt.mapInArrow(blocks, _INDEX), "lexical-index"), docs, terms)
+    with arrow_rows(documents.sparkSession, 256):
+        return Index(stored(dealt.mapInArrow(blocks, _INDEX), "lexical-index"), docs, terms)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -345,19 +346,18 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     A document without an id comes after others of its score.
     """
     spark = items.sparkSession
-    out = None
+    found = []
     for queries in _chunks(items, id_col, text_col, most_terms):
-        _weigh(index, queries)
-        first = index.blocks.where(F.col("block").isin(_promising(index, queries)))
-        scores: list[list[int]] = [[] for _ in queries.ids]
-        for r in _ranked(_visited(first, queries, k), k).where(F.col("rank") == k).collect():
-            scores[r["query"]] = [r["score"]]
-        queries.floor = np.array([s[0] if s else 0 for s in scores], dtype=np.int64)
-        names = spark.createDataFrame(list(enumerate(queries.ids)), "q long, item long")
-        best = _ranked(_visited(index.blocks, queries, k), k)
-        part = best.join(F.broadcast(names), F.col("query") == F.col("q")).select("item", F.col("rank").cast("int").alias("rank"), F.when(F.col("doc") != int(_NULL), F.col("doc")).alias("doc"), "score")
-        out = part if out is None else stored(out, "lexical-found").unionByName(part)
-    return spark.createDataFrame([], "item long, rank int, doc long, score long") if out is None else out
+        with arrow_rows(spark, 16):
+            _weigh(index, queries)
+            first = index.blocks.where(F.col("block").isin(_promising(index, queries)))
+            floor = dict(_ranked(_visited(first, queries, k), k).where(F.col("rank") == k).select("query", "score").collect())
+            queries.floor = np.array([floor.get(i, 0) for i in range(len(queries.ids))], dtype=np.int64)
+            names = spark.createDataFrame(list(enumerate(queries.ids)), "q long, item long")
+            best = _ranked(_visited(index.blocks, queries, k), k).join(F.broadcast(names), F.col("query") == F.col("q"))
+            doc = F.when(F.col("doc") != int(_NULL), F.col("doc")).alias("doc")
+            found.append(stored(best.select("item", F.col("rank").cast("int").alias("rank"), doc, "score"), "lexical-found").stored_at)
+    return spark.read.schema("item long, rank int, doc long, score long").parquet(*found) if found else spark.createDataFrame([], "item long, rank int, doc long, score long")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -372,6 +372,6 @@ def ranked_search(documents: DataFrame, items: DataFrame, id_col: str = "doc_id"
     texts may have any length; empty tables give no rows; other columns are ignored.
     """
     index = build_index(documents, id_col, text_col)
-    found = stored(search(index, items, k=k), "lexical-result")
+    found = search(index, items, k=k)
     release(index.blocks)
     return found
