@@ -152,7 +152,7 @@ def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield _batch(rows, _INDEX)
 
     with arrow_rows(documents.sparkSession, 256):
-        return Index(stored(dealt.mapInArrow(blocks, _INDEX), "lexical-index"), docs, terms)
+        return Index(stored(dealt.mapInArrow(blocks, _INDEX), "lexical-index", **{"parquet.block.size": str(8 << 20)}), docs, terms)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -188,6 +188,15 @@ class Queries:
         return np.add.reduceat(best[self.of] * self.times, self.first[:-1])
 
 
+def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of items of about `most` in all, from running sums of their sizes."""
+    lo = 0
+    while lo < len(upto):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def _best(scores: np.ndarray, docs: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores; of equal ones those of the smallest ids."""
     if len(scores) > k:
@@ -221,9 +230,11 @@ class _Visit:
         has, at = q.found(terms)
         where[has] = at
         slot = np.full(len(q.ids), -1, dtype=np.int64)
-        width = max(1, (1 << 22) // len(docs))
-        for lo in range(0, len(asks), width):
-            some = asks[lo : lo + width]
+        # so many queries at a time that their postings, and a score for each of the documents, are a bounded number
+        met = np.where(where[q.of] >= 0, df[np.maximum(where[q.of], 0)], 0)
+        work = np.cumsum(np.add.reduceat(met, q.first[:-1])[asks] + len(docs))
+        for lo, hi in _runs(work, 1 << 19):
+            some = asks[lo:hi]
             slot[:] = -1
             slot[some] = np.arange(len(some))
             pair = np.flatnonzero((slot[q.query] >= 0) & (where[q.of] >= 0))
