@@ -57,7 +57,7 @@ def corpus():
 @pytest.mark.parametrize("most_postings", [1, 200, 1 << 16])
 def test_against_all_scores(spark, corpus, most_postings):
     rows, items = corpus
-    index = lexical.build_index(docs(spark, rows), most_postings=most_postings)
+    index = lexical.build_index(docs(spark, rows), most_postings=most_postings, in_a_row=7)
     assert (index.docs, index.terms) == (len(rows), sum(len(_terms(t)) for _, t, *_ in rows))
     assert _got(lexical.search(index, _items(spark, items))) == _expected(rows, items)
 

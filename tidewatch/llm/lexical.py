@@ -1,7 +1,7 @@
 """Ranked lexical search over a length-stratified index.
 
 The documents' terms are counted twice: once for the totals that every normaliser m needs, once to be dealt by ranges of
-(m, hash of the id), so that documents of equal m meet in order and a common length spreads over many tasks. A task turns
+(m, row), so that documents of equal m meet in order and a common length spreads over many tasks. A task turns
 each run of documents of one m into blocks (a stratum, cut where it is large): a dictionary of terms with document
 frequency and highest tf, and postings by tf within each term. The blocks are written to the shared folder.
 
@@ -39,6 +39,7 @@ _LOWER[0x41:0x5B] += 32
 BASE, SLOPE, SCALE, TF, LENGTH = 75, 25, 1_000_000_000, 1000, 12
 _NULL = np.iinfo(np.int64).max
 
+_FORWARD = "m long, row long, id long, terms binary, tfs binary"
 _INDEX = "block long, m long, terms binary, df binary, top binary, tf binary, size binary, posts binary, docs binary"
 
 
@@ -93,6 +94,7 @@ def _totals(texts: DataFrame) -> tuple[int, int]:
 
 def _block(block: int, m: int, docs: list, terms: list, tfs: list) -> tuple:
     """Postings by term, by falling tf within the term, by document within the tf."""
+    terms, tfs = [np.concatenate(t) for t in terms], [np.concatenate(t) for t in tfs]
     size = np.array([len(t) for t in terms])
     doc = np.repeat(np.arange(len(docs), dtype=np.uint32), size)
     term, tf = np.concatenate(terms), np.concatenate(tfs)
@@ -108,44 +110,48 @@ def _block(block: int, m: int, docs: list, terms: list, tfs: list) -> tuple:
     return block, m, *(a.tobytes() for a in arrays)
 
 
-def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_postings: int = 1 << 16) -> Index:
+def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_postings: int = 1 << 16, in_a_row: int = 1 << 11) -> Index:
     """Every document with a term is in one block, whose documents have the same m."""
     texts = documents.select(F.col(text_col).alias("text"))
     docs, terms = _totals(texts)
     named = documents.select(F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(_NULL))).alias("id"))
 
     def forward(batches):
+        """A document's terms, so many in a row: long documents are many rows, so ranges are even in bytes."""
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             ids = b.column(1).to_numpy()
             for lo, hi, data, offsets in slices(b.column(0)):
                 hashes, first = term_hashes(data, offsets)
-                n = np.diff(first)
-                has = np.flatnonzero(n)
-                pairs = [(t, c) for t, c in counted(hashes, first) if len(t)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(normaliser(n[has], docs, terms), pa.int64()), pa.array(ids[lo:hi][has]), pa.array([t.tobytes() for t, _ in pairs], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in pairs], pa.binary())],
-                    names=["m", "id", "terms", "tfs"],
-                )
+                m, rows = normaliser(np.diff(first), docs, terms), []
+                for i, (t, c) in enumerate(counted(hashes, first)):
+                    row += 1
+                    rows += [(int(m[i]), row, int(ids[lo + i]), t[at : at + in_a_row].tobytes(), c[at : at + in_a_row].astype(np.uint32).tobytes()) for at in range(0, len(t), in_a_row)]
+                if rows:
+                    yield _batch(rows, _FORWARD)
 
-    dealt = named.mapInArrow(forward, "m long, id long, terms binary, tfs binary").withColumn("h", F.xxhash64("id"))
-    dealt = dealt.repartitionByRange("m", "h").sortWithinPartitions("m", "id").drop("h")
+    # all rows of a document have one key, which no range divides
+    dealt = named.mapInArrow(forward, _FORWARD).repartitionByRange("m", "row").sortWithinPartitions("m", "row")
 
     def blocks(batches):
-        made, m, held, n = TaskContext.get().partitionId() << 32, None, ([], [], []), 0
+        made, m, held, n, before = TaskContext.get().partitionId() << 32, None, ([], [], []), 0, None
         rows = []
         for b in batches:
-            for row_m, id_, terms_, tfs in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if held[0] and (row_m != m or n >= most_postings):
+            for row_m, row, id_, terms_, tfs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if held[0] and row != before and (row_m != m or n >= most_postings):
                     rows.append(_block(made, m, *held))
                     made, held, n = made + 1, ([], [], []), 0
                     if len(rows) >= 16:
                         yield _batch(rows, _INDEX)
                         rows = []
-                m = row_m
-                held[0].append(id_)
-                held[1].append(np.frombuffer(terms_, dtype=np.uint64))
-                held[2].append(np.frombuffer(tfs, dtype=np.uint32).astype(np.int64))
-                n += len(held[1][-1])
+                if row != before:
+                    for h in held:
+                        h.append([])
+                    held[0][-1] = id_
+                m, before = row_m, row
+                held[1][-1].append(np.frombuffer(terms_, dtype=np.uint64))
+                held[2][-1].append(np.frombuffer(tfs, dtype=np.uint32).astype(np.int64))
+                n += len(held[1][-1][-1])
         if held[0]:
             rows.append(_block(made, m, *held))
         if rows:
