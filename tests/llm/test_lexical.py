@@ -86,7 +86,7 @@ def test_bounds_hold_and_spare_blocks(spark, corpus):
     for r in lexical.search(index, _items(spark, items), k=10**6).collect():
         best.setdefault((r["item"], r["doc"]), r["score"])
     for b in blocks:
-        bound = queries.bounds(b["m"], np.frombuffer(b["terms"], np.uint64), np.frombuffer(b["top"], np.int64))
+        bound = queries.bounds(b["m"], np.frombuffer(b["terms"], np.uint64), np.frombuffer(b["top"], np.uint32).astype(np.int64))
         for doc in np.frombuffer(b["docs"], np.int64):
             assert all(best.get((i, int(doc)), 0) <= x for i, x in zip(queries.ids, bound))
     queries.floor = np.full(len(queries.ids), 1 << 60)

@@ -106,12 +106,16 @@ def _block(block: int, m: int, docs: list, terms: list, tfs: list) -> tuple:
     fresh[1:] |= tf[1:] != tf[:-1]
     run = np.flatnonzero(fresh)
     df = np.diff(np.append(first, len(term)))
-    arrays = (term[first], df.astype(np.uint32), tf[first], tf[run], np.diff(np.append(run, len(term))).astype(np.uint32), doc, np.array(docs, dtype=np.int64))
+    arrays = (term[first], df.astype(np.uint32), tf[first].astype(np.uint32), tf[run].astype(np.uint32), np.diff(np.append(run, len(term))).astype(np.uint32), doc, np.array(docs, dtype=np.int64))
     return block, m, *(a.tobytes() for a in arrays)
 
 
-def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_postings: int = 1 << 16, in_a_row: int = 1 << 11) -> Index:
-    """Every document with a term is in one block, whose documents have the same m."""
+def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_postings: int = 1 << 14, in_a_row: int = 1 << 11) -> Index:
+    """Every document with a term is in one block, whose documents have the same m.
+
+    A block has so many postings as keep its columns well under half a megabyte: the JVM holds larger ones apart and frees
+    them late.
+    """
     texts = documents.select(F.col(text_col).alias("text"))
     docs, terms = _totals(texts)
     named = documents.select(F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(_NULL))).alias("id"))
@@ -222,7 +226,7 @@ class _Visit:
 
     def block(self, m: int, raw: dict[str, bytes]) -> None:
         q = self.q
-        terms, top = np.frombuffer(raw["terms"], dtype=np.uint64), np.frombuffer(raw["top"], dtype=np.int64)
+        terms, top = np.frombuffer(raw["terms"], dtype=np.uint64), np.frombuffer(raw["top"], dtype=np.uint32).astype(np.int64)
         bound = q.bounds(m, terms, top)
         asks = np.flatnonzero((bound > 0) & (bound >= self.floor))
         if not len(asks):
@@ -230,7 +234,7 @@ class _Visit:
         docs = np.frombuffer(raw["docs"], dtype=np.int64)
         df = np.frombuffer(raw["df"], dtype=np.uint32).astype(np.int64)
         size, posts = np.frombuffer(raw["size"], dtype=np.uint32), np.frombuffer(raw["posts"], dtype=np.uint32)
-        impacts = np.repeat(impact(np.frombuffer(raw["tf"], dtype=np.int64), m), size)  # one for each tf of a term
+        impacts = np.repeat(impact(np.frombuffer(raw["tf"], dtype=np.uint32).astype(np.int64), m), size)  # one for each tf of a term
         begin = np.cumsum(df) - df
         where = np.full(len(q.terms), -1, dtype=np.int64)
         has, at = q.found(terms)
@@ -284,7 +288,7 @@ def _visited(blocks: DataFrame, queries: Queries, k: int) -> DataFrame:
             order = []
             for i in range(len(b)):
                 raw = {n: b.column(j)[i].as_py() for j, n in enumerate(names) if n in ("m", "terms", "top")}
-                order.append((-int(held.value.bounds(raw["m"], np.frombuffer(raw["terms"], np.uint64), np.frombuffer(raw["top"], np.int64)).max()), i))
+                order.append((-int(held.value.bounds(raw["m"], np.frombuffer(raw["terms"], np.uint64), np.frombuffer(raw["top"], np.uint32).astype(np.int64)).max()), i))
             for _, i in sorted(order):
                 raw = {n: b.column(j)[i].as_py() for j, n in enumerate(names)}
                 seen.block(raw["m"], raw)
@@ -321,7 +325,7 @@ def _promising(index: Index, queries: Queries, per_query: int = 3) -> list[int]:
         best: list[list[tuple]] = [[] for _ in held.value.ids]
         for b in batches:
             for block, m, terms, top in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for i, x in enumerate(held.value.bounds(m, np.frombuffer(terms, dtype=np.uint64), np.frombuffer(top, dtype=np.int64))):
+                for i, x in enumerate(held.value.bounds(m, np.frombuffer(terms, dtype=np.uint64), np.frombuffer(top, dtype=np.uint32).astype(np.int64))):
                     if x and (len(best[i]) < per_query or x > best[i][-1][0]):
                         best[i] = sorted([*best[i], (int(x), block)], reverse=True)[:per_query]
         rows = [(i, x, block) for i, some in enumerate(best) for x, block in some]
