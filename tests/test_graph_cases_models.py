@@ -122,6 +122,39 @@ def test_cycle_flags_match_search(spark):
     assert got == want
 
 
+def test_cycles_at_hubs_list_few_rows(spark, monkeypatch):
+    """Two large stars whose centres pay each other: rows written stay within four times the edges, and flags are right."""
+    rng = random.Random(13)
+    links = [(f"i{i}", "H") for i in range(120)] + [("H", f"o{i}") for i in range(120)] + [(f"o{i}", "G") for i in range(0, 120, 3)] + [("G", f"i{i}") for i in range(0, 120, 4)] + [("G", "H"), ("H", "G"), ("o5", "i7"), ("i7", "H")]
+    rng.shuffle(links)
+    written, keep = {}, graph.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(graph, "stored", counted)
+    got = {r["transaction_id"]: r["graph_cycle_involvement"] for r in graph.cycle_flags(tx(spark, [(h, s, r, 1) for h, (s, r) in enumerate(links)]), 4).collect()}
+    edges, want = [], {}
+    for i, (s, r) in enumerate(links, 1):
+        want[i] = int(_reaches(edges, r, s, 3))
+        edges.append((s, r))
+    assert got == want and 0 < sum(want.values()) < len(want)
+    assert written["cycle-steps"] <= 4 * len(links) and written["cycle-pairs"] <= 4 * len(links)  # 120 x 120 by joins at the hub
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 5])
+def test_cycles_of_other_lengths(spark, length):
+    rng = random.Random(length)
+    rows = [(h, f"A{rng.randrange(12)}", f"A{rng.randrange(12)}", 1) for h in range(30)]
+    edges, want = [], {}
+    for i, (_, s, r, _) in enumerate(rows, 1):
+        want[i] = int(length > 1 and (s == r or _reaches([e for e in edges if e[0] != e[1]], r, s, length - 1)))
+        edges.append((s, r))
+    assert {r["transaction_id"]: r["graph_cycle_involvement"] for r in graph.cycle_flags(tx(spark, rows), length).collect()} == want
+
+
 def test_cycle_fixture(spark):
     d = tx(spark, [(0, "A", "B", 10), (1, "B", "C", 20), (2, "C", "D", 30), (3, "D", "A", 40)])
     a = rules.alerts(rules.run_rules(d, ["R2_NOVELTY"]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .distributed import join_same
+from .graphs import stored
 
 MICROS = 1_000_000
 
@@ -86,11 +87,9 @@ def rolling_distinct(df: DataFrame, group: str, item: str, window: str, query_gr
     w = window_micros(window)
     d = df.withColumn("_us", micros())
     came = d.where(F.col(group).isNotNull() & F.col(item).isNotNull()).select(F.col(group).alias("g"), F.col(item).alias("i"), F.col("_us").alias("us"), F.col("transaction_id").alias("id"))
-    again = F.lead("us").over(W.partitionBy("g", "i").orderBy("us", "id"))
-    came = came.withColumn("again", again)
+    came = neighbours(came, ["g", "i"], ["us", "id"], "us", "was", "again")
     renewed = F.col("again").isNotNull() & (F.col("again") <= F.col("us") + w)
-    was = F.lag("us").over(W.partitionBy("g", "i").orderBy("us", "id"))
-    came = came.withColumn("held", was.isNotNull() & (F.col("us") <= was + w))
+    came = came.withColumn("held", F.col("was").isNotNull() & (F.col("us") <= F.col("was") + w))
     # at one time: what has run out goes first, then items come in id order, then questions of another role
     plus = came.select("g", "us", F.lit(1).alias("kind"), "id", F.when(F.col("held"), 0).otherwise(1).alias("step"))
     minus = came.where(~renewed).select("g", (F.col("us") + w + 1).alias("us"), F.lit(0).alias("kind"), "id", F.lit(-1).alias("step"))
@@ -118,9 +117,42 @@ def incoming_to_sender(df: DataFrame, window: str, amount: str = "amount") -> Da
     return events.where("transaction_id is not null and not _context").select("transaction_id", "incoming")
 
 
-def prior_distinct(df: DataFrame, group: str, item: str, out: str) -> DataFrame:
-    """Adds the number of distinct items of the group in all rows before this one; a null item counts as one."""
-    first = df.groupBy(group, item).agg(F.min(F.struct("timestamp", "transaction_id")).alias("_f"))
-    first = first.select(F.col("_f.transaction_id").alias("_id"), F.lit(1).alias("_new"))
-    d = df.join(first, F.col("transaction_id") == F.col("_id"), "left").drop("_id").withColumn("_us", micros())
-    return running(d, [group], "_us", ["transaction_id"], {out: F.coalesce("_new", F.lit(0)).cast("long")}).withColumn(out, F.col(out).cast("long")).drop("_new", "_us")
+#: What `role_history` tells of each role: rows, rows with a partner not met before, and amounts.
+_MEASURES = ("count", "partners", "amount")
+
+
+def role_history(df: DataFrame) -> DataFrame:
+    """(transaction_id, pair_count, sender_count, sender_partners, sender_amount, receiver_count, ...): rows of the pair, and
+    of each side in its role the rows, distinct partners and exact amounts, in all rows before this one.
+
+    One sweep: a running count over pairs tells by its zeros who has met for the first time, and one running sum over
+    events of both roles has all the rest. A null account is an account like others here, as a partner too.
+    """
+    d = df.select("transaction_id", "sender_account_id", "receiver_account_id", micros().alias("_us"), exact("amount").alias("amount"))
+    d = running(d, ["sender_account_id", "receiver_account_id"], "_us", ["transaction_id"], {"pair_count": F.lit(1).cast("long")})
+    role = lambda name, c: F.struct(F.lit(name).alias("role"), F.col(c).alias("account"))
+    events = d.withColumn("_e", F.explode(F.array(role("sender", "sender_account_id"), role("receiver", "receiver_account_id"))))
+    events = events.select("transaction_id", "_us", "pair_count", F.col("amount").alias("_amount"), "_e.*").withColumn("_new", (F.col("pair_count") == 0).cast("long"))
+    sums = {"count": F.lit(1).cast("long"), "partners": F.col("_new"), "amount": F.col("_amount")}
+    told = running(events, ["role", "account"], "_us", ["transaction_id"], sums)
+    of = lambda role, m: F.max(F.when(F.col("role") == role, F.col(m))).alias(f"{role}_{m}")
+    return told.groupBy("transaction_id").agg(F.max("pair_count").alias("pair_count"), *(of(r, m) for r in ("sender", "receiver") for m in _MEASURES))
+
+
+def neighbours(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, before: str | None = None, after: str | None = None) -> DataFrame:
+    """Adds the value of the row before, and of that after, within each group by `order`; null at the ends.
+
+    Rows are dealt to ranges of (by, order), written once; a range's first and last values are handed to the ranges next
+    to it, so a group of any size is sorted in many tasks. `order` should tell rows apart.
+    """
+    by = list(by)
+    d = stored(df.repartitionByRange(*by, *order).withColumn("_r", F.spark_partition_id()), "neighbours")
+    key, ranges = F.struct(*order), W.partitionBy(*by).orderBy("_r")
+    edges = d.groupBy(*by, "_r").agg(F.min_by(value, key).alias("_first"), F.max_by(value, key).alias("_last"))
+    edges = edges.select(*by, "_r", F.lag("_last").over(ranges).alias("_b"), F.lead("_first").over(ranges).alias("_a"))
+    d, within = join_same(d, edges, [*by, "_r"]), W.partitionBy(*by, "_r").orderBy(*order)
+    if before:
+        d = d.withColumn(before, F.coalesce(F.lag(value).over(within), "_b"))
+    if after:
+        d = d.withColumn(after, F.coalesce(F.lead(value).over(within), "_a"))
+    return d.drop("_r", "_a", "_b")

@@ -14,6 +14,8 @@ from ..schemas import BANDS
 
 QUANTILES = {"p1": 0.99, "p2": 0.95, "p3": 0.80}
 CRITICAL_RULES = ("R4_PASS_THROUGH", "R5_FAN_IN", "R6_FAN_OUT")
+#: Rules whose alerts are P1 in the calibrated bands.
+CALIBRATED_CRITICAL_RULES = (*CRITICAL_RULES, "GR1_GATHER_SCATTER", "GR1_GATHER_SCATTER_V2")
 
 
 def risk_score(scored: DataFrame, score: str = "calibrated_score", out: str = "risk_score_1000", low: int = 0, high: int = 1000) -> DataFrame:
@@ -52,7 +54,7 @@ def summarize_bands(banded: DataFrame, band: str = "priority_band", score: str =
     return d.select(F.col("b").alias("priority_band"), F.col("n").alias("alert_count"), F.col("y").alias("label_count"), ratio(F.col("y"), F.col("n")).alias("precision"), ratio(F.col("y"), F.col("total")).alias("recall"), F.col("s").alias(avg_name))
 
 
-def simulate_capacity(scored: DataFrame, rankings: dict[str, str], ks: Sequence[int] = (100, 500, 1000), label: str = "target", tie: str = "alert_id") -> DataFrame:
+def simulate_capacity(scored: DataFrame, rankings: dict[str, str], ks: Sequence[int] = (100, 500, 1000, 5000), label: str = "target", tie: str = "alert_id") -> DataFrame:
     return top_k_table(scored, label, rankings, ks, tie)
 
 

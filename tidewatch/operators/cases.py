@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.distributed import quantile_row, ratio
+from ..functions.distributed import positions, quantile_row, ratio
 from ..functions.graphs import connected_components
+from ..functions.windows import neighbours
 from .rules import severity_rank
 
 _CLUSTER_REASON = "component_exceeded_operational_case_cap"
@@ -16,8 +17,8 @@ _CLUSTER_REASON = "component_exceeded_operational_case_cap"
 def _chain(named: DataFrame) -> DataFrame:
     """(src, dst): neighbours in alert order among the distinct alerts of an account; a lone alert points to itself."""
     d = named.where("account is not null").distinct()
-    before = F.lag("alert_id").over(W.partitionBy("account").orderBy("alert_id"))
-    return d.select(F.coalesce(before, "alert_id").alias("src"), F.col("alert_id").alias("dst")).distinct()
+    d = neighbours(d, ["account"], ["alert_id"], "alert_id", before="before")
+    return d.select(F.coalesce("before", "alert_id").alias("src"), F.col("alert_id").alias("dst")).distinct()
 
 
 def alert_link_edges(tx: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -33,8 +34,7 @@ def graph_evidence_edges(alerts: DataFrame, graph_hits: DataFrame) -> DataFrame:
 
 def case_ids(components: DataFrame) -> DataFrame:
     """(alert_id, case_id) from (node, component): CASE-000001, ... by smallest alert."""
-    # one row per case, numbered in order: a table of cases, not of alerts
-    ids = components.select("component").distinct().select("component", F.row_number().over(W.orderBy("component")).alias("i"))
+    ids = positions(components.select("component").distinct(), "component", ["component"]).withColumn("i", F.col("position") + 1)
     return components.join(ids, "component").select(F.col("node").alias("alert_id"), F.format_string("CASE-%06d", "i").alias("case_id"))
 
 
@@ -101,14 +101,14 @@ def case_chunks(frame: DataFrame, max_alerts: int = 100, max_accounts: int = 50,
     # a key holds at most max_component alerts here
     position = F.row_number().over(W.partitionBy("link_key").orderBy("alert_timestamp", "alert_id")) - 1
     d = d.withColumn("case_chunk", F.floor(position / chunk).cast("long"))
-    ids = d.select("link_key", "case_chunk").distinct().withColumn("i", F.row_number().over(W.orderBy("link_key", "case_chunk")))
+    ids = positions(d.select("link_key", "case_chunk").distinct(), "link_key", ["case_chunk"]).withColumn("i", F.col("position") + 1).drop("position")
     return d.join(ids, ["link_key", "case_chunk"]).withColumn("case_id", F.format_string("CASEV2-%06d", "i")).drop("i")
 
 
 def network_clusters(frame: DataFrame, max_component: int = 1000) -> DataFrame:
     """Keys beyond the cap, for intelligence only."""
     d = link_key_stats(frame).where(F.col("component_size") > max_component)
-    d = d.withColumn("network_cluster_id", F.format_string("NETCLUSTER-%06d", F.row_number().over(W.orderBy("link_key"))))
+    d = positions(d, "link_key", ["link_key"]).withColumn("network_cluster_id", F.format_string("NETCLUSTER-%06d", F.col("position") + 1)).drop("position")
     return d.withColumns({"split_reason": F.lit(_CLUSTER_REASON), "recommended_use": F.lit("network_intelligence_only")})
 
 
@@ -166,9 +166,20 @@ def case_quality(cases: DataFrame, mapping: DataFrame) -> DataFrame:
     ))
 
 
-def split_mega_components(links: DataFrame, order: list[str], max_alerts: int = 100, max_component: int = 1000, component: str = "component_id") -> DataFrame:
-    """Adds case_chunk (from 1, in the given order) and network_cluster_id (NET-000001, ... where a component is too large)."""
-    sizes = links.groupBy(component).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.where(F.col("_n") > max_component).select(F.col(component).alias("_c"), F.format_string("NET-%06d", F.row_number().over(W.orderBy(component))).alias("network_cluster_id"))
-    chunk = F.floor((F.row_number().over(W.partitionBy(component).orderBy(*order)) - 1) / max_alerts) + 1
-    return links.withColumn("case_chunk", chunk.cast("long")).join(big, F.col(component).eqNullSafe(F.col("_c")), "left").drop("_c")
+def mega_clusters(links: DataFrame, max_component: int = 1000, component: str = "component_id") -> DataFrame:
+    """Components of more links than that, numbered in order (NET-000001, ...): size, alerts, accounts, and what for."""
+    account = F.max("account_count") if "account_count" in links.columns else F.lit(0)
+    sizes = links.where(F.col(component).isNotNull()).groupBy(component).agg(F.count(F.lit(1)).alias("component_size"), F.count_distinct("alert_id").alias("alert_count"), account.cast("long").alias("account_count"))
+    big = positions(sizes.where(F.col("component_size") > max_component), component, [component])
+    big = big.withColumn("network_cluster_id", F.format_string("NET-%06d", F.col("position") + 1)).drop("position")
+    # fixed values: the reason and the use of a cluster
+    return big.withColumns({"split_reason": F.lit("component_exceeds_auto_case_cap"), "recommended_use": F.lit("network_intelligence_only")})
+
+
+def split_mega_components(links: DataFrame, order: str, tie: list[str], max_alerts: int = 100, max_component: int = 1000, component: str = "component_id") -> DataFrame:
+    """Adds case_chunk (from 1, in the given order) and network_cluster_id (null unless the component is a mega cluster).
+
+    Positions in a component come from ranges, so a giant one is sorted in many tasks."""
+    big = mega_clusters(links, max_component, component).select(F.col(component).alias("_c"), "network_cluster_id")
+    d = positions(links, order, tie, [component]).withColumn("case_chunk", (F.floor(F.col("position") / max_alerts) + 1).cast("long"))
+    return d.drop("position").join(big, F.col(component).eqNullSafe(F.col("_c")), "left").drop("_c")

@@ -60,9 +60,11 @@ def degrees(tx: DataFrame, top: int | None = 10) -> DataFrame:
     return both[0].unionByName(both[1])
 
 
-def degree_histogram(tx: DataFrame) -> DataFrame:
-    """(role, log_bin, account_count) with bins of powers of ten."""
-    return degrees(tx, None).groupBy("role", F.floor(F.log10("degree")).cast("long").alias("log_bin")).agg(F.count(F.lit(1)).alias("account_count"))
+def degree_histogram(tx: DataFrame, bins: int = 49, decades: int = 4) -> DataFrame:
+    """(role, log_bin, account_count) in equal bins of the logarithm from degree 1 to 10 ** decades, the last with its
+    upper end; larger degrees are in none."""
+    at = F.least(F.floor(F.log10("degree") * bins / decades), F.lit(bins - 1)).cast("long")
+    return degrees(tx, None).where(F.col("degree") <= 10**decades).groupBy("role", at.alias("log_bin")).agg(F.count(F.lit(1)).alias("account_count"))
 
 
 def sample(tx: DataFrame, n: int = 200_000, seed: int = 42) -> DataFrame:

@@ -29,6 +29,63 @@ UNKNOWN = {
     "contextual_template": "A model feature provided context for the alert score.",
     "investigator_note": "Review transaction context and linked rule evidence.",
 }
+#: The reason-code dictionary.
+ENTRIES = [
+    {
+        "feature_name": "feature_amount",
+        "business_reason_code": "High transaction amount",
+        "plain_language_template": "The transaction amount is high relative to the alert population.",
+        "risk_increasing_template": "Transaction amount increased the model risk score relative to comparable alerts.",
+        "risk_reducing_template": "Transaction amount reduced the model risk score relative to comparable alerts.",
+        "contextual_template": "Transaction amount was used as model context.",
+        "investigator_note": "Review source of funds, expected account activity, and counterparties.",
+    },
+    {
+        "feature_name": "feature_rule_count",
+        "business_reason_code": "Multiple AML rules triggered",
+        "plain_language_template": "Multiple rules triggered on the same alert, increasing the priority score.",
+        "risk_increasing_template": "Multiple AML rules increased the model risk score.",
+        "risk_reducing_template": "The rule-count signal reduced the model risk score for this alert.",
+        "contextual_template": "Rule count was used as model context.",
+        "investigator_note": "Review all rule evidence before disposition.",
+    },
+    {
+        "feature_name": "feature_sender_prior_unique_receivers",
+        "business_reason_code": "Sender distributed funds to many counterparties",
+        "plain_language_template": "The sender has previously transferred funds to many unique receivers.",
+        "investigator_note": "Review whether receivers are related, newly observed, or part of rapid movement.",
+    },
+    {
+        "feature_name": "feature_receiver_prior_unique_senders",
+        "business_reason_code": "Receiver funded by many counterparties",
+        "plain_language_template": "The receiver has received funds from many unique senders.",
+        "investigator_note": "Review whether sender accounts share patterns or ownership indicators.",
+    },
+    {
+        "feature_name": "feature_graph_cycle_involvement",
+        "business_reason_code": "Short-cycle graph evidence",
+        "plain_language_template": "The alert is connected to a short transaction cycle.",
+        "investigator_note": "Review path accounts, timing, and amount consistency.",
+    },
+    {
+        "feature_name": "feature_rule_r4_pass_through_flag",
+        "business_reason_code": "Rapid pass-through activity",
+        "plain_language_template": "Funds appear to move through the account shortly after receipt.",
+        "investigator_note": "Compare incoming and outgoing timing, amounts, and counterparties.",
+    },
+    {
+        "feature_name": "feature_rule_r5_fan_in_flag",
+        "business_reason_code": "Fan-in concentration",
+        "plain_language_template": "Multiple senders appear to fund one receiver.",
+        "investigator_note": "Review shared sender attributes and transaction timing.",
+    },
+    {
+        "feature_name": "feature_rule_r6_fan_out_flag",
+        "business_reason_code": "Fan-out distribution",
+        "plain_language_template": "One sender appears to distribute funds to multiple receivers.",
+        "investigator_note": "Review receiver relationships and downstream movement.",
+    },
+]
 DICTIONARY = "feature_name string, business_reason_code string, plain_language_template string, risk_increasing_template string, risk_reducing_template string, contextual_template string, investigator_note string"
 
 
@@ -69,7 +126,7 @@ def reason_codes(values: DataFrame, top_n: int = 3) -> DataFrame:
     return d.select("alert_id", F.col("reason_rank").cast("long").alias("reason_rank"), "feature_name", reason_phrase(F.col("feature_name")).alias("reason_code"), F.col("shap_value").alias("contribution"))
 
 
-def dictionary(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
+def dictionary(spark: SparkSession, entries: Sequence[dict] = ENTRIES) -> DataFrame:
     names = [c.split(" ")[0] for c in DICTIONARY.split(", ")]
     return spark.createDataFrame([tuple(e.get(n) for n in names) for e in entries], DICTIONARY)
 

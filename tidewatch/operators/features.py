@@ -7,22 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distributed import ratio
-from ..functions.windows import micros, prior_distinct, running
+from ..functions.distributed import first_by_hash, ratio
+from ..functions.windows import role_history
 from ..schemas import RULE_IDS
 from .rules import severity_rank
 
 METADATA = ["alert_id", "transaction_id", "alert_timestamp", "split", "target", "payment_format", "currency_pair", "triggered_rules", "max_rule_severity"]
 
 
+#: Feature names of what `role_history` tells.
+_HISTORY = {"sender_count": "sender_prior_txn_count", "receiver_count": "receiver_prior_txn_count", "pair_count": "pair_prior_txn_count", "sender_partners": "sender_prior_unique_receivers", "receiver_partners": "receiver_prior_unique_senders"}
+
+
 def transaction_history(tx: DataFrame) -> DataFrame:
     """All transactions with what was known before each: rows of its sender, receiver and pair, and their partners."""
-    d = tx.withColumn("_us", micros())
-    for name, by in (("sender", ["sender_account_id"]), ("receiver", ["receiver_account_id"]), ("pair", ["sender_account_id", "receiver_account_id"])):
-        d = running(d, by, "_us", ["transaction_id"], {f"feature_{name}_prior_txn_count": F.lit(1).cast("long")})
-    d = d.drop("_us")
-    d = prior_distinct(d, "sender_account_id", "receiver_account_id", "feature_sender_prior_unique_receivers")
-    return prior_distinct(d, "receiver_account_id", "sender_account_id", "feature_receiver_prior_unique_senders")
+    return tx.join(role_history(tx).select("transaction_id", *(F.col(c).alias(f"feature_{n}") for c, n in _HISTORY.items())), "transaction_id")
 
 
 def rule_flags(hits: DataFrame, rules: Sequence[str] = tuple(RULE_IDS)) -> DataFrame:
@@ -60,19 +59,26 @@ def one_hot(features: DataFrame, categories: dict[str, Sequence[str]]) -> DataFr
     return features.select("alert_id", "split", "target", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names), *hot, *none)
 
 
-def balanced_sample(train: DataFrame, negatives_per_positive: int = 10, max_rows: int = 200_000, seed: int = 42, id_col: str = "alert_id") -> DataFrame:
-    """All positives and the first negatives in hash order, at most so many per positive and `max_rows` in all.
+def balanced_sample(train: DataFrame, negatives_per_positive: int = 10, max_rows: int = 200_000, seed: int = 42, id_col: str = "alert_id", keep_positives: bool = False) -> DataFrame:
+    """Rows of both classes, `max_rows` at most: so many negatives to a positive, each class in hash order.
 
-    Without rows of both classes the rows are only capped. The order is md5 of seed and id, the same in any engine.
+    All positives stay while that many negatives find room beside them; beyond it both classes are cut at the ratio, and
+    where negatives are short more positives stay. With `keep_positives` all positives stay whatever their number, negatives fill what is
+    left of `max_rows`, and from `max_rows` positives on there are none. Without rows of both classes the rows are only
+    capped. The order is md5 of seed and id, the same in any engine; what comes first is found by counts, not by a sort.
     """
     d = train.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"))))
-    pos, neg = d.where("target = 1"), d.where("target = 0")
     y = train.agg(F.count_if(F.col("target") == 1).alias("y"), F.count_if(F.col("target") == 0).alias("n")).first()
     if not y["y"] or not y["n"]:
-        return d.orderBy("_h", id_col).limit(max_rows).drop("_h")
-    room = max(0, min(y["y"] * negatives_per_positive, max_rows - y["y"]))
-    kept = neg.orderBy("_h", id_col).limit(room)
-    return pos.unionByName(kept).drop("_h")
+        return first_by_hash(d, max_rows, "_h", id_col).drop("_h")
+    if keep_positives:
+        positives, negatives = y["y"], max(0, min(y["y"] * negatives_per_positive, max_rows - y["y"]))
+    else:
+        most = max_rows * negatives_per_positive // (negatives_per_positive + 1)
+        negatives = min(y["n"], y["y"] * negatives_per_positive, most)
+        positives = min(y["y"], max_rows - negatives)
+    taken = [d.where(f"target = {c}") if m >= y[k] else first_by_hash(d.where(f"target = {c}"), m, "_h", id_col) for c, k, m in ((1, "y", positives), (0, "n", negatives))]
+    return taken[0].unionByName(taken[1]).drop("_h")
 
 
 def sample_weights(train: DataFrame) -> DataFrame:

@@ -11,25 +11,36 @@ from pyspark.sql import functions as F
 from ..functions.distributed import positions, prefix_sums, quantile_row, ratio
 from ..functions.graphs import stored
 from ..functions.metrics import average_precision, top_k
-from ..functions.windows import exact, micros, prior_distinct, running
+from ..functions.windows import exact, micros, role_history, running
 from .rules import rule_hits
 
 GRAPH_COLUMNS = ["graph_sender_out_degree", "graph_receiver_in_degree", "graph_sender_weighted_out_degree", "graph_receiver_weighted_in_degree", "graph_component_size", "graph_sender_pagerank", "graph_receiver_pagerank", "graph_cycle_involvement"]
 _ORDER = ["timestamp", "transaction_id"]
 
 
+#: Graph columns of what `role_history` tells.
+_DEGREES = {"graph_sender_out_degree": "sender_partners", "graph_receiver_in_degree": "receiver_partners"}
+_WEIGHTS = {"graph_sender_weighted_out_degree": "sender_amount", "graph_receiver_weighted_in_degree": "receiver_amount"}
+
+
 def graph_degrees(tx: DataFrame) -> DataFrame:
     """Adds the sender's prior distinct receivers and the receiver's prior distinct senders."""
-    d = prior_distinct(tx, "sender_account_id", "receiver_account_id", "graph_sender_out_degree")
-    return prior_distinct(d, "receiver_account_id", "sender_account_id", "graph_receiver_in_degree")
+    return _with_history(tx, _DEGREES)
 
 
 def graph_weighted_degrees(tx: DataFrame) -> DataFrame:
     """Adds the prior sums of what the sender has sent and the receiver received; a null amount is 0."""
-    d = tx.withColumn("_us", micros())
-    for by, name in (("sender_account_id", "graph_sender_weighted_out_degree"), ("receiver_account_id", "graph_receiver_weighted_in_degree")):
-        d = running(d, [by], "_us", ["transaction_id"], {name: exact("amount")}).withColumn(name, F.col(name).cast("double"))
-    return d.drop("_us")
+    return _with_history(tx, _WEIGHTS)
+
+
+def graph_history(tx: DataFrame) -> DataFrame:
+    """Adds degrees and weighted degrees, from one sweep."""
+    return _with_history(tx, _DEGREES | _WEIGHTS)
+
+
+def _with_history(tx: DataFrame, columns: dict[str, str]) -> DataFrame:
+    told = role_history(tx).select("transaction_id", *(F.col(c).cast("double" if n in _WEIGHTS else "long").alias(n) for n, c in columns.items()))
+    return tx.join(told, "transaction_id")
 
 
 def graph_centrality(tx: DataFrame) -> DataFrame:
@@ -57,32 +68,43 @@ def cycle_flags(tx: DataFrame, max_length: int = 4) -> DataFrame:
     """(transaction_id, graph_cycle_involvement): 1 if sender and receiver are the same or prior edges lead from the
     receiver back to the sender in max_length - 1 steps at most.
 
-    First-seen edges suffice, since an earlier edge serves every later row. Of the ways of so many steps between two
-    accounts only the one that was complete first is kept; longer ways are two that meet, one grown from either end.
+    First-seen edges suffice, since an earlier edge serves every later row, and of all ways between two accounts it is
+    enough to know when the first was complete (`first_ways`).
     """
     d = positions(tx.withColumn("_us", micros()), "_us", ["transaction_id"]).select("transaction_id", F.col("sender_account_id").alias("s"), F.col("receiver_account_id").alias("r"), "position")
-    e = stored(d.where("s <> r").groupBy("s", "r").agg(F.min("position").alias("o")), "first-edges")
-    ways = {1: e.select(F.col("s").alias("a"), F.col("r").alias("b"), "o")}
-    for steps in range(2, max_length // 2 + 1):
-        step = e.select(F.col("s").alias("b"), F.col("r").alias("c"), F.col("o").alias("o2"))
-        longer = ways[steps - 1].join(step, "b").where("a <> c").groupBy("a", "c").agg(F.min(F.greatest("o", "o2")).alias("o"))
-        ways[steps] = stored(longer.withColumnRenamed("c", "b"), "cycle-ways")
-    found = [d.where("s = r").select("transaction_id")] if max_length >= 2 else []
-    rows = d.where("s <> r")
-    for steps in range(1, max_length):
-        there, back = steps // 2, steps - steps // 2
-        ends = rows.select("transaction_id", "s", F.col("r").alias("at"), "position")
-        if there:
-            out = ways[there].select(F.col("a").alias("at"), F.col("b").alias("next"), F.col("o").alias("o1"))
-            ends = ends.join(out, "at").where("o1 < position and next <> s").select("transaction_id", "s", F.col("next").alias("at"), "position")
-        hit = ends.join(ways[back], (F.col("at") == F.col("a")) & (F.col("s") == F.col("b")) & (F.col("o") < F.col("position")), "left_semi")
-        found.append(hit.select("transaction_id"))
-    hits = reduce(DataFrame.unionByName, found).distinct().withColumn("_hit", F.lit(1)) if found else None
-    if hits is None:
+    if max_length < 2:
         return tx.select("transaction_id", F.lit(0).alias("graph_cycle_involvement"))
+    rows = stored(d.where("s <> r"), "cycle-rows")
+    e = stored(rows.groupBy(F.col("s").alias("a"), F.col("r").alias("b")).agg(F.min("position").alias("o")), "first-edges")
+    ways = first_ways(e, e.select(F.col("b").alias("a"), F.col("a").alias("b")), max_length - 1)
+    closed = rows.join(ways, (F.col("r") == F.col("a")) & (F.col("s") == F.col("b")) & (F.col("o") < F.col("position")), "left_semi").select("transaction_id")
+    hits = closed.unionByName(d.where("s = r").select("transaction_id")).withColumn("_hit", F.lit(1))
     return tx.select("transaction_id").join(hits, "transaction_id", "left").select("transaction_id", F.coalesce("_hit", F.lit(0)).alias("graph_cycle_involvement"))
 
 
+def first_ways(edges: DataFrame, pairs: DataFrame, steps: int) -> DataFrame:
+    """(a, b, o) of the pairs that edges (a, b, o) connect in so many steps at most: the least over all ways of the greatest
+    o on the way.
+
+    A step is listed from that end of a pair which has fewer edges, and what is left to find is a pair again, asked once
+    however many ways lead through it. So a hub's edges are only listed towards a greater hub: in a star, however large,
+    as many rows as there are edges, where steps joined at the hub would be its edges in times its edges out.
+    """
+    direct = pairs.join(edges, ["a", "b"])
+    if steps == 1:
+        return direct
+    out, into = edges.groupBy("a").agg(F.count(F.lit(1)).alias("_out")), edges.groupBy("b").agg(F.count(F.lit(1)).alias("_in"))
+    asked = pairs.join(out, "a").join(into, "b")
+    step = edges.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("o").alias("o1"))
+    ahead = asked.where("_out <= _in").join(step, F.col("a") == F.col("x")).select("a", "b", F.col("y").alias("ra"), F.col("b").alias("rb"), "o1")
+    behind = asked.where("_out > _in").join(step, F.col("b") == F.col("y")).select("a", "b", F.col("a").alias("ra"), F.col("x").alias("rb"), "o1")
+    listed = stored(ahead.unionByName(behind).where("ra <> rb"), "cycle-steps")
+    rest = first_ways(edges, stored(listed.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "cycle-pairs"), steps - 1)
+    rest = rest.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "o")
+    via = listed.join(rest, ["ra", "rb"]).select("a", "b", F.greatest("o1", "o").alias("o"))
+    return stored(direct.unionByName(via).groupBy("a", "b").agg(F.min("o").alias("o")), "cycle-ways")
+
+
 def component_sizes(tx: DataFrame) -> DataFrame:
     """(transaction_id, graph_component_size): accounts in the component that the row's edge forms with all prior edges.
 
@@ -156,7 +178,7 @@ def graph_features(tx: DataFrame, alerts: DataFrame, max_cycle_length: int = 4,
     chosen = alerts.select("transaction_id", "alert_timestamp")
     if max_alert_rows is not None:
         chosen = chosen.orderBy("alert_timestamp", "transaction_id").limit(max_alert_rows)
-    d = graph_centrality(graph_weighted_degrees(graph_degrees(tx))).join(chosen.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    d = graph_centrality(graph_history(tx)).join(chosen.select("transaction_id").distinct(), "transaction_id", "left_semi")
     d = d.join(component_sizes(tx), "transaction_id", "left").join(cycle_flags(tx, max_cycle_length), "transaction_id", "left")
     return d.select("transaction_id", "sender_account_id", "receiver_account_id", *(F.coalesce(c, F.lit(0)).alias(c + suffix) for c in GRAPH_COLUMNS))
 
@@ -186,9 +208,10 @@ def cycle_summary(graph: DataFrame, graph_hits: DataFrame, cycle_rule: str = "GR
 
 
 def gather_scatter_hubs(tx: DataFrame, min_sources: int = 3, min_destinations: int = 3, low: float = 0.5, high: float = 1.5) -> DataFrame:
-    """Accounts that gather from several and pay to several about as much as they got; no incoming money counts as 0."""
-    side = lambda me, other, n, x: tx.where(F.col(me).isNotNull()).groupBy(F.col(me).alias("hub_account_id")).agg(F.count_distinct(other).alias(n), F.sum(exact("amount")).cast("double").alias(x))
-    d = side("receiver_account_id", "sender_account_id", "unique_sources", "incoming_amount").join(side("sender_account_id", "receiver_account_id", "unique_destinations", "outgoing_amount"), "hub_account_id")
+    """Accounts that gather from several and pay to several about as much as they got, with the first and last times of both;
+    no incoming money counts as a ratio of 0."""
+    side = lambda me, other, n, x, w: tx.where(F.col(me).isNotNull()).groupBy(F.col(me).alias("hub_account_id")).agg(F.count_distinct(other).alias(n), F.sum(exact("amount")).cast("double").alias(x), F.min("timestamp").alias(f"first_{w}"), F.max("timestamp").alias(f"last_{w}"))
+    d = side("receiver_account_id", "sender_account_id", "unique_sources", "incoming_amount", "in").join(side("sender_account_id", "receiver_account_id", "unique_destinations", "outgoing_amount", "out"), "hub_account_id")
     d = d.withColumn("amount_ratio", ratio(F.col("outgoing_amount"), F.col("incoming_amount")))
     d = d.where((F.col("unique_sources") >= min_sources) & (F.col("unique_destinations") >= min_destinations) & F.col("amount_ratio").between(low, high))
     return d.withColumn("evidence", F.struct("hub_account_id", "unique_sources", "unique_destinations", "incoming_amount", "outgoing_amount", "amount_ratio"))

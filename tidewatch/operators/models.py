@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -12,11 +13,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.distributed import join_same
+from ..functions.distributed import join_same, positions
+from ..functions.isotonic import interpolated, isotonic_knots
 from ..functions.metrics import average_precision, roc_auc, top_k
 from .features import balanced_sample, one_hot, sample_weights
 
@@ -64,13 +65,24 @@ class Ranker:
         return spark.createDataFrame([(n, v, self.name) for n, v in rows], "feature_name string, importance double, model_name string")
 
     def save(self, path: str) -> None:
+        """Writes the model, if it isn't a constant, and what else describes the ranker."""
+        spark = SparkSession.getActiveSession()
+        about = json.dumps({"name": self.name, "columns": self.columns, "constant": self.constant, "options": self.options, "fitted": self.model is not None})
+        spark.createDataFrame([(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
         if self.model is not None:
-            self.model.write().overwrite().save(path)
+            self.model.write().overwrite().save(f"{path}/model")
 
+    @classmethod
+    def load(cls, path: str) -> Ranker:
+        about = json.loads(SparkSession.getActiveSession().read.text(f"{path}/about", wholetext=True).first()["value"])
+        model = PipelineModel.load(f"{path}/model") if about.pop("fitted") else None
+        return cls(model=model, **about)
 
-def categories(features: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = 200) -> dict[str, list[str]]:
-    """The values of each categorical column, the commonest `most` of them."""
-    return {c: sorted(r[0] for r in features.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).limit(most).collect()) for c in columns}
+
+def categories(features: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
+    """All values of each categorical column, from one aggregate. Each becomes a column of the model."""
+    row = features.agg(*(F.array_sort(F.collect_set(c)).alias(c) for c in columns)).first()
+    return {c: list(row[c]) for c in columns}
 
 
 def prepare(features: DataFrame, values: dict[str, Sequence[str]] | None = None) -> tuple[DataFrame, list[str]]:
@@ -192,7 +204,7 @@ def train_and_score(features: DataFrame, options: ModelOptions | None = None) ->
     return Trained(features.join(scored, "alert_id"), champion, rankers, selection, champions, trials)
 
 
-def evaluate_rankings(scored: DataFrame, ks: Sequence[int] = (100, 500, 1000)) -> DataFrame:
+def evaluate_rankings(scored: DataFrame, ks: Sequence[int] = (100, 500, 1000, 5000)) -> DataFrame:
     """(split, ranking, metric, k, value): average precision and ROC area, and top-k metrics, of model, rule and amount
     rankings on the test split, else validation, else all."""
     has = scored.agg(F.max(F.when(F.col("split") == "test", 2).when(F.col("split") == "validation", 1).otherwise(0)).alias("_best"))
@@ -241,8 +253,7 @@ def calibrate(scored: DataFrame, method: str = "isotonic", score: str = "model_s
     d = scored.withColumn("_x", F.coalesce(F.col(score), F.lit(0.0)))
     assemble = VectorAssembler(inputCols=["_x"], outputCol="_v")
     if can and method == "isotonic" and n["y"] >= 2:
-        model = IsotonicRegression(featuresCol="_v", labelCol="label", predictionCol="_p").fit(assemble.transform(rows))
-        d = model.transform(assemble.transform(d)).withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_p"))))
+        d = interpolated(d, "_x", isotonic_knots(rows, "_x", "label"), "_p").withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_p"))))
         used = "isotonic"
     elif can and method in ("isotonic", "sigmoid"):
         model = LogisticRegression(featuresCol="_v", labelCol="label", predictionCol="_p", probabilityCol="_q", rawPredictionCol="_r").fit(assemble.transform(rows))
@@ -254,30 +265,38 @@ def calibrate(scored: DataFrame, method: str = "isotonic", score: str = "model_s
 
 
 def permutation_importance(ranker: Ranker, frame: DataFrame, repeats: int = 3, seed: int = 42) -> DataFrame:
-    """(feature_name, importance): the mean drop in accuracy when a column is shuffled among rows; 1 for all if none counts.
-
-    A column is shuffled by joining two numberings of the rows, one by id and one by hash; numbers come from ranges."""
-    from ..functions.distributed import positions
-
-    d = frame.select("alert_id", "target", *ranker.columns).withColumn("_i", F.xxhash64("alert_id"))
-    d = positions(d, "_i", ["alert_id"]).withColumnRenamed("position", "_row").cache()
-    right = F.avg(F.when((F.col("model_score") >= 0.5).cast("int") == F.col("target"), 1.0).otherwise(0.0)).alias("a")
-    base = ranker.score(d).agg(right).first()["a"] or 0.0
-    rows = []
-    for c in ranker.columns:
-        drops = []
-        for r in range(repeats):
-            other = d.select("alert_id", F.col(c).alias("_new")).withColumn("_h", F.xxhash64(F.lit(seed + r), "alert_id"))
-            other = positions(other, "_h", ["alert_id"]).select(F.col("position").alias("_row"), "_new")
-            mixed = d.join(other, "_row").withColumn(c, F.col("_new"))
-            drops.append(base - (ranker.score(mixed).agg(right).first()["a"] or 0.0))
-        rows.append((c, float(sum(drops) / repeats)))
-    d.unpersist()
+    """(feature_name, importance): the mean drop in accuracy when a column is shuffled among rows.
+
+    Where no column's drop counts, the model's own importances stand in, and 1 where these are nothing either. In each
+    repeat a row exchanges its values with another, told by the rank of a hash; each row is then scored once with every
+    column exchanged, all columns and repeats in one job.
+    """
+    columns = list(ranker.columns)
+    d = frame.select("alert_id", "target", *columns)
+    shuffles = F.explode(F.array(*(F.lit(r) for r in range(repeats + 1)))).alias("r")
+    ranks = d.select("alert_id", shuffles).withColumn("_h", F.xxhash64(F.lit(seed) + F.col("r"), "alert_id"))
+    ranks = positions(ranks, "_h", ["alert_id"], ["r"]).select("alert_id", "r", "position")
+    own, other = ranks.where("r = 0").select(F.col("alert_id"), "position"), ranks.where("r > 0").select(F.col("alert_id").alias("_id"), "r", "position")
+    values = d.select(F.col("alert_id").alias("_id"), F.struct(*columns).alias("_new"))
+    pairs = own.join(other, "position").drop("position").join(values, "_id").join(d, "alert_id")
+    mixed = pairs.withColumn("_c", F.explode(F.array(*(F.lit(i) for i in range(len(columns))))))
+    mixed = mixed.withColumns({c: F.when(F.col("_c") == i, F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")) for i, c in enumerate(columns)})
+    hit = F.when((F.col("model_score") >= 0.5).cast("int") == F.col("target"), 1.0).otherwise(0.0)
+    base = ranker.score(d).agg(F.avg(hit).alias("a")).first()["a"] or 0.0
+    drops = {r["_c"]: base - r["a"] for r in ranker.score(mixed.select("_c", "target", *columns)).groupBy("_c").agg(F.avg(hit).alias("a")).collect()}
+    rows = [(c, float(drops.get(i, 0.0))) for i, c in enumerate(columns)]
+    if not any(v for _, v in rows):
+        rows = [(r["feature_name"], r["importance"]) for r in ranker.importance(frame.sparkSession).collect()]
     if not any(v for _, v in rows):
         rows = [(c, 1.0) for c, _ in rows]
     return frame.sparkSession.createDataFrame(rows, "feature_name string, importance double")
 
 
+def explanation_weights(ranker: Ranker, frame: DataFrame, repeats: int = 3, seed: int = 42) -> dict[str, float]:
+    """The weight of each of the model's columns for `explain.contributions`."""
+    return {r["feature_name"]: r["importance"] for r in permutation_importance(ranker, frame, repeats, seed).collect()}
+
+
 def with_constant_score(features: DataFrame, train: DataFrame) -> DataFrame:
     """model_score of a training set with one class: 1 if that is the positive one, else 0; null with two classes."""
     one = train.agg(F.when(F.min("target") == F.max("target"), F.max("target").cast("double")).alias("model_score"))

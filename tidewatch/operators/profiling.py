@@ -31,7 +31,7 @@ def missing_values(df: DataFrame) -> DataFrame:
     return df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns)).unpivot([], df.columns, "column_name", "null_count")
 
 
-def profile_counts(df: DataFrame, top_n: int = 20, columns: Sequence[str] = ("payment_format", "currency_pair", "payment_currency", "receiving_currency")) -> DataFrame:
+def profile_counts(df: DataFrame, top_n: int = 20, columns: Sequence[str] = ("payment_format", "currency_pair", "from_bank", "to_bank")) -> DataFrame:
     """(column_name, value, row_count): the commonest values of each column, nulls counted; ties by value."""
     one = lambda c: df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("row_count"), "value").limit(top_n).select(F.lit(c).alias("column_name"), "value", "row_count")
     return reduce(DataFrame.unionByName, map(one, columns))
@@ -62,6 +62,13 @@ def split_manifest(df: DataFrame, order: Sequence[str] = SPLITS) -> DataFrame:
     return out.select(F.col("name").alias("split"), "split_order", n.alias("row_count"), y.alias("label_count"), ratio(y, n).alias("label_rate"), "min_timestamp", "max_timestamp")
 
 
+def profile_splits(df: DataFrame) -> DataFrame:
+    """The same of the splits that there are; rows without one are a split of their own, None."""
+    n, y = F.count(F.lit(1)), F.coalesce(F.sum("is_laundering"), F.lit(0))
+    out = df.groupBy(F.coalesce("split", F.lit("None")).alias("split"))
+    return out.agg(n.alias("row_count"), y.alias("label_count"), ratio(y, n).alias("label_rate"), F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp"))
+
+
 def split_non_overlap(df: DataFrame, order: Sequence[str] = SPLITS) -> DataFrame:
     """One row: whether each split begins no earlier than the last non-empty one before it ends."""
     m = split_manifest(df, order).where("row_count > 0")

@@ -1,7 +1,8 @@
 """Behavioural rules over transactions, their hits, and alerts.
 
-Every rule is a function of DataFrames that stays lazy: percentiles of the training rows join in as one-row tables, and
-the text of the evidence is made after the filter.
+Every rule is a function of DataFrames: percentiles of the training rows join in as one-row tables, and the text of the
+evidence is made after the filter. Rolling sums, and what accounts know of the same partner before and after, are written
+to the shared folder when a rule is made.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributed import join_same, quantile_row, quantiles, ratio
+from ..functions.graphs import stored
 from ..functions.metrics import confusion
 from ..functions.windows import incoming_to_sender, rolling, rolling_distinct
 from ..schemas import RULE_HIT_COLUMNS, RULE_IDS, RULES, SEVERITY
@@ -28,6 +30,26 @@ def training_rows(tx: DataFrame) -> DataFrame:
     return tx.join(F.broadcast(some), how="cross").where((F.col("split") == "train") | F.col("_some").isNull()).drop("_some")
 
 
+def _rolled(tx: DataFrame, train: DataFrame | None, group: str, window: str, closed: bool, percentile: float) -> DataFrame:
+    """`rolling` of all rows, stored once, with the percentile of the training rows' sums as `sum_limit`.
+
+    Windows look back only, so where the train split is all rows up to some time and id, its sums are those of the one
+    pass; other training rows get a pass of their own.
+    """
+    d = stored(rolling(tx, group, window, closed), "rolled")
+    trained = None
+    if train is None:
+        at, own = F.struct("timestamp", "transaction_id"), F.coalesce(F.col("split") == "train", F.lit(False))
+        r = tx.agg(F.max(F.when(own, at)).alias("last"), F.min(F.when(~own, at)).alias("first")).select("last", "first", (F.col("last") < F.col("first")).alias("apart")).first()
+        if r["last"] is None:
+            trained = d
+        elif r["first"] is None or r["apart"]:
+            trained = d.where("split = 'train'")
+    if trained is None:
+        trained = rolling(training_rows(tx) if train is None else train, group, window, closed)
+    return d.join(F.broadcast(quantile_row(trained, "rolling_sum", {"sum_limit": percentile})), how="cross")
+
+
 def rule_hits(rows: DataFrame, rule: str, severity: str, trigger: dict[str, Column], threshold: dict[str, Column], rationale: Column, name: str | None = None) -> DataFrame:
     """Hits in the common form; evidence is JSON with its keys in alphabetical order."""
     as_json = lambda values: F.to_json(F.struct(*(values[k].alias(k) for k in sorted(values))))
@@ -66,14 +88,12 @@ def novelty_rule(tx: DataFrame, cross_bank: bool = True, severity: str = "medium
     if cross_bank:
         first = first.where("cross_bank_flag = 1")
     text = F.format_string("First transfer from %s to %s%s.", "sender_account_id", "receiver_account_id", F.when(F.col("cross_bank_flag") == 1, " between banks").otherwise(""))
-    return rule_hits(first, "R2_NOVELTY", severity, {c: F.col(c) for c in ("sender_account_id", "receiver_account_id", "cross_bank_flag")}, {"first_seen": F.lit(True), "require_cross_bank": F.lit(cross_bank)}, text)
+    return rule_hits(first, "R2_NOVELTY", severity, {**{c: F.col(c) for c in ("sender_account_id", "receiver_account_id", "cross_bank_flag")}, "first_seen_pair_flag": F.lit(1)}, {"first_seen": F.lit(True), "require_cross_bank": F.lit(cross_bank)}, text)
 
 
 def velocity_rule(tx: DataFrame, train: DataFrame | None = None, window: str = "24h", min_count: int = 5, percentile: float = 0.90, severity: str = "high") -> DataFrame:
     """R3: senders with many rows in the open window, whose sum is high against the training rows' own sums."""
-    train = training_rows(tx) if train is None else train
-    limit = quantile_row(rolling(train, "sender_account_id", window, closed=False), "rolling_sum", {"sum_limit": percentile})
-    d = rolling(tx, "sender_account_id", window, closed=False).join(F.broadcast(limit), how="cross")
+    d = _rolled(tx, train, "sender_account_id", window, False, percentile)
     d = d.where((F.col("rolling_count") >= min_count) & (F.col("rolling_sum") >= F.col("sum_limit")))
     text = F.format_string("Sender made %d transactions totaling %.2f in %s.", "rolling_count", "rolling_sum", F.lit(window))
     return rule_hits(d, "R3_VELOCITY", severity, {"sender_account_id": F.col("sender_account_id"), "rolling_count": F.col("rolling_count"), "rolling_sum": F.col("rolling_sum"), "window": F.lit(window)}, {"count_threshold": F.lit(min_count), "amount_threshold": F.col("sum_limit"), "amount_percentile": F.lit(percentile)}, text)
@@ -95,11 +115,9 @@ def pass_through_rule(tx: DataFrame, window: str = "24h", min_ratio: float = 0.8
 
 def fan_in_rule(tx: DataFrame, train: DataFrame | None = None, window: str = "24h", min_senders: int = 5, percentile: float = 0.90, severity: str = "high") -> DataFrame:
     """R5: receivers with many senders in the closed window and a high sum against the training rows' own sums."""
-    train = training_rows(tx) if train is None else train
-    limit = quantile_row(rolling(train, "receiver_account_id", window, closed=True), "rolling_sum", {"sum_limit": percentile})
     senders = rolling_distinct(tx, "receiver_account_id", "sender_account_id", window).withColumnRenamed("rolling_distinct", "senders")
-    d = rolling(tx, "receiver_account_id", window, closed=True).join(senders.where(F.col("senders") >= min_senders), "transaction_id")
-    d = d.join(F.broadcast(limit), how="cross").where(F.col("rolling_sum") >= F.col("sum_limit"))
+    d = _rolled(tx, train, "receiver_account_id", window, True, percentile).where(F.col("rolling_sum") >= F.col("sum_limit"))
+    d = d.join(senders.where(F.col("senders") >= min_senders), "transaction_id")
     text = F.format_string("Receiver had %d unique senders and %.2f incoming amount in %s.", "senders", "rolling_sum", F.lit(window))
     return rule_hits(d, "R5_FAN_IN", severity, {"receiver_account_id": F.col("receiver_account_id"), "unique_senders": F.col("senders"), "incoming_amount": F.col("rolling_sum"), "window": F.lit(window)}, {"min_unique_senders": F.lit(min_senders), "amount_threshold": F.col("sum_limit"), "amount_percentile": F.lit(percentile)}, text)
 
@@ -132,8 +150,8 @@ def run_rules(tx: DataFrame, enabled: Sequence[str] = tuple(RULE_IDS), options:
     o = options or {}
     train = training_rows(tx)
     made = {
-        "R1_AMOUNT": lambda **k: amount_rule(tx, train, **k), "R2_NOVELTY": lambda **k: novelty_rule(tx, **k), "R3_VELOCITY": lambda **k: velocity_rule(tx, train, **k),
-        "R4_PASS_THROUGH": lambda **k: pass_through_rule(tx, **k), "R5_FAN_IN": lambda **k: fan_in_rule(tx, train, **k), "R6_FAN_OUT": lambda **k: fan_out_rule(tx, **k),
+        "R1_AMOUNT": lambda **k: amount_rule(tx, train, **k), "R2_NOVELTY": lambda **k: novelty_rule(tx, **k), "R3_VELOCITY": lambda **k: velocity_rule(tx, **k),
+        "R4_PASS_THROUGH": lambda **k: pass_through_rule(tx, **k), "R5_FAN_IN": lambda **k: fan_in_rule(tx, **k), "R6_FAN_OUT": lambda **k: fan_out_rule(tx, **k),
     }
     return with_status(reduce(DataFrame.unionByName, (made[r](**o.get(r, {})) for r in RULE_IDS if r in enabled)))
 

@@ -127,14 +127,14 @@ CTE = {
     "cyc": """SELECT transaction_id FROM tx WHERE sender_account_id = receiver_account_id UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.r = t.sender_account_id AND a.o < t.pos
         UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.o < t.pos JOIN fe b ON b.s = a.r AND b.r = t.sender_account_id AND b.o < t.pos
         UNION SELECT t.transaction_id FROM tx t JOIN fe a ON a.s = t.receiver_account_id AND a.o < t.pos JOIN fe c ON c.r = t.sender_account_id AND c.o < t.pos JOIN fe b ON b.s = a.r AND b.r = c.s AND b.o < t.pos""",
-    "hb": """SELECT i.hub_account_id, unique_sources, unique_destinations, incoming_amount, outgoing_amount, CASE WHEN incoming_amount = 0 THEN 0 ELSE outgoing_amount / incoming_amount END AS amount_ratio
-        FROM (SELECT receiver_account_id AS hub_account_id, count(DISTINCT sender_account_id) AS unique_sources, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS incoming_amount FROM tx GROUP BY 1) i
-        JOIN (SELECT sender_account_id AS hub_account_id, count(DISTINCT receiver_account_id) AS unique_destinations, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS outgoing_amount FROM tx GROUP BY 1) o USING (hub_account_id)
+    "hb": """SELECT i.hub_account_id, unique_sources, unique_destinations, incoming_amount, outgoing_amount, CASE WHEN incoming_amount = 0 THEN 0 ELSE outgoing_amount / incoming_amount END AS amount_ratio, first_in, last_in, first_out, last_out
+        FROM (SELECT receiver_account_id AS hub_account_id, count(DISTINCT sender_account_id) AS unique_sources, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS incoming_amount, min(timestamp) AS first_in, max(timestamp) AS last_in FROM tx GROUP BY 1) i
+        JOIN (SELECT sender_account_id AS hub_account_id, count(DISTINCT receiver_account_id) AS unique_destinations, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS outgoing_amount, min(timestamp) AS first_out, max(timestamp) AS last_out FROM tx GROUP BY 1) o USING (hub_account_id)
         WHERE unique_sources >= 3 AND unique_destinations >= 3 AND CASE WHEN incoming_amount = 0 THEN 0 ELSE outgoing_amount / incoming_amount END BETWEEN 0.5 AND 1.5""",
     "ct": "SELECT alert_id, feature_name, (value - avg(value) OVER (PARTITION BY feature_name)) * weight AS shap_value, value AS feature_value FROM ("
     + " UNION ALL ".join(
         f"SELECT alert_id, '{n}' AS feature_name, CAST({n} AS DOUBLE) AS value, CAST({w} AS DOUBLE) AS weight FROM feat"
-        for n, w in {"feature_amount": 0.01, "feature_rule_count": 1.0, "feature_sender_prior_txn_count": -0.02, "feature_rule_r4_pass_through_flag": 2.0, "feature_pair_prior_txn_count": 0.5}.items()
+        for n, w in {"feature_amount": 0.01, "feature_rule_count": 1.0, "feature_sender_prior_txn_count": -0.02, "feature_rule_r4_pass_through_flag": 2.0, "feature_pair_prior_txn_count": 0.5, "feature_sender_prior_unique_receivers": 0.3, "feature_receiver_prior_unique_senders": -0.4, "feature_rule_r5_fan_in_flag": 1.5, "feature_rule_r6_fan_out_flag": -1.5}.items()
     )
     + ")",
     "rk": "SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY round(abs(shap_value), 9) DESC, feature_name) AS reason_rank FROM ct",
@@ -148,7 +148,7 @@ def ranking_sql(ranks: dict[str, str]) -> str:
     parts = []
     for name, rows in ranks.items():
         parts += [f"SELECT '{name}' AS ranking, 'pr_auc' AS metric, CAST(NULL AS BIGINT) AS k, pr_auc AS value FROM ({_ap(rows)})", f"SELECT '{name}', 'roc_auc', NULL, roc_auc FROM ({_auc(rows)})"]
-        parts += [f"SELECT '{name}', '{m}', k, {c} FROM ({_top(rows, '[100, 500, 1000]')})" for m, c in (("precision_at_k", "p"), ("recall_at_k", "r"), ("lift_at_k", "l"))]
+        parts += [f"SELECT '{name}', '{m}', k, {c} FROM ({_top(rows, '[100, 500, 1000, 5000]')})" for m, c in (("precision_at_k", "p"), ("recall_at_k", "r"), ("lift_at_k", "l"))]
     return " UNION ALL ".join(parts)
 
 

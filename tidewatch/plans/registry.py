@@ -94,12 +94,16 @@ _add("quality_report", "row_count:l column_count:l min_timestamp:t max_timestamp
      count(*) - count(DISTINCT transaction_id) AS duplicate_transaction_ids, min(amount) AS min_amount, max(amount) AS max_amount, avg(amount) AS mean_amount FROM txa""")
 _add("missing_values", "column_name:s null_count:l", lambda s, d: profiling.missing_values(_standardized(s, d)),
      f"WITH x AS ({_STD_SQL}) " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM x" for c in _NAMES))
-_add("profile_counts", "column_name:s value:s row_count:l", lambda s, d: profiling.profile_counts(_standardized(s, d), 5),
-     f"WITH x AS ({_STD_SQL}) " + " UNION ALL ".join(f"(SELECT '{c}' AS column_name, {c} AS value, count(*) AS row_count FROM x GROUP BY {c} ORDER BY count(*) DESC, {c} NULLS FIRST LIMIT 5)" for c in ("payment_format", "currency_pair", "payment_currency", "receiving_currency")))
+_add("profile_counts", "column_name:s value:s row_count:l", lambda s, d: profiling.profile_counts(_standardized(s, d)),
+     f"WITH x AS ({_STD_SQL}) " + " UNION ALL ".join(f"(SELECT '{c}' AS column_name, {c} AS value, count(*) AS row_count FROM x GROUP BY {c} ORDER BY count(*) DESC, {c} NULLS FIRST LIMIT 20)" for c in ("payment_format", "currency_pair", "from_bank", "to_bank")))
 _add("profile_amount", "min_amount:d max_amount:d mean_amount:d median_amount:d", lambda s, d: profiling.profile_amount(t.raw_tx(s, d)), "SELECT min(amount) AS min_amount, max(amount) AS max_amount, avg(amount) AS mean_amount, median(amount) AS median_amount FROM txa")
 _SPLIT_SQL = "SELECT split, count(*) AS row_count, sum(is_laundering) AS label_count, avg(is_laundering) AS label_rate, min(timestamp) AS min_timestamp, max(timestamp) AS max_timestamp FROM tx GROUP BY split"
-for _n in ("profile_split_summary", "split_manifest"):
-    _add(_n, "split:s row_count:l label_count:l label_rate:d min_timestamp:t max_timestamp:t", lambda s, d: profiling.split_manifest(t.tx(s, d)), _SPLIT_SQL)
+_split_spec = "split:s row_count:l label_count:l label_rate:d min_timestamp:t max_timestamp:t"
+_add("split_manifest", _split_spec, lambda s, d: profiling.split_manifest(t.tx(s, d)), _SPLIT_SQL)
+# some rows of the test split are in none
+_LATE = "split = 'test' AND transaction_id % 40 = 0"
+_add("profile_split_summary", _split_spec, lambda s, d: profiling.profile_splits(t.tx(s, d).withColumn("split", F.when(~F.expr(_LATE), F.col("split")))),
+     f"SELECT coalesce(part, 'None') AS split, count(*) AS row_count, sum(is_laundering) AS label_count, avg(is_laundering) AS label_rate, min(timestamp) AS min_timestamp, max(timestamp) AS max_timestamp FROM (SELECT *, CASE WHEN NOT ({_LATE}) THEN split END AS part FROM tx) GROUP BY part")
 _add("temporal_split", "transaction_id:l timestamp:t split:s", lambda s, d: profiling.temporal_split(t.raw_tx(s, d)), "SELECT transaction_id, timestamp, split FROM tx")
 _add("split_non_overlap", "non_overlapping:b", lambda s, d: profiling.split_non_overlap(t.tx(s, d)),
      "SELECT coalesce(bool_and(a.timestamp <= b.timestamp), true) AS non_overlapping FROM (SELECT split, max(timestamp) AS timestamp FROM tx GROUP BY 1) a JOIN (SELECT split, min(timestamp) AS timestamp FROM tx GROUP BY 1) b ON (a.split = 'train' AND b.split IN ('validation', 'test')) OR (a.split = 'validation' AND b.split = 'test')")
@@ -108,7 +112,7 @@ _add("split_non_overlap", "non_overlapping:b", lambda s, d: profiling.split_non_
 _add("segment_thresholds", "payment_format:s currency_pair:s segment_count:l threshold:d threshold_source:s", lambda s, d: rules.segment_thresholds(rules.training_rows(t.tx(s, d)), min_segment=130), "SELECT * FROM seg")
 _json = lambda c, k: F.get_json_object(c, f"$.{k}")
 _add("rule_r1_amount", "transaction_id:l amount:d threshold:d threshold_source:s segment_count:l split:s", lambda s, d: rules.amount_rule(t.tx(s, d), min_segment=130).select("transaction_id", "split", _json("trigger_values_json", "amount").alias("amount"), *(_json("threshold_json", k).alias(k) for k in ("threshold", "threshold_source", "segment_count"))), "SELECT * FROM r1")
-_add("rule_r2_novelty", "transaction_id:l sender_account_id:s receiver_account_id:s split:s", lambda s, d: rules.novelty_rule(t.tx(s, d)).select("transaction_id", "split", *(_json("trigger_values_json", k).alias(k) for k in ("sender_account_id", "receiver_account_id"))), "SELECT * FROM r2")
+_add("rule_r2_novelty", "transaction_id:l sender_account_id:s receiver_account_id:s first_seen_pair_flag:l split:s", lambda s, d: rules.novelty_rule(t.tx(s, d)).select("transaction_id", "split", *(_json("trigger_values_json", k).alias(k) for k in ("sender_account_id", "receiver_account_id", "first_seen_pair_flag"))), "SELECT *, 1 AS first_seen_pair_flag FROM r2")
 _add("sender_rolling", "transaction_id:l rolling_count:l rolling_sum:d", lambda s, d: windows.rolling(t.tx(s, d), "sender_account_id", "24h", closed=False), "SELECT transaction_id, c AS rolling_count, s AS rolling_sum FROM send")
 _hit = "transaction_id:l alert_timestamp:t severity:s split:s "
 _ev = lambda df, *ks: df.select("*", *(_json("trigger_values_json", k).alias(k) for k in ks))
@@ -151,7 +155,7 @@ _add("average_precision", "split:s pr_auc:d", lambda s, d: metrics.average_preci
 _add("roc_auc", "roc_auc:d", lambda s, d: metrics.roc_auc(t.scored(s, d), "target", "model_score"), o.auc(_ALL))
 _RANKS = {"model_score": "model_score", "rule_priority": "feature_rule_priority_score", "amount_rank": "feature_amount"}
 _RANK_SQL = {r: f"SELECT alert_id AS id, {c} AS score, target AS y FROM sc" for r, c in _RANKS.items()}
-_TOPTABLE = " UNION ALL ".join(f"SELECT '{r}' AS ranking, k, reviewed AS reviewed_alerts, p AS precision_at_k, r AS recall_at_k, l AS lift_at_k FROM ({o.top(q, '[100, 500, 1000]')})" for r, q in _RANK_SQL.items())
+_TOPTABLE = " UNION ALL ".join(f"SELECT '{r}' AS ranking, k, reviewed AS reviewed_alerts, p AS precision_at_k, r AS recall_at_k, l AS lift_at_k FROM ({o.top(q, '[100, 500, 1000, 5000]')})" for r, q in _RANK_SQL.items())
 for _n in ("topk_table", "capacity_by_ranking"):
     _add(_n, "ranking:s k:l reviewed_alerts:l precision_at_k:d recall_at_k:d lift_at_k:d", lambda s, d: bands.simulate_capacity(t.scored(s, d), _RANKS), _TOPTABLE)
 _add("evaluate_rankings", "split:s ranking:s metric:s k:l value:d", t.rankings, f"SELECT 'test' AS split, * FROM ({o.ranking_sql(o.TEST_RANK)})")
@@ -166,14 +170,27 @@ _META = "alert_id:s transaction_id:l alert_timestamp:t split:s target:l payment_
 _add("alert_features", _META + " " + " ".join(f"{f}:d" for f in _FEATS), t.alert_features, "SELECT * FROM feat")
 _add("feature_quality", "feature_name:s row_count:l null_count:l null_rate:d distinct_count:l all_null:b", lambda s, d: features.feature_quality(t.alert_features(s, d)),
      " UNION ALL ".join(f"SELECT '{f}' AS feature_name, count(*) AS row_count, 0 AS null_count, 0.0 AS null_rate, count(DISTINCT {f}) AS distinct_count, false AS all_null FROM feat" for f in _FEATS))
-_HOT = {"payment_format": ("click", "purchase", "view", "signup", "error"), "max_rule_severity": ("critical", "high", "medium", "low")}
-_hotcols = [f"{c}_{v}" for c, vs in _HOT.items() for v in vs] + [f"{c}_null" for c in _HOT]
-_add("one_hot", "alert_id:s target:l feature_amount:d " + " ".join(f"{c}:l" for c in _hotcols), lambda s, d: features.one_hot(t.alert_features(s, d), _HOT),
-     "SELECT alert_id, target, feature_amount, " + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}" for c, vs in _HOT.items() for v in vs) + ", 0 AS payment_format_null, 0 AS max_rule_severity_null FROM feat")
+_HOT = ("payment_format", "currency_pair", "max_rule_severity")
+
+
+def _hot(s: SparkSession, d: str) -> DataFrame:
+    """(alert_id, column, value) of all columns that are made of categories, whatever values these have."""
+    frame, columns = models.prepare(t.alert_features(s, d))
+    made = [c for c in columns if not c.startswith("feature_")]
+    return frame.select("alert_id", *(F.col(f"`{c}`").cast("long").alias(c) for c in made)).unpivot(["alert_id"], [f"`{c}`" for c in made], "column", "value")
+
+
+_add("one_hot", "alert_id:s column:s value:l", _hot, " UNION ALL ".join(
+    f"SELECT alert_id, '{c}_' || v AS \"column\", CASE WHEN {c} = v THEN 1 ELSE 0 END AS value FROM feat, (SELECT DISTINCT {c} AS v FROM feat WHERE {c} IS NOT NULL) UNION ALL SELECT alert_id, '{c}_null', CASE WHEN {c} IS NULL THEN 1 ELSE 0 END FROM feat" for c in _HOT))
 _train = lambda s, d: t.alert_features(s, d).where("split = 'train'")
-_BAL = "SELECT * FROM (SELECT alert_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42|' || alert_id), alert_id) AS i, sum(target) OVER () AS pos FROM feat WHERE split = 'train') WHERE target = 1 OR i <= least(pos * 10, 200000 - pos)"
+# each class's rows numbered in hash order, with the number of both classes
+_BAL_ROWS = "SELECT alert_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42|' || alert_id), alert_id) AS i, sum(target) OVER () AS pos, sum(1 - target) OVER () AS neg FROM feat WHERE split = 'train'"
+_BAL_AT = "SELECT * FROM (SELECT *, least(neg, pos * {ratio}, {cap} * {ratio} // ({ratio} + 1)) AS negatives FROM (" + _BAL_ROWS + ")) WHERE i <= CASE WHEN target = 0 THEN negatives ELSE {cap} - negatives END"
+_BAL = _BAL_AT.format(ratio=10, cap=200_000)
 _balanced = lambda s, d: features.balanced_sample(_train(s, d))
 _add("balanced_sample", "alert_id:s target:l", _balanced, _BAL)
+_add("balanced_sample_capped", "alert_id:s target:l", lambda s, d: features.balanced_sample(_train(s, d), 3, 200), _BAL_AT.format(ratio=3, cap=200))
+_add("balanced_sample_all_positives", "alert_id:s target:l", lambda s, d: features.balanced_sample(_train(s, d), 3, 200, keep_positives=True), f"SELECT * FROM ({_BAL_ROWS}) WHERE target = 1 OR i <= greatest(0, least(pos * 3, 200 - pos))")
 _add("sample_weights", "alert_id:s target:l sample_weight:d", lambda s, d: features.sample_weights(_balanced(s, d)), f"SELECT alert_id, target, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY target)) AS sample_weight FROM ({_BAL})")
 
 # network
@@ -199,7 +216,7 @@ _GR = """, gr AS (SELECT transaction_id, timestamp AS alert_timestamp, 'GR1_GATH
 _add("graph_rules", _hits, _ghits, "SELECT *, rule_id || ':' || transaction_id AS rule_hit_id FROM gr", _SIZE_SQL + _GR)
 _add("cycle_summary", "metric:s value:l", lambda s, d: graph.cycle_summary(t.graph_features(s, d), _ghits(s, d)), """SELECT 'alert_transactions_evaluated' AS metric, count(*) AS value FROM al
   UNION ALL SELECT 'cycle_candidate_count', count(*) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE' UNION ALL SELECT 'cycle_candidate_label_count', coalesce(sum(is_laundering), 0) FROM gr WHERE rule_id = 'GR2_CYCLE_CANDIDATE'""", _SIZE_SQL + _GR)
-_add("gather_scatter_hubs", "hub_account_id:s unique_sources:l unique_destinations:l incoming_amount:d outgoing_amount:d amount_ratio:d", t.hubs, "SELECT * FROM hb")
+_add("gather_scatter_hubs", "hub_account_id:s unique_sources:l unique_destinations:l incoming_amount:d outgoing_amount:d amount_ratio:d first_in:t last_in:t first_out:t last_out:t", t.hubs, "SELECT * FROM hb")
 _WAY = """p{h} AS MATERIALIZED (SELECT transaction_id, pos, s, tip, orders, amounts, first, nodes, {h} AS hops FROM (
     SELECT p.transaction_id, p.pos, p.s, e.receiver_account_id AS tip, list_append(orders, e.pos) AS orders, list_append(amounts, e.amount) AS amounts, least(first, e.timestamp) AS first, list_append(nodes, p.tip) AS nodes,
       row_number() OVER (PARTITION BY p.transaction_id, e.receiver_account_id ORDER BY list_append(orders, e.pos)) AS i
@@ -230,8 +247,8 @@ _add("graph_ablation", "model_variant:s feature_group_added:s pr_auc:d precision
 
 # bands and capacity
 _add("risk_score", "alert_id:s risk_score_1000:l", lambda s, d: bands.risk_score(t.scored(s, d), "model_score"), "SELECT alert_id, risk_score_1000 FROM rs")
-_cal = lambda s, d: bands.assign_bands(t.scored(s, d).withColumn("calibrated_score", F.col("model_score")), "calibrated_score", "calibrated_priority_band", "calibrated_priority_rank", critical=("R5_FAN_IN",))
-_CAL_SQL = "SELECT *, CAST(substr(calibrated_priority_band, 2, 1) AS BIGINT) AS calibrated_priority_rank FROM (SELECT sc.*, CASE WHEN contains(triggered_rules, 'R5_FAN_IN') OR round(model_score, 12) >= p1 THEN 'P1' WHEN round(model_score, 12) >= p2 THEN 'P2' WHEN round(model_score, 12) >= p3 THEN 'P3' ELSE 'P4' END AS calibrated_priority_band FROM sc, cut)"
+_cal = lambda s, d: bands.assign_bands(t.scored(s, d).withColumn("calibrated_score", F.col("model_score")), "calibrated_score", "calibrated_priority_band", "calibrated_priority_rank", critical=bands.CALIBRATED_CRITICAL_RULES)
+_CAL_SQL = "SELECT *, CAST(substr(calibrated_priority_band, 2, 1) AS BIGINT) AS calibrated_priority_rank FROM (SELECT sc.*, CASE WHEN regexp_matches(triggered_rules, '(^|,)(R4_PASS_THROUGH|R5_FAN_IN|R6_FAN_OUT|GR1_GATHER_SCATTER|GR1_GATHER_SCATTER_V2)(,|$)') OR round(model_score, 12) >= p1 THEN 'P1' WHEN round(model_score, 12) >= p2 THEN 'P2' WHEN round(model_score, 12) >= p3 THEN 'P3' ELSE 'P4' END AS calibrated_priority_band FROM sc, cut)"
 _add("calibrated_bands", "alert_id:s calibrated_priority_band:s calibrated_priority_rank:l", _cal, _CAL_SQL)
 _sum = lambda band, rows, avg: f"SELECT b AS priority_band, count(alert_id) AS alert_count, coalesce(sum(target), 0) AS label_count, coalesce(sum(target) / nullif(CAST(count(alert_id) AS DOUBLE), 0), 0) AS precision, coalesce(sum(target), 0) / CAST((SELECT sum(target) FROM sc) AS DOUBLE) AS recall, coalesce(avg(model_score), 0) AS {avg} FROM (SELECT unnest(['P1', 'P2', 'P3', 'P4']) AS b) LEFT JOIN ({rows}) x ON x.{band} = b GROUP BY b"
 _add("calibrated_band_summary", "priority_band:s alert_count:l label_count:l precision:d recall:d avg_calibrated_score:d", lambda s, d: bands.summarize_bands(_cal(s, d), "calibrated_priority_band", "calibrated_score", avg_name="avg_calibrated_score"), _sum("calibrated_priority_band", _CAL_SQL, "avg_calibrated_score"))
@@ -283,9 +300,22 @@ _add("case_quality", "metric:s value:d", lambda s, d: cases.case_quality(t.cases
      " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(({q}) AS DOUBLE) AS value" for m, q in {
          "case_count": "SELECT count(*) FROM c2", "avg_alerts_per_case": "SELECT avg(alert_count) FROM c2", "p95_alerts_per_case": "SELECT quantile_cont(alert_count, 0.95) FROM c2", "max_alerts_per_case": "SELECT max(alert_count) FROM c2",
          "case_precision": "SELECT avg(has_laundering_label) FROM c2", "case_recall": "SELECT CASE WHEN sum(label_count) > 0 THEN 1 ELSE 0 END FROM c2", "case_reduction_ratio": "SELECT 1 - (SELECT count(*) FROM c2) / CAST(count(*) AS DOUBLE) FROM mp", "p1_case_count": "SELECT 0", "p1_case_precision": "SELECT 0"}.items()))
-_links = lambda s, d: t.case_frame(s, d).withColumn("component_id", F.date_format("alert_timestamp", "yyyy-MM-dd"))
-_add("mega_component_split", "alert_id:s component_id:s case_chunk:l network_cluster_id:s", lambda s, d: cases.split_mega_components(_links(s, d), ["alert_timestamp", "alert_id"], 25, 100),
-     "SELECT alert_id, component_id, case_chunk, network_cluster_id FROM (SELECT alert_id, day AS component_id, (row_number() OVER (PARTITION BY day ORDER BY alert_timestamp, alert_id) - 1) // 25 + 1 AS case_chunk FROM (SELECT *, strftime(alert_timestamp, '%Y-%m-%d') AS day FROM cf)) LEFT JOIN (SELECT day AS component_id, 'NET-' || lpad(CAST(row_number() OVER (ORDER BY day) AS VARCHAR), 6, '0') AS network_cluster_id FROM (SELECT strftime(alert_timestamp, '%Y-%m-%d') AS day FROM cf GROUP BY 1 HAVING count(*) > 100)) USING (component_id)")
+def _mega_links(s: SparkSession, d: str) -> DataFrame:
+    """Alerts with the component that their links make, and the number of its accounts."""
+    frame = t.case_frame(s, d)
+    own = frame.select(F.col("alert_id").alias("src"), F.col("alert_id").alias("dst"))
+    links = frame.join(connected_components(cases.alert_link_edges(t.tx(s, d), t.alerts(s, d)).unionByName(own)), F.col("alert_id") == F.col("node"))
+    links = links.withColumnRenamed("component", "component_id").withColumn("us", windows.micros("alert_timestamp"))
+    sides = links.select("component_id", F.explode(F.array("sender_account_id", "receiver_account_id")).alias("account"))
+    return links.join(sides.groupBy("component_id").agg(F.count_distinct("account").alias("account_count")), "component_id")
+
+
+_MEGA = _V1 + """, mg AS (SELECT cf.alert_id, cf.alert_timestamp, first AS component_id, (SELECT count(*) FROM comp WHERE comp.root = m.root) AS account_count FROM cf JOIN m USING (alert_id)),
+  ng AS (SELECT component_id, 'NET-' || lpad(CAST(row_number() OVER (ORDER BY component_id) AS VARCHAR), 6, '0') AS network_cluster_id, n AS component_size, n AS alert_count, account_count FROM (SELECT component_id, count(*) AS n, max(account_count) AS account_count FROM mg GROUP BY 1) WHERE n > 1000)"""
+_add("mega_component_split", "alert_id:s component_id:s case_chunk:l network_cluster_id:s", lambda s, d: cases.split_mega_components(_mega_links(s, d), "us", ["alert_id"]),
+     _MEGA + " SELECT alert_id, component_id, (row_number() OVER (PARTITION BY component_id ORDER BY alert_timestamp, alert_id) - 1) // 100 + 1 AS case_chunk, network_cluster_id FROM mg LEFT JOIN ng USING (component_id)")
+_add("mega_network_clusters", "component_id:s network_cluster_id:s component_size:l alert_count:l account_count:l split_reason:s recommended_use:s", lambda s, d: cases.mega_clusters(_mega_links(s, d)),
+     _MEGA + " SELECT *, 'component_exceeds_auto_case_cap' AS split_reason, 'network_intelligence_only' AS recommended_use FROM ng")
 
 # diagnostics
 _RC = """SELECT *, CASE WHEN incremental_label_count = 0 AND unique_alert_count > 1000 THEN 'retire_candidate' WHEN precision < 0.001 AND unique_alert_count > 10000 THEN 'tighten' WHEN precision < 0.005 THEN 'downgrade' ELSE 'keep' END AS recommended_action FROM (
@@ -305,9 +335,9 @@ _half = lambda w: f"SELECT * FROM ({_HALF}) WHERE w = '{w}'"
 _add("temporal_stress", "window:s k:l alert_count:l label_count:l alert_rate:d pr_auc:d precision_at_k:d recall_at_k:d", lambda s, d: diagnostics.temporal_stress(t.scored(s, d)),
      " UNION ALL ".join(f"SELECT '{w}' AS \"window\", k, n AS alert_count, pos AS label_count, 1.0 AS alert_rate, pr_auc, p AS precision_at_k, r AS recall_at_k FROM ({o.ap(_half(w))}), (SELECT count(*) AS n, sum(y) AS pos FROM ({_half(w)})) z, (SELECT k, p, r FROM ({o.top(_half(w), '[100, 500, 1000]')}) UNION ALL SELECT NULL, NULL, NULL)" for w in ("A", "B")))
 _SEG = "WITH q AS (SELECT quantile_cont(feature_amount, 0.25) AS a, quantile_cont(feature_amount, 0.5) AS b, quantile_cont(feature_amount, 0.75) AS c FROM sc), sg AS (" + " UNION ALL ".join(
-    f"SELECT '{n}' AS segment, CAST({e} AS VARCHAR) AS segment_value, alert_id, target AS y, model_score AS score FROM sc, q"
-    for n, e in (("payment_format", "payment_format"), ("currency_pair", "currency_pair"), ("cross_bank_flag", "CAST(feature_cross_bank_flag AS BIGINT)"), ("amount_bucket", "CASE WHEN feature_amount <= a THEN 'q1' WHEN feature_amount <= b THEN 'q2' WHEN feature_amount <= c THEN 'q3' ELSE 'q4' END"), ("graph_degree_bucket", "'none'"))) + ")"
-_add("segment_stress", "segment:s segment_value:s status:s alert_count:l label_count:l precision_at_100:d pr_auc:d", lambda s, d: diagnostics.segment_stress(t.scored(s, d), t.tx(s, d)),
+    f"SELECT '{n}' AS segment, CAST({e} AS VARCHAR) AS segment_value, alert_id, target AS y, model_score AS score FROM (SELECT sc.*, f4 + f5 + w_out + w_in AS deg FROM sc JOIN g1 USING (transaction_id)), q"
+    for n, e in (("payment_format", "payment_format"), ("currency_pair", "currency_pair"), ("cross_bank_flag", "CAST(feature_cross_bank_flag AS BIGINT)"), ("amount_bucket", "CASE WHEN feature_amount <= a THEN 'q1' WHEN feature_amount <= b THEN 'q2' WHEN feature_amount <= c THEN 'q3' ELSE 'q4' END"), ("graph_degree_bucket", "CASE WHEN deg <= 0 THEN 'none' WHEN deg <= 5 THEN 'low' ELSE 'high' END"))) + ")"
+_add("segment_stress", "segment:s segment_value:s status:s alert_count:l label_count:l precision_at_100:d pr_auc:d", lambda s, d: diagnostics.segment_stress(t.extended(s, d), t.tx(s, d)),
      f"""{_SEG} SELECT x.segment, x.segment_value, CASE WHEN n < 10 THEN 'small_segment' ELSE 'measured' END AS status, n AS alert_count, pos AS label_count, hit / CAST(least(100, n) AS DOUBLE) AS precision_at_100, pr_auc FROM (SELECT segment, segment_value, count(*) AS n, sum(y) AS pos, sum(y) FILTER (i <= 100) AS hit
      FROM (SELECT *, row_number() OVER (PARTITION BY segment, segment_value ORDER BY score DESC, alert_id) AS i FROM sg) GROUP BY ALL) x JOIN ({o.ap("SELECT segment || '~' || segment_value AS g, y, score FROM sg", "g")}) a ON a.g = x.segment || '~' || x.segment_value""")
 _CMP = f"SELECT e.metric, e.k, CASE WHEN e.k IS NULL THEN NULL ELSE 'test' END AS split, m.value AS mvp_value, e.value AS extended_value, e.value - m.value AS delta, CASE WHEN e.value > m.value THEN 'extended' WHEN m.value > e.value THEN 'mvp' ELSE 'tie' END AS winner FROM ({o.ranking_sql({'model_score': o.TEST_RANK['model_score']})}) e JOIN ({o.ranking_sql({'model_score': o.TEST_RANK['rule_priority']})}) m ON m.metric = e.metric AND m.k IS NOT DISTINCT FROM e.k"
@@ -332,14 +362,17 @@ _add("headline_kpis", "transactions:l label_rate:d rule_recall:d model_pr_auc:d
 _add("contributions", "alert_id:s feature_name:s shap_value:d feature_value:d", t.contributions, "SELECT * FROM ct")
 _add("contribution_importance", "feature_name:s mean_abs_shap:d", lambda s, d: explain.contribution_importance(t.contributions(s, d)), "SELECT feature_name, avg(abs(shap_value)) AS mean_abs_shap FROM ct GROUP BY 1")
 _add("reason_codes", "alert_id:s reason_rank:l feature_name:s reason_code:s contribution:d", lambda s, d: explain.reason_codes(t.contributions(s, d)),
-     """SELECT alert_id, reason_rank, feature_name, CASE feature_name WHEN 'feature_amount' THEN 'Large transaction amount contributed to the score.' WHEN 'feature_rule_count' THEN 'Multiple rules triggered for this alert.' WHEN 'feature_rule_r4_pass_through_flag' THEN 'R4_PASS_THROUGH triggered for this alert.'
-     WHEN 'feature_sender_prior_txn_count' THEN 'Sender Prior Txn Count contributed to the score.' ELSE 'Pair Prior Txn Count contributed to the score.' END AS reason_code, shap_value AS contribution FROM rk WHERE reason_rank <= 3""")
-_add("alert_reason_codes", "alert_id:s case_id:s reason_rank:l feature_name:s contribution_bucket:s risk_direction:s business_reason_code:s plain_language_reason:s", t.reason_codes,
-     """SELECT rk.alert_id, mp.case_id, reason_rank, feature_name, CASE WHEN shap_value >= 1 THEN 'strong_positive' WHEN shap_value > 0 THEN 'moderate_positive' WHEN shap_value <= -1 THEN 'strong_negative' WHEN shap_value < 0 THEN 'moderate_negative' ELSE 'neutral' END AS contribution_bucket,
-     CASE WHEN shap_value > 0 THEN 'risk_increasing' WHEN shap_value < 0 THEN 'risk_reducing' ELSE 'contextual' END AS risk_direction, CASE feature_name WHEN 'feature_amount' THEN 'High transaction amount' WHEN 'feature_rule_count' THEN 'Multiple AML rules triggered' ELSE 'Model feature contributed to risk score' END AS business_reason_code,
-     CASE feature_name WHEN 'feature_amount' THEN CASE WHEN shap_value > 0 THEN 'Transaction amount increased the model risk score relative to comparable alerts.' WHEN shap_value < 0 THEN 'Transaction amount reduced the model risk score relative to comparable alerts.' ELSE 'Transaction amount was used as model context.' END
-       WHEN 'feature_rule_count' THEN 'Multiple rules triggered on the same alert, increasing the priority score.' ELSE CASE WHEN shap_value > 0 THEN 'A model feature increased the alert score.' WHEN shap_value < 0 THEN 'A model feature reduced the alert score.' ELSE 'A model feature provided context for the alert score.' END END AS plain_language_reason
-     FROM rk JOIN mp USING (alert_id) JOIN b2 USING (alert_id) WHERE reason_rank <= 3 AND (reason_rank = 1 OR band2 = 'P1')""")
+     """SELECT alert_id, reason_rank, feature_name, CASE WHEN feature_name = 'feature_amount' THEN 'Large transaction amount contributed to the score.' WHEN feature_name = 'feature_rule_count' THEN 'Multiple rules triggered for this alert.'
+     WHEN feature_name LIKE 'feature_rule_%_flag' THEN upper(feature_name[14:-6]) || ' triggered for this alert.'
+     ELSE array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(feature_name[9:], '_')], ' ') || ' contributed to the score.' END AS reason_code, shap_value AS contribution FROM rk WHERE reason_rank <= 3""")
+_text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+_DICT = ", ".join("(" + ", ".join(_text(e.get(k)) for k in ("feature_name", "business_reason_code", "plain_language_template", "risk_increasing_template", "risk_reducing_template", "contextual_template", "investigator_note")) + ")" for e in explain.ENTRIES)
+_add("alert_reason_codes", "alert_id:s case_id:s reason_rank:l feature_name:s contribution_bucket:s risk_direction:s business_reason_code:s plain_language_reason:s investigator_note:s", t.reason_codes,
+     f"""SELECT rk.alert_id, mp.case_id, reason_rank, feature_name, CASE WHEN shap_value >= 1 THEN 'strong_positive' WHEN shap_value > 0 THEN 'moderate_positive' WHEN shap_value <= -1 THEN 'strong_negative' WHEN shap_value < 0 THEN 'moderate_negative' ELSE 'neutral' END AS contribution_bucket,
+     CASE WHEN shap_value > 0 THEN 'risk_increasing' WHEN shap_value < 0 THEN 'risk_reducing' ELSE 'contextual' END AS risk_direction, coalesce(code, 'Model feature contributed to risk score') AS business_reason_code,
+     CASE WHEN code IS NULL THEN CASE WHEN shap_value > 0 THEN 'A model feature increased the alert score.' WHEN shap_value < 0 THEN 'A model feature reduced the alert score.' ELSE 'A model feature provided context for the alert score.' END
+          ELSE coalesce(CASE WHEN shap_value > 0 THEN up WHEN shap_value < 0 THEN down ELSE context END, plain) END AS plain_language_reason, coalesce(note, 'Review transaction context and linked rule evidence.') AS investigator_note
+     FROM rk JOIN mp USING (alert_id) JOIN b2 USING (alert_id) LEFT JOIN (VALUES {_DICT}) dict(feature_name, code, plain, up, down, context, note) USING (feature_name) WHERE reason_rank <= 3 AND (reason_rank = 1 OR band2 = 'P1')""")
 
 # models: no SQL
 def _fitted(s: SparkSession, d: str) -> models.Trained:
@@ -358,8 +391,27 @@ _add("score_constant", "alert_id:s model_score:d", lambda s, d: models.with_cons
 _add("champion_model", "model_name:s selection_value:d pr_auc:d champion:b", lambda s, d: _fitted(s, d).champions)
 _add("scored_alerts", "alert_id:s target:l model_score:d", lambda s, d: _fitted(s, d).scored)
 _add("feature_importance", "feature_name:s importance:d model_name:s", lambda s, d: _fitted(s, d).champion.importance(s))
-_add("permutation_importance", "feature_name:s importance:d", lambda s, d: models.permutation_importance(models.Ranker(_fitted(s, d).champion.name, _fitted(s, d).champion.columns, _fitted(s, d).champion.model), models.prepare(t.alert_features(s, d))[0].where("split = 'validation'"), repeats=1))
-_add("calibrated_isotonic", "alert_id:s calibrated_score:d calibration_method:s", lambda s, d: models.calibrate(t.scored(s, d), "isotonic"))
+_valid = lambda s, d: models.prepare(t.alert_features(s, d))[0].where("split = 'validation'")
+_add("permutation_importance", "feature_name:s importance:d", lambda s, d: models.permutation_importance(_fitted(s, d).champion, _valid(s, d)))
+
+
+def _explained(s: SparkSession, d: str) -> DataFrame:
+    """Contributions of the champion's features, by its permutation weights, to a sample of alerts."""
+    if (key := (s.sparkContext.applicationId, d)) not in _weights:
+        _weights[key] = models.explanation_weights(_fitted(s, d).champion, _valid(s, d))
+    return explain.contributions(models.prepare(t.alert_features(s, d))[0], _weights[key], most=1000, zero=_fitted(s, d).champion.model is None)
+
+
+_weights: dict[tuple, dict[str, float]] = {}
+_add("champion_contributions", "alert_id:s feature_name:s shap_value:d feature_value:d", _explained)
+_add("champion_importance", "feature_name:s mean_abs_shap:d", lambda s, d: explain.contribution_importance(_explained(s, d)))
+_add("champion_reason_codes", "alert_id:s case_id:s reason_rank:l feature_name:s contribution_bucket:s risk_direction:s business_reason_code:s plain_language_reason:s", lambda s, d: explain.alert_reason_codes(_explained(s, d), explain.dictionary(s), t.bands_v2_final(s, d), t.mapping(s, d)))
+# the rising fit at a score is the greatest over all starts up to it of the least over all ends from it of the mean between
+_add("calibrated_isotonic", "alert_id:s calibrated_score:d calibration_method:s", lambda s, d: models.calibrate(t.scored(s, d), "isotonic"),
+     """SELECT alert_id, CASE WHEN l.x IS NULL THEN h.v WHEN h.x IS NULL OR l.x = h.x THEN l.v ELSE l.v + (h.v - l.v) * (sc.model_score - l.x) / (h.x - l.x) END AS calibrated_score, 'isotonic' AS calibration_method
+     FROM sc ASOF LEFT JOIN fit l ON sc.model_score >= l.x ASOF LEFT JOIN fit h ON sc.model_score <= h.x""",
+     """, ip AS MATERIALIZED (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(y) OVER (ORDER BY x) AS s, sum(n) OVER (ORDER BY x) AS w, y, n FROM (SELECT model_score AS x, sum(target) AS y, count(*) AS n FROM sc WHERE split = 'validation' GROUP BY 1)),
+  fit AS MATERIALIZED (SELECT x, max(least_mean) AS v FROM (SELECT b.x, min((b.s - a.s + a.y) / CAST(b.w - a.w + a.n AS DOUBLE)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS least_mean FROM ip a JOIN ip b ON a.i <= b.i) GROUP BY x)""")
 _add("calibrated_sigmoid", "alert_id:s calibrated_score:d calibration_method:s", lambda s, d: models.calibrate(t.scored(s, d), "sigmoid"))
 _add("write_metrics", "split:s row_count:l", lambda s, d: _written(s, d))
 
@@ -385,5 +437,5 @@ _add("eda_currency_pairs", "currency_pair:s row_count:l label_rate:d", lambda s,
 _add("eda_cross_bank", "cross_bank_flag:l row_count:l label_count:l label_rate:d", lambda s, d: eda.cross_bank_rates(t.raw_tx(s, d)), "SELECT cross_bank_flag, count(*) AS row_count, sum(is_laundering) AS label_count, avg(is_laundering) AS label_rate FROM txa GROUP BY 1")
 _DEG = {r: f"SELECT '{r}' AS role, {c} AS account_id, count(*) AS degree FROM txa GROUP BY {c}" for r, c in (("sender", "sender_account_id"), ("receiver", "receiver_account_id"))}
 _add("eda_degrees", "role:s account_id:s degree:l", lambda s, d: eda.degrees(t.raw_tx(s, d)), " UNION ALL ".join(f"SELECT * FROM ({q} ORDER BY degree DESC, account_id LIMIT 10)" for q in _DEG.values()))
-_add("eda_degree_hist", "role:s log_bin:l account_count:l", lambda s, d: eda.degree_histogram(t.raw_tx(s, d)), f"SELECT role, floor(log10(degree)) AS log_bin, count(*) AS account_count FROM ({' UNION ALL '.join(_DEG.values())}) GROUP BY 1, 2")
-_add("eda_sample", "transaction_id:l amount:d", lambda s, d: eda.sample(t.raw_tx(s, d), 500), "SELECT transaction_id, amount FROM txa ORDER BY md5('42|' || transaction_id), transaction_id LIMIT 500")
+_add("eda_degree_hist", "role:s log_bin:l account_count:l", lambda s, d: eda.degree_histogram(t.raw_tx(s, d)), f"SELECT role, least(floor(log10(degree) * 49 / 4), 48) AS log_bin, count(*) AS account_count FROM ({' UNION ALL '.join(_DEG.values())}) WHERE degree <= 10000 GROUP BY 1, 2")
+_add("eda_sample", "transaction_id:l amount:d", lambda s, d: eda.sample(t.raw_tx(s, d)), "SELECT transaction_id, amount FROM txa ORDER BY md5('42|' || transaction_id), transaction_id LIMIT 200000")

@@ -102,7 +102,7 @@ def cases_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_once("graph-simple")
 def graph_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Degrees, weighted degrees and centrality of every transaction."""
-    return graph.graph_centrality(graph.graph_weighted_degrees(graph.graph_degrees(tx(spark, sf_dir))))
+    return graph.graph_centrality(graph.graph_history(tx(spark, sf_dir)))
 
 
 @_once("graph-features")
@@ -128,11 +128,7 @@ def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Weights for contributions that SQL can repeat.
-WEIGHTS = {"feature_amount": 0.01, "feature_rule_count": 1.0, "feature_sender_prior_txn_count": -0.02, "feature_rule_r4_pass_through_flag": 2.0, "feature_pair_prior_txn_count": 0.5}
-ENTRIES = [
-    {"feature_name": "feature_amount", "business_reason_code": "High transaction amount", "plain_language_template": "The transaction amount is high relative to the alert population.", "risk_increasing_template": "Transaction amount increased the model risk score relative to comparable alerts.", "risk_reducing_template": "Transaction amount reduced the model risk score relative to comparable alerts.", "contextual_template": "Transaction amount was used as model context.", "investigator_note": "Review source of funds, expected account activity, and counterparties."},
-    {"feature_name": "feature_rule_count", "business_reason_code": "Multiple AML rules triggered", "plain_language_template": "Multiple rules triggered on the same alert, increasing the priority score.", "investigator_note": "Review all rule evidence before disposition."},
-]
+WEIGHTS = {"feature_amount": 0.01, "feature_rule_count": 1.0, "feature_sender_prior_txn_count": -0.02, "feature_rule_r4_pass_through_flag": 2.0, "feature_pair_prior_txn_count": 0.5, "feature_sender_prior_unique_receivers": 0.3, "feature_receiver_prior_unique_senders": -0.4, "feature_rule_r5_fan_in_flag": 1.5, "feature_rule_r6_fan_out_flag": -1.5}
 
 
 def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +137,7 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_once("reason-codes")
 def reason_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explain.alert_reason_codes(contributions(spark, sf_dir), explain.dictionary(spark, ENTRIES), bands_v2_final(spark, sf_dir), mapping(spark, sf_dir))
+    return explain.alert_reason_codes(contributions(spark, sf_dir), explain.dictionary(spark), bands_v2_final(spark, sf_dir), mapping(spark, sf_dir))
 
 
 def stress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +153,7 @@ def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.traffic_lights(
         bands.band_summary_v2(bands_v2_final(spark, sf_dir)), stress(spark, sf_dir), comparison(spark, sf_dir), ablation(spark, sf_dir),
-        cases.case_quality(cases_v2(spark, sf_dir), mapping(spark, sf_dir)), reason_codes(spark, sf_dir), diagnostics.temporal_stress(scored(spark, sf_dir)), diagnostics.segment_stress(scored(spark, sf_dir), tx(spark, sf_dir)),
+        cases.case_quality(cases_v2(spark, sf_dir), mapping(spark, sf_dir)), reason_codes(spark, sf_dir), diagnostics.temporal_stress(scored(spark, sf_dir)), diagnostics.segment_stress(extended(spark, sf_dir), tx(spark, sf_dir)),
     )
 
 
