@@ -252,12 +252,12 @@ def test_language_on_held_out_rows(spark):
     rng = random.Random(9)
     stems = {"aa": ["bal", "dor", "kin", "tus"], "bb": ["schli", "wex", "unge", "pft"], "cc": ["oue", "eaux", "ille", "ment"]}
     rows = [(i, " ".join("".join(rng.choices(stems[g], k=3)) for _ in range(rng.randrange(8, 60))), g, "s") for i in range(400) for g in [rng.choice("abc") * 2]]
-    odd = [(1000, None, "aa", None), (1001, "", None, None), (1002, "12 !!", "aa", "s"), (None, "baldor kin", None, None)]
+    odd = [(1000, None, "aa", None), (1001, "", None, None), (1002, "12 !!", "aa", "s"), (1003, "\u00bd \u00b2 \u2460 12", None, None), (None, "baldor kin", None, None)]
     out = identify_language(docs(spark, rows + odd)).collect()
     by = {r["id"]: r for r in out}
     held = [(i, g) for i, _, g, _ in rows if _fold(i, 3) == 1]
     assert np.mean([by[i]["lang_pred"] == g for i, g in held]) > 0.97 and all(by[i]["held_out"] for i, _ in held)
-    assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 for i in (1000, 1001, 1002))
+    assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 for i in (1000, 1001, 1002, 1003))
     assert all(0 <= r["score"] <= 1 for r in out)
     assert {r["lang_pred"] for r in identify_language(docs(spark, [(1, "abc", None, None)])).collect()} == {"und"}
     assert identify_language(docs(spark, [])).count() == 0

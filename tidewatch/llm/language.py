@@ -5,7 +5,6 @@ again with more effort, and if it is still close it is rejected.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +14,6 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, fold
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 class CompressionModel:
     """Compressors are made where they are used, since they don't travel between processes."""
@@ -45,7 +42,7 @@ class CompressionModel:
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language (`und` without a letter or a learned language), score from 0 to 1, and margin: bytes saved per byte
         against the runner-up."""
-        if not text or not self.dictionaries or not _LETTER.search(text):
+        if not text or not self.dictionaries or not any(map(str.isalpha, text)):
             return "und", 0.0, 0.0
         langs = list(self.dictionaries)
         if len(langs) == 1:
