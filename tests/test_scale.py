@@ -73,7 +73,7 @@ def test_neighbours_of_one_hot_key(spark):
 
 
 def test_role_history_counts_rows_partners_and_amounts(spark):
-    rows = random_tx(spark, 200, seed=5) + [(3, None, "A1", 2.5), (4, None, "A1", 1.5), (5, "A1", None, 1.0)]
+    rows = [*random_tx(spark, 200, seed=5)[0]] + [(3, None, "A1", 2.5), (4, None, "A1", 1.5), (5, "A1", None, 1.0)]
     d = tx(spark, rows)
     seq = sorted(d.collect(), key=lambda r: (r["timestamp"], r["transaction_id"]))
     got = {r["transaction_id"]: r for r in windows.role_history(d).collect()}
@@ -88,9 +88,8 @@ def test_role_history_counts_rows_partners_and_amounts(spark):
 
 
 def test_training_rows_that_are_not_the_first_get_a_pass_of_their_own(spark):
-    rows = random_tx(spark, 300, seed=2)
-    d = tx(spark, rows)
-    for split in ("CASE WHEN transaction_id % 3 = 0 THEN 'train' ELSE 'test' END", "CASE WHEN timestamp < '2022-09-02' THEN 'train' ELSE 'test' END", "'test'", "'train'"):
+    _, d = random_tx(spark, 300, seed=2)
+    for split in ("CASE WHEN transaction_id % 3 = 0 THEN 'train' ELSE 'test' END", "CASE WHEN timestamp < '2022-01-06' THEN 'train' ELSE 'test' END", "'test'", "'train'"):
         e = d.withColumn("split", F.expr(split)).cache()
         for rule in (rules.velocity_rule, rules.fan_in_rule):
             key = lambda h: sorted((r["transaction_id"], r["threshold_json"]) for r in h.collect())

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
 import json
-import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -20,6 +18,7 @@ from ..functions.distributed import join_same, positions
 from ..functions.isotonic import interpolated, isotonic_knots
 from ..functions.metrics import average_precision, roc_auc, top_k
 from .features import balanced_sample, one_hot, sample_weights
+from .search import best_of, successive_halving
 
 CATEGORICAL = ("payment_format", "currency_pair", "max_rule_severity")
 
@@ -34,7 +33,7 @@ class ModelOptions:
     models: Sequence[str] = ("logistic_regression", "random_forest", "gbt")
     trees: int = 50
     depth: int = 6
-    trials: int = 3
+    trials: int = 18
     metric: str = "precision_at_k"
     k: int = 1000
 
@@ -117,16 +116,20 @@ def _constant(train: DataFrame) -> float | None:
     return None if len(classes) > 1 else float(bool(classes and classes[0] == 1))
 
 
-def _gbt_grid(options: ModelOptions) -> list[dict]:
-    """Seeded draws from a fixed grid, without repeats."""
-    grid = [dict(zip(("maxDepth", "stepSize", "subsamplingRate", "minInstancesPerNode"), x, strict=True)) for x in itertools.product((3, 4, 5), (0.05, 0.1, 0.2), (0.7, 1.0), (1, 5))]
-    return random.Random(options.seed).sample(grid, min(options.trials, len(grid)))
+#: What boosted trees are searched over: rounds, depth, rate, rows, columns and leaf size.
+GBT_SPACE = {"maxIter": (10, 40, "int"), "maxDepth": (3, 6, "int"), "stepSize": (0.01, 0.2, "log"), "subsamplingRate": (0.7, 1.0, "float"), "columns": (0.7, 1.0, "float"), "minInstancesPerNode": (10, 100, "int")}
+
+
+def _gbt(params: dict, budget: float, seed: int, **common) -> GBTClassifier:
+    own = {k: v for k, v in params.items() if k not in ("maxIter", "columns")}
+    return GBTClassifier(**common, **own, maxIter=max(1, round(params["maxIter"] * budget)), featureSubsetStrategy=f"{params['columns']:.3f}", seed=seed)
 
 
 def fit_models(train: DataFrame, columns: Sequence[str], options: ModelOptions, selection: DataFrame | None = None) -> tuple[list[Ranker], DataFrame]:
-    """Fitted candidates, and the trials of boosted trees (model_name, parameters, value). One class gives constants."""
+    """Fitted candidates, and the trials of boosted trees (model_name, trial, parameters, budget, value, state). One class
+    gives constants."""
     spark, columns, trials = train.sparkSession, list(columns), []
-    schema = "model_name string, trial long, parameters string, value double"
+    schema = "model_name string, trial long, parameters string, budget double, value double, state string"
     constant = _constant(train)
     if constant is not None:
         return [Ranker(m, columns, None, constant) for m in options.models], spark.createDataFrame([], schema)
@@ -139,14 +142,20 @@ def fit_models(train: DataFrame, columns: Sequence[str], options: ModelOptions,
         elif name == "random_forest":
             out.append(Ranker(name, columns, _pipeline(RandomForestClassifier(**common, numTrees=options.trees, maxDepth=options.depth, minInstancesPerNode=5, seed=options.seed), columns).fit(d)))
         elif name == "gbt":
-            best = None
-            for i, params in enumerate(_gbt_grid(options)):
-                r = Ranker(name, columns, _pipeline(GBTClassifier(**common, maxIter=20, seed=options.seed, **params), columns).fit(d), options=params)
-                value = selection_value(r.score(train if selection is None else selection), options)
-                trials.append((name, i, repr(sorted(params.items())), value))
-                if best is None or value > best[0]:
-                    best = (value, r)
-            out.append(best[1])
+            made: dict[tuple, Ranker] = {}
+
+            def value(params: dict, budget: float, made=made) -> float:
+                r = Ranker("gbt", columns, _pipeline(_gbt(params, budget, options.seed, **common), columns).fit(d), options=params)
+                if budget == 1:
+                    made[tuple(sorted(params.items()))] = r
+                return selection_value(r.score(train if selection is None else selection), options)
+
+            found = successive_halving(value, GBT_SPACE, options.trials, options.seed)
+            trials += [(name, t.number, json.dumps(t.params, sort_keys=True), t.budget, t.value, t.state) for t in found]
+            best = best_of(found)
+            if best is None:
+                raise RuntimeError("no setting of the boosted trees could be fitted")
+            out.append(made[tuple(sorted(best.params.items()))])
     d.unpersist()
     return out, spark.createDataFrame(trials, schema)
 

@@ -15,10 +15,17 @@ OPTIONS = {"R1_AMOUNT": {"min_segment": 130}}
 _stored: dict[tuple, DataFrame] = {}
 
 
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the events' files, so that a changed input is not taken for what was stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+
+
 def _once(name: str) -> Callable:
     def wrap(make: Callable[[SparkSession, str], DataFrame]):
         def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-            key = (spark.sparkContext.applicationId, sf_dir, name)
+            key = (spark.sparkContext.applicationId, sf_dir, name, _files(spark, sf_dir))
             if key not in _stored:
                 _stored[key] = stored(make(spark, sf_dir), name)
             return _stored[key]
