@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions.windows import incoming_to_sender, rolling
+from tidewatch.operators import graph
 
 from .test_rules_and_windows import random_tx, tx
 
@@ -38,3 +39,20 @@ def test_rows_without_a_time_are_apart(spark):
     got = {r["transaction_id"]: (r["rolling_count"], r["rolling_sum"]) for r in rolling(d, "receiver_account_id", "24h", True).collect()}
     assert got == {1: (1, 1.0), 2: (2, 11.0), 3: (1, 100.0), 4: (1, 7.0)}
     assert {r["transaction_id"]: r["incoming"] for r in incoming_to_sender(d, "24h").collect()} == {1: 0.0, 2: 0.0, 3: 0.0, 4: 100.0}
+
+
+def test_a_hub_lists_no_pairs_of_its_neighbours(spark, monkeypatch):
+    """Many pay a hub that pays many, and one loop leads through it: what the search stores stays near the number of rows."""
+    n = 150
+    rows = [(i // 4, f"S{i}", "H", 10) for i in range(n)] + [(100 + i // 4, "H", f"D{i}", 10) for i in range(n)] + [(200, "D7", "S9", 10)]
+    d, sizes, keep = tx(spark, rows), [], graph.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "stored", counted)
+    (r,) = graph.cycle_candidates(d, max_hours=1e6, max_retention=1e9).collect()
+    assert (r["cycle_path"], r["path_length"]) == ("D7->S9->H->D7", 4)
+    assert max(sizes) <= 3 * len(rows)
