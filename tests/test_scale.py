@@ -134,3 +134,35 @@ def test_hub_times(spark):
     (r,) = graph.gather_scatter_hubs(d).collect()
     times = [x["timestamp"] for x in d.orderBy("timestamp").collect()]
     assert (r["first_in"], r["last_in"], r["first_out"], r["last_out"]) == (times[0], times[2], times[3], times[5])
+
+
+def test_what_needs_no_history_of_accounts_makes_none(spark, monkeypatch):
+    """Cases, bands and rankings ask alerts and their transactions only."""
+    from tidewatch.operators import features
+    from tidewatch.plans import registry, tables
+
+    def refuse(tx):
+        raise AssertionError("history of all accounts was made")
+
+    tables.forget(spark)
+    monkeypatch.setattr(features, "role_history", refuse)
+    for name in ("network_clusters", "calibrated_sigmoid", "temporal_stress", "model_comparison"):
+        assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+    tables.forget(spark)
+
+
+def test_areas_of_all_rankings_are_one_pass(spark, monkeypatch):
+    from tidewatch.functions import metrics
+    from tidewatch.operators import models
+
+    passes, one = [], metrics.prefix_sums
+    monkeypatch.setattr(metrics, "prefix_sums", lambda *a: passes.append(a) or one(*a))
+    rows = [(f"a{i}", "test", int(i % 3 == 0), float(i % 5), float(i % 7), float(i)) for i in range(60)]
+    d = spark.createDataFrame(rows, "alert_id string, split string, target int, feature_rule_priority_score double, feature_amount double, model_score double")
+    got = {(r["ranking"], r["metric"]): r["value"] for r in models.evaluate_rankings(d, (10,)).where("k is null").collect()}
+    assert len(passes) == 1
+    for ranking, at in (("rule_priority", 3), ("amount_rank", 4), ("model_score", 5)):
+        pairs = [(p[at], n[at]) for p in rows if p[2] for n in rows if not n[2]]
+        assert abs(got[ranking, "roc_auc"] - sum((p > n) + (p == n) / 2 for p, n in pairs) / len(pairs)) < 1e-9
+        steps = [(sum(r[2] for r in rows if r[at] == s), [r[2] for r in rows if r[at] >= s]) for s in {r[at] for r in rows}]
+        assert abs(got[ranking, "pr_auc"] - sum(n / 20 * sum(seen) / len(seen) for n, seen in steps)) < 1e-9
