@@ -98,3 +98,26 @@ def test_champion_is_the_best_of_all(spark, frame):
         rows = sorted(((x["model_score"], x["alert_id"], x["target"]) for x in r.score(frame).collect()), key=lambda x: (-x[0], x[1]))[:50]
         want[r.name] = sum(y for *_, y in rows) / 50
     assert best is b and {r["model_name"]: r["selection_value"] for r in table.collect()} == pytest.approx(want)
+
+
+def test_one_model_is_fitted_where_one_is_asked_for(spark, frame, monkeypatch):
+    fits, one = [], models.fit_models
+    monkeypatch.setattr(models, "fit_models", lambda train, columns, options, *a: fits.append(options.models) or one(train, columns, options, *a))
+    features = frame.selectExpr("alert_id", "split", "target", "f_all AS feature_all", "f_noise AS feature_noise", "'a' AS payment_format", "'b' AS currency_pair", "'high' AS max_rule_severity")
+    got = models.train_and_score(features)
+    assert got.selection.count() > 0 and fits == []
+    rows = got.scores("logistic_regression").collect()
+    assert len(rows) == 400 and fits == [("logistic_regression",)] and all((r["score_logistic_regression"] >= 0.5) == (r["target"] == 1) for r in rows)
+
+
+def test_permutation_scores_changed_rows_only(spark, frame):
+    """A column of one value is exchanged for the same value in all rows, of which none is scored again."""
+    sizes = []
+
+    class Sized(Weighted):
+        def score(self, df, out="model_score"):
+            sizes.append(df.count())
+            return super().score(df, out)
+
+    models.permutation_importance(Sized({"f_same": 0.1}), frame, repeats=2)
+    assert sizes == [400, 0]
