@@ -57,3 +57,15 @@ def test_clashing_numbers_are_made_anew(spark, monkeypatch):
     monkeypatch.setattr(graphs, "_number", number)
     assert _got(spark, [("a", "b"), ("c", "c")]) == {"a": "a", "b": "a", "c": "c"}
     assert max(seeds) == 1
+
+
+def test_links_of_mega_components_are_made_once(spark, monkeypatch):
+    from tidewatch.plans import registry, tables
+
+    made, one = [], tables.connected_components
+    monkeypatch.setattr(tables, "connected_components", lambda *a: made.append(a) or one(*a))
+    tables.forget(spark)
+    for name in ("mega_network_clusters", "mega_component_split"):
+        assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+    assert len(made) == 1
+    tables.forget(spark)
