@@ -166,3 +166,29 @@ def test_areas_of_all_rankings_are_one_pass(spark, monkeypatch):
         assert abs(got[ranking, "roc_auc"] - sum((p > n) + (p == n) / 2 for p, n in pairs) / len(pairs)) < 1e-9
         steps = [(sum(r[2] for r in rows if r[at] == s), [r[2] for r in rows if r[at] >= s]) for s in {r[at] for r in rows}]
         assert abs(got[ranking, "pr_auc"] - sum(n / 20 * sum(seen) / len(seen) for n, seen in steps)) < 1e-9
+
+
+def test_contribution_needs_no_alert_texts(spark, monkeypatch):
+    """It asks for ids and labels of alerts, which hits tell; a transaction's hits are brought together once."""
+    from tidewatch.operators import diagnostics
+    from tidewatch.plans import registry, tables
+
+    tables.forget(spark)
+    monkeypatch.setattr(rules, "alerts", lambda hits: pytest.fail("alerts were made"))
+    for name in ("rule_contribution", "rule_recommendations", "alert_waterfall"):
+        assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+    tables.forget(spark)
+    hits = spark.createDataFrame([(1, "R1", "one", 1), (1, "R2", "two", 1), (1, "R2", "two", 1), (2, "R2", "two", None)], "transaction_id long, rule_id string, rule_name string, is_laundering int")
+    (a,) = rules.alerted(hits).where("transaction_id = 1").collect()
+    assert (a["alert_id"], a["is_laundering"]) == ("ALERT-1", 1) and rules.alerted(hits).count() == 2
+    got = {r["rule_id"]: r for r in diagnostics.rule_contribution(hits, rules.alerted(hits)).collect()}
+    assert (got["R2"]["alert_count"], got["R2"]["unique_alert_count"], got["R2"]["incremental_alert_count"], round(got["R2"]["overlap_rate"], 6)) == (3, 2, 2, 0.666667)
+    assert (got["R1"]["incremental_alert_count"], got["R1"]["overlap_rate"]) == (0, 1.0)
+
+
+def test_the_amount_rule_sends_no_row_to_its_segment(spark):
+    """Thresholds are stored, so Spark knows that they are small and moves no transaction to join them."""
+    _, d = random_tx(spark, 300, seed=6)
+    made = rules.amount_rule(d, percentile=0.5, min_segment=1)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert made.count() > 0 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
