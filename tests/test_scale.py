@@ -168,14 +168,14 @@ def test_areas_of_all_rankings_are_one_pass(spark, monkeypatch):
         assert abs(got[ranking, "pr_auc"] - sum(n / 20 * sum(seen) / len(seen) for n, seen in steps)) < 1e-9
 
 
-def test_contribution_needs_no_alert_texts(spark, monkeypatch):
-    """It asks for ids and labels of alerts, which hits tell; a transaction's hits are brought together once."""
+def test_contribution_and_evidence_need_no_alert_texts(spark, monkeypatch):
+    """Both ask for ids and labels of alerts, which hits tell; a transaction's hits are brought together once."""
     from tidewatch.operators import diagnostics
     from tidewatch.plans import registry, tables
 
     tables.forget(spark)
     monkeypatch.setattr(rules, "alerts", lambda hits: pytest.fail("alerts were made"))
-    for name in ("rule_contribution", "rule_recommendations", "alert_waterfall"):
+    for name in ("rule_contribution", "rule_recommendations", "alert_waterfall", "graph_evidence_edges"):
         assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").columns
     tables.forget(spark)
     hits = spark.createDataFrame([(1, "R1", "one", 1), (1, "R2", "two", 1), (1, "R2", "two", 1), (2, "R2", "two", None)], "transaction_id long, rule_id string, rule_name string, is_laundering int")
