@@ -118,6 +118,21 @@ def test_components_match_brute_force(spark, chunk, hot):
     assert got == want
 
 
+def test_large_groups_are_cut_into_chunks(spark):
+    """Near copies, more of them in a group than pivots, and a chain of which only neighbours are similar."""
+    rng = random.Random(16)
+    original, line = make(rng, 100).split(), make(rng, 150).split()
+    texts = [" ".join(line[3 * i : 3 * i + 60]) for i in range(30)]
+    for _ in range(120):
+        w = list(original)
+        for _ in range(rng.choice((1, 1, 1, 4))):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    ids = rng.sample(range(1000), len(texts))
+    got = {r["id"]: r["component"] for r in ngram_components(docs(spark, [(i, t, "en", "s") for i, t in zip(ids, texts, strict=True)]), chunk=8).collect()}
+    assert got == dict(zip(ids, _components(_sets(texts), ids), strict=True))
+
+
 def test_sketches_never_part_similar_sets():
     rng = np.random.default_rng(4)
     kept = 0

@@ -432,7 +432,7 @@ def _pairs(t: DataFrame, key: list[str], side: str, apart: Column, percent: int)
     little is not made, so a passage that many texts share pairs none of them unless it comes early in the order. Rows
     on the side that has most of the key's rows meet only rows of other sides, never one another.
     """
-    most = t.groupBy(*key, side).agg(F.count(F.lit(1)).alias("c")).groupBy(*key).agg(F.max_by(side, F.struct("c", side)).alias("main"), F.count(F.lit(1)).alias("sides"))
+    most = t.groupBy(*key, side).agg(F.count(F.lit(1)).alias("rows")).groupBy(*key).agg(F.max_by(side, F.struct("rows", side)).alias("main"), F.count(F.lit(1)).alias("sides"))
     t = stored(t.join(most.where("sides > 1").drop("sides"), key), "ngram-mixed")
     a, b = (t.select(*key, *(F.col(c).alias(f"{c}{i}") for c in t.columns if c not in key)) for i in (1, 2))
     n, m = F.col("n1"), F.col("n2")
