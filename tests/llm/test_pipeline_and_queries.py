@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import duckdb
 import pandas as pd
@@ -190,3 +191,18 @@ def test_stages_take_odd_rows_and_empty_tables(spark, corpus, name):
         assert got.columns == corpus_pipeline.COLUMNS
         found = {(r[0], r[1]) for r in odd_rows()}
         assert all((r["doc_id"], r["text"]) in found for r in got.collect())
+
+
+def test_near_dedup_where_groups_are_cut(spark, monkeypatch):
+    """Stage 3 with groups of more texts than a chunk holds."""
+    monkeypatch.setattr(corpus_pipeline, "ngram_components", partial(corpus_pipeline.ngram_components, chunk=8))
+    rng = random.Random(3)
+    original = words(rng, 100, most=10**6).split()
+    rows = []
+    for i in range(90):
+        w = list(original)
+        w[rng.randrange(len(w))] = f"n{i}"
+        rows.append((i, " ".join(w), "en", "s"))
+    rows += [(100 + i, words(rng, 40, most=10**6), "en", "s") for i in range(5)]
+    got = corpus_pipeline.near_dedup(spark, docs(spark, rows), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == [0, 100, 101, 102, 103, 104]
