@@ -1,5 +1,7 @@
 """Registered queries run with the values of the whole job."""
 
+from types import SimpleNamespace
+
 from tidewatch.plans import registry, tables
 
 from .test_graph_cases_models import _reaches
@@ -24,3 +26,14 @@ def test_models_are_fitted_with_the_operators_own_options(spark, monkeypatch):
     monkeypatch.setattr(registry, "_fits", {})
     registry._fitted(spark, DIR)
     assert seen == [()]
+
+
+def test_all_alerts_are_explained(spark, monkeypatch):
+    """More alerts than the 1,000 that were once explained."""
+    rows = [(f"a{i:04}", "test", i % 2, float(i), "Wire", "USD -> EUR", "high") for i in range(1200)]
+    frame = spark.createDataFrame(rows, "alert_id string, split string, target int, feature_amount double, payment_format string, currency_pair string, max_rule_severity string")
+    monkeypatch.setattr(registry.t, "alert_features", lambda s, d: frame)
+    monkeypatch.setattr(registry, "_fitted", lambda s, d: SimpleNamespace(champion=SimpleNamespace(model=1)))
+    monkeypatch.setitem(registry._weights, (spark.sparkContext.applicationId, "many"), {"feature_amount": 2.0})
+    got = {r["alert_id"]: r["shap_value"] for r in registry._explained(spark, "many").collect()}
+    assert got == {f"a{i:04}": 2.0 * (i - 599.5) for i in range(1200)}
