@@ -110,6 +110,20 @@ def test_one_model_is_fitted_where_one_is_asked_for(spark, frame, monkeypatch):
     assert len(rows) == 400 and fits == [("logistic_regression",)] and all((r["score_logistic_regression"] >= 0.5) == (r["target"] == 1) for r in rows)
 
 
+def test_logistic_regression_is_fitted_to_all_rows(spark, monkeypatch):
+    """Neither the ratio of the classes nor the cap of the sample leaves out rows of it, or of the choice of its columns."""
+    rows = [(f"a{i:03}", "train" if i < 400 else "test", int(i % 40 == 0), float(i % 7), float(i % 40 == 0) + i % 3, "a", "b", "c") for i in range(440)]
+    frame = spark.createDataFrame(rows, "alert_id string, split string, target int, feature_x double, feature_y double, payment_format string, currency_pair string, max_rule_severity string")
+    seen, fit, select = {}, models.fit_models, models.select_features
+    monkeypatch.setattr(models, "fit_models", lambda train, columns, options, *a: seen.update({options.models: train.count()}) or fit(train, columns, options, *a))
+    monkeypatch.setattr(models, "select_features", lambda train, *a: seen.update(selection=train.count()) or select(train, *a))
+    got = models.train_and_score(frame, models.ModelOptions(max_train_rows=50, feature_count=3, trees=2, depth=2))
+    scores = {r["alert_id"]: r["score_logistic_regression"] for r in got.scores("logistic_regression").collect()}
+    assert seen == {"selection": 400, ("logistic_regression",): 400}
+    (want,), _ = fit(models.prepare(frame)[0].where("split = 'train'"), got.whole.columns, models.ModelOptions(models=("logistic_regression",)))
+    assert scores == {r["alert_id"]: pytest.approx(r["model_score"]) for r in want.score(got.frame).collect()}
+
+
 def test_permutation_scores_changed_rows_only(spark, frame):
     """A column of one value is exchanged for the same value in all rows, of which none is scored again."""
     sizes = []
